@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import simhash
-from almanac.llm.common import table
+import public_tokenizers
+
+from almanac.llm import bpe, chat, langid, quality, simhash, topk
+from almanac.llm.common import fold, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,9 +18,72 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", added), (-1, 1, "assistant", added)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest_conversations(chat.format_conversations(turns.unionByName(extra)))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    trees = quality.train(docs, labels, usable=fold("doc_id", 5) != 0)
+    scored = quality.score(docs, trees).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return coded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    models = langid.train(docs, usable=fold("doc_id", 3) != 1)
+    found = langid.identify(docs, models).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), F.col("lang").alias("lang_pred"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_chat": op2_chat,
+    "op3_quality": op3_quality,
+    "op5_topk": op5_topk,
+    "op6_bpe": op6_bpe,
+    "op8_langid": op8_langid,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # A control string with n backslashes after its first character gets one more: one character a place.
+    "op2_chat": r"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(24 + length(role) + length(text) + len(regexp_extract_all(text,
+                '<\\*\|im_start\|>|<\\*\|im_end\|>|<\\*\|endoftext\|>|<\\*s>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]|<\\*<SYS>>|<\\*</SYS>>')))::BIGINT AS formatted_chars
+        FROM rows GROUP BY conv_id""",
+    "op5_topk": """
+        WITH clean AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM clean q JOIN clean c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20""",
+}
