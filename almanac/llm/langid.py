@@ -209,8 +209,8 @@ def _calibrate(models: Models, texts: DataFrame) -> None:
         if (lang == j).any():
             models.usual[j] = np.median(own[lang == j])
         spread = ((own - models.usual[j]) * np.sqrt(np.maximum(n, 1)))[lang == j]
-        # Half a bit above the usual, and twice what any held-back text needed at its length.
-        models.usual[j] += 0.5
+        # A bit and a half above the usual, and twice what any held-back text needed at its length.
+        models.usual[j] += 1.5
         models.slack[j] = max(20.0, 2 * spread.max(initial=0.0))
     best = (-np.inf, 1.0)
     if len(rows):
