@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from almanac.llm import bpe, chat, langid, quality, simhash, topk
-from almanac.llm.common import fold, table
+from almanac.llm import bpe, chat, langid, licenses, minhash, mixing, pii, quality, simhash, topk
+from almanac.llm.common import checkpointed, fold, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,13 +54,59 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), F.col("lang").alias("lang_pred"), "score")
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        minhash.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        minhash.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda p: p["rank"] == pii.KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
+    return found.select(F.col("id").alias("doc_id"), *(count(k) for k in pii.BASE), F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(checkpointed(mixing.measured(table(spark, sf_dir, "documents"))))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    words, base = F.transform("places", lambda p: p["word"]), F.transform("places", lambda p: p["label"])
+    every = F.concat(base, F.transform("found", lambda f: f["label"]))
+    listed = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    sure = F.coalesce(F.array_max(F.transform("found", lambda f: f["rank"])), F.lit(0)) / 100.0
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(words).cast("bigint").alias("first_word"),
+        F.array_max(words).cast("bigint").alias("last_word"),
+        listed(base).alias("base_labels"),
+        listed(every).alias("labels"),
+        F.when(F.size("places") > 0, F.greatest(sure, F.lit(0.5))).otherwise(F.least(sure, F.lit(1.0))).alias("score"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_chat": op2_chat,
     "op3_quality": op3_quality,
+    "op4_minhash": op4_minhash,
     "op5_topk": op5_topk,
     "op6_bpe": op6_bpe,
+    "op7_pii": op7_pii,
     "op8_langid": op8_langid,
+    "op9_mixing": op9_mixing,
+    "op10_licenses": op10_licenses,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
@@ -86,4 +132,25 @@ ORACLES: dict[str, str] = {
             FROM clean q JOIN clean c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
         SELECT query_id, rank::INTEGER AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20""",
+    "op9_mixing": r"""
+        WITH doc AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, length(text) AS chars FROM documents),
+        keyed AS (
+            SELECT *, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix'), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)
+                / (CASE WHEN size > 0 THEN 1 / (1 + abs(chars / size - 6) / 3) ELSE 1.0 END) AS key FROM doc),
+        own AS (
+            SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER] AS w FROM doc GROUP BY source),
+        levels AS (
+            SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(w) OVER (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM own),
+        final AS (
+            SELECT source, source_size, least((2 * source_size)::DOUBLE,
+                (SELECT level FROM levels WHERE level * w <= 2 * source_size ORDER BY 2 * source_size / w, source NULLS LAST LIMIT 1) * w) AS target FROM levels),
+        placed AS (
+            SELECT k.*, f.source_size, f.target, sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+            FROM keyed k JOIN final f ON k.source IS NOT DISTINCT FROM f.source)
+        SELECT doc_id, size, source_size, target,
+            (CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END * size + greatest(0, least(size,
+                floor(target + 0.5)::BIGINT - CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END * source_size - before)))::BIGINT AS taken
+        FROM placed""",
 }

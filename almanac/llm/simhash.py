@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.llm.common import checkpointed
@@ -195,5 +195,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(whole, "fp").select("id", "fp", "component_id")
 
 
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
+    """docs with one row of each component, that of its smallest id; all columns.
+
+    Of repeated rows of that id the one least by its text stays. Rows without an id, which no component can be named by,
+    stay as they are.
+    """
+    kept = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col, width).where("id = component_id").select(F.col("id").alias("_kept")).distinct()
+    own = [F.col(f"_own.{c}") for c in docs.columns]
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.struct(*docs.columns).alias("_own"), F.col(id_col).cast("bigint").alias("_id")).join(kept, F.col("_id") == F.col("_kept"))
+    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.asc_nulls_last(f"_own.{text_col}")))
+    rows = rows.withColumn("_nth", first).where("_nth = 1").select(own)
+    return rows.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def fingerprint_text(fp):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
