@@ -10,6 +10,7 @@ longest token has. States and their moves are made when first met, and dropped t
 from __future__ import annotations
 
 import base64
+import gc
 from itertools import chain
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Most states a worker remembers, and half of the most pieces; beyond, it starts anew.
-STATES, PIECES = 200_000, 250_000
+STATES, PIECES = 300_000, 350_000
 #: Stands for a prefix in which no live token ends.
 NO_TOKEN = (-1, -2)
 BYTES = [bytes((k,)) for k in range(256)]
@@ -294,6 +295,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         content = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches):
+        gc.disable()  # what is remembered holds no cycles, and would be searched for them again and again
         data = content.value
         key = hash(data)
         if key not in _encoders:
