@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ()
+MODULES: tuple[str, ...] = ("series",)
 
 
 @dataclass(frozen=True)
