@@ -117,7 +117,7 @@ def band_position(n: int = 20, level: str = "nav") -> Column:
 def slope_score(cumulative: Column, index: Column, scale: float, least: int) -> Column:
     """50 + 50 tanh(slope / scale) of a cumulative series, within 0 and 100."""
     value = 50 + 50 * F.tanh(F.regr_slope(cumulative, index) / scale)
-    return F.when(F.count(cumulative) >= least, F.greatest(F.lit(0.0), F.least(F.lit(100.0), value)))
+    return F.when((F.count(cumulative) >= least) & value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(100.0), value)))
 
 
 def capture(side: Column, least: int = 5, bound: float = 500.0) -> Column:
@@ -130,7 +130,7 @@ def normalised(value: Column, low: float, high: float, peer: Column | None = Non
     """Struct: value scaled to 0..100, and whether it was missing (then five below the peers' median, or 45)."""
     missing = value.isNull() | F.isnan(value)
     bound = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(100.0), x))
-    stand_in = F.lit(45.0) if peer is None else F.coalesce(bound(peer - 5), F.lit(45.0))
+    stand_in = F.lit(45.0) if peer is None else F.when(peer.isNotNull(), bound(peer - 5)).otherwise(45.0)  # greatest skips nulls
     scaled = F.lit(50.0) if high == low else bound((value - low) / (high - low) * 100)
     return F.struct(F.when(missing, stand_in).otherwise(scaled).alias("score"), missing.alias("missing"))
 

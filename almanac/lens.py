@@ -27,15 +27,15 @@ VIEWS = {
     "prices": """SELECT CAST(l_partkey AS STRING) AS ticker, CAST(l_shipdate AS DATE) AS date, round(avg(l_extendedprice / l_quantity), 6) AS close, sum(l_quantity) AS volume
         FROM {lineitem} GROUP BY l_partkey, CAST(l_shipdate AS DATE)""",
     # Macro series and their revisions.
-    "macro": """SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS obs_date, round(avg(o_totalprice) / 50000, 6) AS value
+    "macro": """SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS obs_date, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 5e6 AS value
         FROM {orders} GROUP BY o_orderpriority, CAST(o_orderdate AS DATE)""",
-    "monthly": """SELECT o_orderpriority AS series_id, CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS obs_date, round(avg(o_totalprice) / 50000, 6) AS value
+    "monthly": """SELECT o_orderpriority AS series_id, CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS obs_date, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 5e6 AS value
         FROM {orders} GROUP BY o_orderpriority, CAST(date_trunc('MONTH', o_orderdate) AS DATE)""",
     "vintages": """SELECT series_id, observation_period, vintage_date, CAST(vintage_date AS TIMESTAMP) AS available_at, value,
         row_number() OVER (PARTITION BY series_id, observation_period ORDER BY vintage_date) - 1 AS revision_number
-        FROM (SELECT series_id, observation_period, vintage_date, round(sum(v) OVER (PARTITION BY series_id, observation_period ORDER BY vintage_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / 1000, 4) AS value
+        FROM (SELECT series_id, observation_period, vintage_date, CAST(sum(v) OVER (PARTITION BY series_id, observation_period ORDER BY vintage_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / 1e5 AS value
             FROM (SELECT o_orderpriority AS series_id, CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS observation_period,
-                    greatest(last_day(CAST(l_shipdate AS DATE)), last_day(CAST(o_orderdate AS DATE))) AS vintage_date, round(sum(l_extendedprice), 2) AS v
+                    greatest(last_day(CAST(l_shipdate AS DATE)), last_day(CAST(o_orderdate AS DATE))) AS vintage_date, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS v
                   FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey
                   WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
                   GROUP BY o_orderpriority, CAST(date_trunc('MONTH', o_orderdate) AS DATE), greatest(last_day(CAST(l_shipdate AS DATE)), last_day(CAST(o_orderdate AS DATE)))) a) b""",
@@ -58,10 +58,6 @@ VIEWS = {
     "insider": """SELECT CAST(user_id AS STRING) AS issuer, CAST(ts AS DATE) AS transaction_date, CASE event_type WHEN 'purchase' THEN 'P' WHEN 'error' THEN 'S' ELSE 'M' END AS code, round(value, 2) AS value_usd FROM {events}""",
 }
 
-#: DuckDB has no add_months; the macro is the only thing it needs.
-_MACRO = re.compile(r"add_months\(")
-
-
 def _reads(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 

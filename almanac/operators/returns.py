@@ -58,7 +58,7 @@ def external_flows(df: DataFrame, key: str = "instrument_id", date: str = "nav_d
     df = df.where((F.col("nav") > 0) & (F.col("aum") > 0))
     before = F.lag("aum").over(w)
     flow = (F.col("aum") - before * F.col("nav") / F.lag("nav").over(w)) / before
-    return df.withColumn("flow", F.greatest(F.lit(-bound), F.least(F.lit(bound), flow))).where("flow IS NOT NULL")
+    return df.withColumn("flow", F.when(flow.isNotNull(), F.greatest(F.lit(-bound), F.least(F.lit(bound), flow)))).where("flow IS NOT NULL")
 
 
 def tail_cumulative(df: DataFrame, n: int, value: str, key: str, date: str) -> DataFrame:

@@ -142,7 +142,7 @@ def path_stability(spark, sf_dir):
     return R.path_stability(nav).select("instrument_id", F.round("score", 4).alias("score"))
 
 
-_FLOW = """fl AS (SELECT instrument_id, nav_date, greatest(-0.25, least(0.25, (aum - lag(aum) OVER w * nav / lag(nav) OVER w) / lag(aum) OVER w)) AS flow FROM nav WHERE nav > 0 AND aum > 0 WINDOW w AS (PARTITION BY instrument_id ORDER BY nav_date))"""
+_FLOW = """fl AS (SELECT instrument_id, nav_date, CASE WHEN lag(aum) OVER w IS NOT NULL THEN greatest(-0.25, least(0.25, (aum - lag(aum) OVER w * nav / lag(nav) OVER w) / lag(aum) OVER w)) END AS flow FROM nav WHERE nav > 0 AND aum > 0 WINDOW w AS (PARTITION BY instrument_id ORDER BY nav_date))"""
 
 
 @query("wn19_external_flows", oracle(f"WITH {_FLOW} SELECT instrument_id, nav_date, round(flow, 6) AS flow FROM fl WHERE flow IS NOT NULL", "nav"))

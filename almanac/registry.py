@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("series",)
+MODULES: tuple[str, ...] = ("series", "joins", "portfolios")
 
 
 @dataclass(frozen=True)
