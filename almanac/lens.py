@@ -24,12 +24,12 @@ VIEWS = {
     "ret": """SELECT instrument_id, nav_date, nav, aum, r, row_number() OVER (PARTITION BY instrument_id ORDER BY nav_date DESC) AS rn
         FROM (SELECT *, nav / lag(nav) OVER (PARTITION BY instrument_id ORDER BY nav_date) - 1 AS r FROM {nav}) t WHERE abs(r) <= 0.5""",
     "bret": "SELECT nav_date, b FROM (SELECT nav_date, nav / lag(nav) OVER (ORDER BY nav_date) - 1 AS b FROM {bench}) t WHERE abs(b) <= 0.5",
-    "prices": """SELECT CAST(l_partkey AS STRING) AS ticker, CAST(l_shipdate AS DATE) AS date, round(avg(l_extendedprice / l_quantity), 6) AS close, sum(l_quantity) AS volume
+    "prices": """SELECT CAST(l_partkey AS STRING) AS ticker, CAST(l_shipdate AS DATE) AS date, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / sum(l_quantity) / 103.19e0 AS close, sum(l_quantity) AS volume
         FROM {lineitem} GROUP BY l_partkey, CAST(l_shipdate AS DATE)""",
     # Macro series and their revisions.
-    "macro": """SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS obs_date, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 5e6 AS value
+    "macro": """SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS obs_date, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 5.1719e6 AS value
         FROM {orders} GROUP BY o_orderpriority, CAST(o_orderdate AS DATE)""",
-    "monthly": """SELECT o_orderpriority AS series_id, CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS obs_date, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 5e6 AS value
+    "monthly": """SELECT o_orderpriority AS series_id, CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS obs_date, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 5.1719e6 AS value
         FROM {orders} GROUP BY o_orderpriority, CAST(date_trunc('MONTH', o_orderdate) AS DATE)""",
     "vintages": """SELECT series_id, observation_period, vintage_date, CAST(vintage_date AS TIMESTAMP) AS available_at, value,
         row_number() OVER (PARTITION BY series_id, observation_period ORDER BY vintage_date) - 1 AS revision_number

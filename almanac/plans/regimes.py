@@ -11,11 +11,11 @@ from almanac.operators import asof, pit, regimes as S
 from almanac.plans.series import _r6
 from almanac.registry import query
 
-_SC = "sc AS (SELECT series_id AS axis, obs_date AS d, (value - 3) / 1.7e0 AS score, day(obs_date) % 4 > 0 AS sure FROM macro)"
+_SC = "sc AS (SELECT series_id AS axis, obs_date AS d, (value - 3) / 1.7319e0 AS score, day(obs_date) % 4 > 0 AS sure FROM macro)"
 
 
 def _scores(spark, sf_dir):
-    return view(spark, sf_dir, "macro").select(F.col("series_id").alias("axis"), F.col("obs_date").alias("d"), ((F.col("value") - 3) / 1.7).alias("score"), (F.dayofmonth("obs_date") % 4 > 0).alias("sure"))
+    return view(spark, sf_dir, "macro").select(F.col("series_id").alias("axis"), F.col("obs_date").alias("d"), ((F.col("value") - 3) / 1.7319).alias("score"), (F.dayofmonth("obs_date") % 4 > 0).alias("sure"))
 
 
 _BAND = """w AS (SELECT series_id, obs_date, value, list_sort(list(value) OVER (PARTITION BY series_id ORDER BY obs_date ROWS BETWEEN 252 PRECEDING AND 1 PRECEDING)) AS l FROM macro),
@@ -105,14 +105,14 @@ def latched_live(spark, sf_dir):
     return S.latched_sign(_scores(spark, sf_dir), ["axis"], "d", "score", 1.0, 0.25, "sure").select("axis", "d", "internal", "effective", "reason")
 
 
-_Z = "z AS (SELECT obs_date AS d, series_id, CASE WHEN value < 6 THEN (value - 3) / 1.7e0 END AS z, CASE series_id WHEN '1-URGENT' THEN 0.4 WHEN '2-HIGH' THEN 0.3 WHEN '3-MEDIUM' THEN -0.2 ELSE 0.1 END AS w FROM macro)"
+_Z = "z AS (SELECT obs_date AS d, series_id, CASE WHEN value < 6 THEN (value - 3) / 1.7319e0 END AS z, CASE series_id WHEN '1-URGENT' THEN 0.4 WHEN '2-HIGH' THEN 0.3 WHEN '3-MEDIUM' THEN -0.2 ELSE 0.1 END AS w FROM macro)"
 
 
 def _z(spark, sf_dir):
     """Source registry as data: a small table of weights joined to the series."""
     registry = spark.createDataFrame([("1-URGENT", 0.4), ("2-HIGH", 0.3), ("3-MEDIUM", -0.2)], "series_id string, w double")
     m = view(spark, sf_dir, "macro").join(F.broadcast(registry), "series_id", "left")
-    return m.select(F.col("obs_date").alias("d"), "series_id", F.when(F.col("value") < 6, (F.col("value") - 3) / 1.7).alias("z"), F.coalesce("w", F.lit(0.1)).alias("w"))
+    return m.select(F.col("obs_date").alias("d"), "series_id", F.when(F.col("value") < 6, (F.col("value") - 3) / 1.7319).alias("z"), F.coalesce("w", F.lit(0.1)).alias("w"))
 
 
 @query("st10_st14_st19_axis_score", oracle(f"WITH {_Z} SELECT d, round(sum(w * z) / sum(abs(w)) FILTER (z IS NOT NULL), 6) AS score, count(z) AS n FROM z GROUP BY d", "macro"))
@@ -404,10 +404,10 @@ def gates(spark, sf_dir):
     return m.select("axis", F.round("rate", 6).alias("rate"), F.when((F.col("rate") >= 0.6) & (F.col("n") >= 100), "go").otherwise("no-go").alias("gate"))
 
 
-@query("prj15_prj17_indicator_scores", oracle("""SELECT series_id, obs_date, round(greatest(0, least(100, 50 + 10 * (v - 3))), 6) AS linear, round(CASE WHEN v <= 2 THEN 20.0 WHEN v <= 4 THEN 20 + 30 * (v - 2) ELSE 80.0 END, 6) AS piecewise, round(greatest(0, 100 * (1 - abs(v - 3) / 4)), 6) AS peaked FROM (SELECT *, value / 1.7e0 AS v FROM macro)""", "macro"))
+@query("prj15_prj17_indicator_scores", oracle("""SELECT series_id, obs_date, round(greatest(0, least(100, 50 + 10 * (v - 3))), 6) AS linear, round(CASE WHEN v <= 2 THEN 20.0 WHEN v <= 4 THEN 20 + 30 * (v - 2) ELSE 80.0 END, 6) AS piecewise, round(greatest(0, 100 * (1 - abs(v - 3) / 4)), 6) AS peaked FROM (SELECT *, value / 1.7319e0 AS v FROM macro)""", "macro"))
 def indicator_scores(spark, sf_dir):
     from almanac.functions.metrics import peaked
 
-    v = F.col("value") / 1.7
+    v = F.col("value") / 1.7319
     linear = F.greatest(F.lit(0.0), F.least(F.lit(100.0), 50 + 10 * (v - 3)))
     return _r6(view(spark, sf_dir, "macro").select("series_id", "obs_date", linear.alias("linear"), F.when(v <= 2, 20.0).when(v <= 4, 20 + 30 * (v - 2)).otherwise(80.0).alias("piecewise"), peaked(v, 3.0, 4.0).alias("peaked")))

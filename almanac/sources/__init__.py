@@ -1 +1 @@
-
+"""Sources: raw payloads to typed rows."""
