@@ -1,13 +1,16 @@
 """One-permutation MinHash fingerprints in Spark expressions.
 
 Each five-word shingle is hashed once. The top eight bits of the hash choose one of 256 bins, which keeps its least hash.
-An empty bin is filled by optimal densification: it takes the value of the full bin that comes first in an order of its
-own, drawn by hashing (empty bin, full bin), so two texts fill alike where their full bins agree. A fingerprint stores the
-low four bits of each bin, of its value hashed once more so that values shared by bins differ. Unlike bins agree in one case of sixteen by chance, and ``likeness`` takes that out.
+An empty bin is filled by optimal densification: it takes the value of the first full bin in a random order of its own,
+the same for all texts. A fingerprint stores four bits of each bin, of its value hashed once more with the bin, so that a
+value that fills several bins agrees by chance in each of them independently. Unlike bins agree in one case of sixteen,
+and ``likeness`` takes that out.
 """
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,20 +26,40 @@ def _bin(h: Column) -> Column:
     return F.shiftrightunsigned(h, 56)
 
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+#: In each bin the value beyond all others, which stands for an empty bin. In signed order bins 128 to 255 come first.
+EMPTY = sorted(_signed((k << 56) | _LOW) for k in range(BINS))
+
+
+def probes(n: int = 16, seed: int = 11) -> list[list[int]]:
+    """For each place of a bin the places to take a value from when it is empty, in order."""
+    rng = random.Random(seed)
+    return [[rng.randrange(BINS) for _ in range(n)] for _ in range(BINS)]
+
+
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with a fingerprint of the whole text column, as 256 hexadecimal digits. Texts of fewer than five words count as
-    one shingle; null and empty texts are the empty shingle."""
+    one shingle; null and empty texts are the empty shingle.
+
+    Each bin's own end value is sorted in with the hashes, so the first value of every bin stands in its place. An empty
+    bin tries its probes in turn; should all be empty, it takes the full bin that comes first by a hash of both.
+    """
     keep = [c for c in df.columns if c != out]
     shingle = lambda i: F.xxhash64(*(F.get("_w", i + k) for k in range(SHINGLE)))  # noqa: E731  missing words are skipped
     df = df.select(*keep, words_of(F.col(text)).alias("_w"))
-    df = df.select(*keep, F.sort_array(F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - SHINGLE, F.lit(0))), shingle)).alias("_h"))
+    hashes = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - SHINGLE, F.lit(0))), shingle)
+    df = df.select(*keep, F.sort_array(F.concat(hashes, F.lit(EMPTY))).alias("_h"))
     df = df.select(*keep, F.filter("_h", lambda h, i: (i == 0) | (_bin(h) != _bin(F.get("_h", i - 1)))).alias("_m"))
-    chosen = lambda b: F.array_min(F.transform("_m", lambda m: F.struct(F.xxhash64(b, _bin(m)).alias("order"), m.alias("h"))))["h"]
-    filled = lambda b: F.shiftleft(b, 56).bitwiseOR(chosen(b).bitwiseAND(F.lit(_LOW)))
-    empty = F.array_except(F.sequence(F.lit(0).cast("bigint"), F.lit(BINS - 1).cast("bigint")), F.transform("_m", _bin))
-    dense = F.when(F.size("_m") == BINS, F.col("_m")).otherwise(F.sort_array(F.concat("_m", F.transform(empty, filled))))
-    df = df.select(*keep, dense.alias("_d"))
-    return df.select(*keep, F.lower(F.array_join(F.transform("_d", lambda h: F.hex(F.xxhash64(h).bitwiseAND(F.lit(2**BITS - 1)))), "")).alias(out))
+    df = df.select(*keep, F.transform("_m", lambda h: F.when(h.bitwiseAND(F.lit(_LOW)) != _LOW, h)).alias("_m"))
+    df = df.select(*keep, "_m", F.array_compact("_m").alias("_full"))
+    table, n = F.lit(probes()), len(probes()[0])
+    last = lambda i: F.array_min(F.transform("_full", lambda m: F.struct(F.xxhash64(i, _bin(m)).alias("order"), m.alias("h"))))["h"]
+    value = lambda h, i: F.coalesce(h, *(F.get("_m", F.get(F.get(table, i), F.lit(t))) for t in range(n)), last(i))
+    bits = lambda h, i: F.hex(F.xxhash64(value(h, i), i).bitwiseAND(F.lit(2**BITS - 1)))
+    return df.select(*keep, F.lower(F.array_join(F.transform("_m", bits), "")).alias(out))
 
 
 def likeness(a: Column, b: Column) -> Column:
