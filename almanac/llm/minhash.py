@@ -1,6 +1,6 @@
 """One-permutation MinHash fingerprints in Spark expressions.
 
-Each five-word shingle is hashed once. The top eight bits of the hash choose one of 256 bins, which keeps its least hash.
+Each five-word shingle is hashed once. The top seven bits of the hash choose one of 128 bins, which keeps its least hash.
 An empty bin is filled by optimal densification: it takes the value of the first full bin in a random order of its own,
 the same for all texts. A fingerprint stores four bits of each bin, of its value hashed once more with the bin, so that a
 value that fills several bins agrees by chance in each of them independently. Unlike bins agree in one case of sixteen,
@@ -16,22 +16,24 @@ from pyspark.sql import functions as F
 
 from almanac.llm.common import words_of
 
-SHINGLE, BINS, BITS = 5, 256, 4
-_LOW = (1 << 56) - 1
+SHINGLE, BINS, BITS = 5, 128, 4
+#: Bits of a hash below those that choose its bin.
+_REST = 64 - (BINS - 1).bit_length()
+_LOW = (1 << _REST) - 1
 #: Rows a bucket of neighbouring ids aims at, and the most buckets.
 ROWS, BUCKETS = 1000, 100_000
 
 
 def _bin(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 56)
+    return F.shiftrightunsigned(h, _REST)
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-#: In each bin the value beyond all others, which stands for an empty bin. In signed order bins 128 to 255 come first.
-EMPTY = sorted(_signed((k << 56) | _LOW) for k in range(BINS))
+#: In each bin the value beyond all others, which stands for an empty bin. In signed order the upper half of the bins comes first.
+EMPTY = sorted(_signed((k << _REST) | _LOW) for k in range(BINS))
 
 
 def probes(n: int = 16, seed: int = 11) -> list[list[int]]:
@@ -41,7 +43,7 @@ def probes(n: int = 16, seed: int = 11) -> list[list[int]]:
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """df with a fingerprint of the whole text column, as 256 hexadecimal digits. Texts of fewer than five words count as
+    """df with a fingerprint of the whole text column, as 128 hexadecimal digits. Texts of fewer than five words count as
     one shingle; null and empty texts are the empty shingle.
 
     Each bin's own end value is sorted in with the hashes, so the first value of every bin stands in its place. An empty

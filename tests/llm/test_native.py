@@ -129,16 +129,16 @@ def test_minhash(spark):
         assert Counter((r.id, r.text, r.edited) for r in got) == Counter(w[:3] for w in want)
         prints, errors = {}, []
         for r in got:
-            assert prints.setdefault(r.text, r.fingerprint) == r.fingerprint and len(r.fingerprint) == 256
+            assert prints.setdefault(r.text, r.fingerprint) == r.fingerprint and len(r.fingerprint) == minhash.BINS
             a, b = shingles(r.text), shingles(r.edited)
             errors.append(abs(r.e - len(a & b) / len(a | b)))
             assert (r.text != r.edited) or r.e == 1
-        assert max(errors) < 0.2 and sum(errors) / len(errors) < 0.05
+        assert max(errors) < 0.25 and sum(errors) / len(errors) < 0.05
         follows = {}
         for i, t, _, after in want:
             follows.setdefault((i, t), set()).add(after)
         for r in got:
-            assert any(abs(r.n - len(shingles(r.text) & shingles(x)) / len(shingles(r.text) | shingles(x))) < 0.2 for x in follows[r.id, r.text])
+            assert any(abs(r.n - len(shingles(r.text) & shingles(x)) / len(shingles(r.text) | shingles(x))) < 0.25 for x in follows[r.id, r.text])
     assert minhash.fingerprints(data.empty(spark)).count() == 0
 
 
