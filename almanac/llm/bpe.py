@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Most states a worker remembers, and half of the most pieces; beyond, it starts anew.
-STATES, PIECES = 300_000, 350_000
+STATES, PIECES = 150_000, 200_000
 #: Stands for a prefix in which no live token ends.
 NO_TOKEN = (-1, -2)
 BYTES = [bytes((k,)) for k in range(256)]
+EMIT = 24
+MASK = (1 << EMIT) - 1
 
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
@@ -44,7 +46,10 @@ class Transducer:
         #: Of each state: its last token, the bytes after it, for each prefix of these the start and the token of its end,
         #: and the prefixes after which a token may start that isn't over.
         self.about: list[tuple[int, bytes, list[tuple[int, int]], list[int]]] = []
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = []
+        #: By state and byte: the next state, and in the low bits the number of what is emitted, 0 for nothing.
+        self.moves: dict[int, int] = {}
+        self.emitted: dict[tuple[int, ...], int] = {(): 0}
+        self.emits: list[tuple[int, ...]] = [()]
         self.ends: list[tuple[int, ...] | None] = []
         self._state(-1, b"", [(-1, -1)], [0])
 
@@ -53,7 +58,6 @@ class Transducer:
         if key not in self.number:
             self.number[key] = len(self.about)
             self.about.append((last, rest, lasts, live))
-            self.moves.append({})
             self.ends.append(None)
         return self.number[key]
 
@@ -94,7 +98,7 @@ class Transducer:
         known = self.fits.get(key)
         if known is not None:
             return known
-        if len(self.fits) > 4 * STATES:
+        if len(self.fits) > 2 * STATES:
             self.fits.clear()
         ranks, tokens, ok, until = self.ranks, self.tokens, a >= 0, 1 << 60
         while ok:
@@ -163,14 +167,18 @@ class Transducer:
             return (whole,)
         if len(self.about) > STATES:
             self._reset()
-        state, out = 0, []
+        state, out, moves, emits = 0, [], self.moves, self.emits
         for byte in piece:
-            move = self.moves[state].get(byte)
+            move = moves.get(state << 8 | byte)
             if move is None:
-                move = self.moves[state][byte] = self._move(state, byte)
-            state = move[0]
-            if move[1]:
-                out += move[1]
+                after, sure = self._move(state, byte)
+                at = self.emitted.setdefault(sure, len(emits))
+                if at == len(emits):
+                    emits.append(sure)
+                move = moves[state << 8 | byte] = after << EMIT | at
+            state = move >> EMIT
+            if move & MASK:
+                out += emits[move & MASK]
         if self.ends[state] is None:
             _, rest, lasts, _ = self.about[state]
             path, k = [], len(rest)
