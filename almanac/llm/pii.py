@@ -39,7 +39,7 @@ PATTERNS = {
 #: A cheap sign that a text may hold a kind.
 SIGNS = {"email": ("@",), "phone": ("+",), "ssn": ("-",), "ip": (".",), "ipv6": (":",)}
 AROUND = 40
-_octet = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
+_octet = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])?"  # zeros alone count as zero
 CONTEXT = r"(?i)(?:mail|contact|write|call|phone|tel|fax|mobile|card|visa|pay|account|address|host|server|client|ssn|social|iban|bank|key|secret|token|login)"
 PRECISION, TREES, RATE = 0.9, 24, 0.3
 

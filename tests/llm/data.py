@@ -11,7 +11,7 @@ def rows():
     long = " ".join(f"word{k % 977} and" for k in range(12000))
     texts = [
         base, base, base + " again", None, "", " \t\n ", "one", "two words", long, long + " end",
-        "write to a.b-c@mail.example.com, x@y or @z.com; 10.0.0.256 and 192.168.1.10 and 1.2.3.4.5.6.7.8",
+        "write to a.b-c@mail.example.com, x@y or @z.com; 10.0.0.256 and 192.168.1.10 and 1.2.3.4.5.6.7.8; 10.0.0.1, 010.000.00.255, 0.0.0.0, 1.2.3.256",
         "card 4111 1111 1111 1111, 4111-1111-1111-1112, 12345; call +1 (743) 555-3824 or +12 or +1234567890123456",
         'api_key = "66a6345cee33dd66a6345cee" ssn 123-45-6789 phone (212) 555-0100',
         "CC BY 4.0. cc by cc by; GNU General Public License version 3. All rights reserved", "Licensed under the MIT License. SPDX-License-Identifier: Apache-2.0",
