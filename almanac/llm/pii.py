@@ -23,11 +23,11 @@ BASE = ("email", "ip", "card", "phone")
 ADDED = ("written_email", "local_phone", "ssn", "iban", "secret", "ipv6")
 KINDS = BASE + ADDED
 # The base patterns match what their plain forms match, without starting anew inside a run: a match begins where a run
-# begins or where the match before ended.
+# begins or where the match before ended. Runs with too few or too many digits for a card are left out at once.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "written_email": r"(?i)[a-z0-9._%+-]{2,40}+ ?[\[(] ?at ?[\])] ?[a-z0-9-]{2,40}+(?: ?[\[(] ?dot ?[\])] ?|\.)[a-z]{2,10}+",
     "local_phone": r"\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}[0-9]*+",
@@ -38,7 +38,6 @@ PATTERNS = {
 }
 #: A cheap sign that a text may hold a kind.
 SIGNS = {"email": ("@",), "phone": ("+",), "ssn": ("-",), "ip": (".",), "ipv6": (":",)}
-AROUND = 40
 _octet = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])?"  # zeros alone count as zero
 CONTEXT = r"(?i)(?:mail|contact|write|call|phone|tel|fax|mobile|card|visa|pay|account|address|host|server|client|ssn|social|iban|bank|key|secret|token|login)"
 PRECISION, TREES, RATE = 0.9, 24, 0.3
@@ -79,9 +78,9 @@ def _around(c: Column) -> Column:
     return F.when(c == "", 0).when(c.rlike(r"^\s$"), 1).when(c.rlike(r"^[0-9A-Za-z]$"), 2).otherwise(3)
 
 
-def _features(text: Column, span: Column) -> list[Column]:
+def _features(span: Column) -> list[Column]:
     found, digits = span["found"], F.length(_digits(span["found"]))
-    before = F.substring(text, F.greatest(span["start"] - AROUND, F.lit(0)) + 1, F.least(span["start"], F.lit(AROUND)))
+    before = span["before"]
     level = lambda x, *cuts: sum(((x > c).cast("int") for c in cuts), F.lit(0))
     return [
         F.array_position(F.lit(list(KINDS)), span["kind"]).cast("int") - 1,
@@ -89,7 +88,7 @@ def _features(text: Column, span: Column) -> list[Column]:
         level(digits * 8 / F.length(found), 0, 2, 4, 6),
         level(F.length(F.regexp_replace(found, "[0-9A-Za-z]+", "")), 0, 2, 4),
         _around(F.substring(before, F.lit(-1), F.lit(1))),
-        _around(F.substring(text, span["end"] + 1, F.lit(1))),
+        _around(span["after"]),
         before.rlike(CONTEXT).cast("int"),
     ]
 
@@ -100,7 +99,7 @@ def with_candidates(df: DataFrame, text: str, out: str = "candidates") -> DataFr
     body = F.coalesce(F.col(text), F.lit(""))
     found = [F.when(F.greatest(*(F.contains(body, F.lit(s)) for s in SIGNS[k]), F.lit(False)), spans(body, F.lit(PATTERNS[k]), F.lit(k))).otherwise(F.array().cast(SPANS)) if k in SIGNS else spans(body, F.lit(PATTERNS[k]), F.lit(k)) for k in KINDS]
     df = df.select(*keep, F.concat(*found).alias("_spans"))
-    one = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _accepts(s["kind"], s["found"]).alias("accepted"), F.array(*_features(body, s)).alias("x"))
+    one = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _accepts(s["kind"], s["found"]).alias("accepted"), F.array(*_features(s)).alias("x"))
     return df.select(*keep, F.transform("_spans", one).alias(out))
 
 

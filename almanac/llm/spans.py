@@ -5,20 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPANS = "array<struct<kind:string,start:int,end:int,found:string>>"
+AROUND = 40
+SPANS = "array<struct<kind:string,start:int,end:int,found:string,before:string,after:string>>"
 
 
 def spans(text: Column, pattern: Column, kind: Column) -> Column:
-    """(kind, start, end, found) of each match in order; code points from 0, end exclusive.
+    """(kind, start, end, found, before, after) of each match in order; code points from 0, end exclusive.
 
-    Exact for patterns whose matches do not depend on what stands around them: such a match is the first place of its own
-    characters after the match before, for any earlier place would have matched as well.
+    The texts between the matches, split off by the same pattern, give the places by their lengths, and up to AROUND
+    characters before and one after each match, so the work follows the text's length.
     """
-    start = F.struct(F.lit(1).alias("at"), F.array().cast(SPANS).alias("out"))
-
-    def step(state, found):
-        at = F.call_function("locate", found, text, state["at"])
-        span = F.struct(kind.alias("kind"), (at - 1).alias("start"), (at - 1 + F.length(found)).alias("end"), found.alias("found"))
-        return F.struct((at + F.length(found)).alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
-
-    return F.aggregate(F.regexp_extract_all(text, pattern, F.lit(0)), start, step)["out"]
+    found, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, -1)
+    piece = lambda m, i: F.struct(m.alias("found"), F.length(F.get(gaps_of, i)).alias("gap"), F.right(F.get(gaps_of, i), F.lit(AROUND)).alias("before"), F.left(F.get(gaps_of, i + 1), F.lit(1)).alias("after"))
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
+
+    def step(state, p):
+        start = state["at"] + p["gap"]
+        end = start + F.length(p["found"])
+        span = F.struct(kind.alias("kind"), start.alias("start"), end.alias("end"), p["found"].alias("found"), p["before"].alias("before"), p["after"].alias("after"))
+        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+
+    # A one-element transform names both arrays, so that each is made once.
+    pair = F.array(F.struct(found.alias("found"), gaps.alias("gaps")))
+
+    def placed(x):
+        nonlocal gaps_of
+        gaps_of = x["gaps"]
+        return F.aggregate(F.transform(x["found"], piece), empty, step)["out"]
+
+    gaps_of: Column = gaps
+    return F.when(F.regexp_like(text, pattern), F.flatten(F.transform(pair, placed))).otherwise(F.array().cast(SPANS))
