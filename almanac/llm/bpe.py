@@ -197,11 +197,14 @@ def kinds() -> np.ndarray:
     """Letter, number, blank or other (0), for every code point."""
     global _kinds
     if _kinds is None:
-        table, codes = np.zeros(0x110000, np.uint8), [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-        every, codes = "".join(map(chr, codes)), np.array(codes)
-        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (BLANK, r"\s+")):
-            for m in regex.finditer(pattern, every):
-                table[codes[m.start() : m.end()]] = kind
+        table = np.zeros(0x110000, np.uint8)
+        for first in range(0, 0x110000, 4096):  # in parts, or a worker would hold a million strings at once
+            if 0xD800 <= first < 0xE000:
+                continue
+            part = "".join(map(chr, range(first, first + 4096)))
+            for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (BLANK, r"\s+")):
+                for m in regex.finditer(pattern, part):
+                    table[first + m.start() : first + m.end()] = kind
         _kinds = table
     return _kinds
 
