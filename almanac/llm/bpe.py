@@ -19,8 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most states a worker remembers, and half of the most pieces; beyond, it starts anew.
-STATES, PIECES = 150_000, 200_000
+#: Half of the most pieces a worker remembers; states and pairs follow it. Beyond, it starts anew.
+PIECES = 200_000
 #: Stands for a prefix in which no live token ends.
 NO_TOKEN = (-1, -2)
 BYTES = [bytes((k,)) for k in range(256)]
@@ -34,7 +34,8 @@ def load_ranks(data: bytes) -> dict[bytes, int]:
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int]) -> None:
+    def __init__(self, ranks: dict[bytes, int], most: int = 150_000) -> None:
+        self.most = most
         self.ranks, self.tokens = ranks, {rank: token for token, rank in ranks.items()}
         self.starts = {token[:k] for token in ranks for k in range(1, len(token))}
         self.fits: dict[tuple[int, int], bool] = {}
@@ -98,7 +99,7 @@ class Transducer:
         known = self.fits.get(key)
         if known is not None:
             return known
-        if len(self.fits) > 2 * STATES:
+        if len(self.fits) > 2 * self.most:
             self.fits.clear()
         ranks, tokens, ok, until = self.ranks, self.tokens, a >= 0, 1 << 60
         while ok:
@@ -165,7 +166,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self.about) > STATES:
+        if len(self.about) > self.most:
             self._reset()
         state, out, moves, emits = 0, [], self.moves, self.emits
         for byte in piece:
@@ -243,12 +244,12 @@ def pieces(text: str) -> list[str]:
 class Encoder(dict):
     """Tokens of pieces, kept up to a bound; the encoder of whole texts."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
+    def __init__(self, ranks: dict[bytes, int], remember: int = PIECES) -> None:
         super().__init__()
-        self.machine, self.older = Transducer(ranks), {}
+        self.machine, self.older, self.most = Transducer(ranks, 3 * remember // 4), {}, remember
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= PIECES:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         found = self.older.get(piece)
@@ -293,25 +294,27 @@ def decode(ids: np.ndarray, tokens: dict[int, bytes], step: int = 4096) -> str:
     return "".join([*out, stream.end()])
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[tuple[int, int], Encoder] = {}
 
 
-def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", remember: int = PIECES) -> DataFrame:
     """(id, ids, decoded) per row of docs: token ids of the whole text, and the text decoded from these ids again.
 
-    path: a rank file that the driver can read; its content is of fixed size and is sent to the workers. A null or empty
+    path: a rank file that the driver can read; its content is of fixed size and is sent to the workers. remember: how much
+    a worker remembers, memory against time. A null or empty
     text has no tokens and decodes to an empty text. Rows stay as they are, repeated ones too; other columns aren't read.
     """
     with open(path, "rb") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches):
+        pa.default_memory_pool().release_unused()  # of stages that ran in this worker before
         gc.disable()  # what is remembered holds no cycles, and would be searched for them again and again
         data = content.value
-        key = hash(data)
+        key = hash(data), remember
         if key not in _encoders:
             _encoders.clear()
-            _encoders[key] = Encoder(load_ranks(data))
+            _encoders[key] = Encoder(load_ranks(data), remember)
         encoder = _encoders[key]
         tokens = encoder.machine.tokens
         for batch in batches:

@@ -12,6 +12,8 @@ from almanac.llm import bpe, langid, mixing, pii, simhash
 from almanac.llm.common import fold, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Workers still hold memory of the stages before, so the last one remembers less than it would alone.
+REMEMBER = 60_000
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +38,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: (id, ids, decoded) per document."""
-    return bpe.encode_documents(docs, public_tokenizers.path(VOCABULARY))
+    return bpe.encode_documents(docs, public_tokenizers.path(VOCABULARY), remember=REMEMBER)
 
 
 STAGES = [("language_id", known_language), ("simhash_dedup", one_of_each), ("pii", without_personal_data), ("mixing", mixed), ("bpe", encoded)]
