@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Half of the most pieces a worker remembers; states and pairs follow it. Beyond, it starts anew.
-PIECES = 200_000
+PIECES = 350_000
 #: Stands for a prefix in which no live token ends.
 NO_TOKEN = (-1, -2)
 BYTES = [bytes((k,)) for k in range(256)]
