@@ -54,8 +54,8 @@ def rules() -> list[tuple[str, str, str, int]]:
     return sorted(out, key=lambda r: (-r[3], r[0], r[2]))
 
 
-#: Any of these stands in a text on which a rule or a base phrase can match.
-SIGNS = ("licen", "cc", "copyright", "©", "rights", "public", "gpl", "wtfpl", "bsd", "proprietary", "redistribut")
+#: Any of these stands in a text on which a rule or a base phrase can match; a test holds every rule against them.
+SIGNS = ("licen", "cc", "creative commons", "copyright", "©", "rights", "public", "gpl", "wtfpl", "bsd", "proprietary", "redistribut")
 
 
 def detections(text: Column, low: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -69,6 +70,44 @@ def test_licenses(spark, tmp_path):
     assert licenses.scan(data.empty(spark)).count() == 0
 
 
+def sampled(pattern, rng):
+    """A text that the pattern matches as a whole."""
+
+    def walk(nodes):
+        out = ""
+        for op, arg in nodes:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(arg)
+            elif op == "BRANCH":
+                out += walk(rng.choice(arg[1]))
+            elif op == "SUBPATTERN":
+                out += walk(arg[-1])
+            elif op == "MAX_REPEAT":
+                least, most, body = arg
+                out += "".join(walk(body) for _ in range(rng.randint(least, min(most, least + 1))))
+            elif op == "IN":
+                kinds = {str(k): v for k, v in arg}
+                out += "~" if "NEGATE" in kinds else " " if "CATEGORY" in kinds else chr(rng.choice([v for k, v in arg for v in (v if str(k) == "RANGE" else (v,))]))
+            else:
+                assert op == "AT", op
+        return out
+
+    return walk(re._parser.parse(pattern))
+
+
+def test_every_license_rule_opens_the_gate(spark):
+    rng, every = random.Random(3), [(label, re.compile(pattern, re.I | re.A), rank) for label, _, pattern, rank in licenses.rules()]
+    texts = ["Creative Commons Attribution-ShareAlike 4.0", *(sampled(pattern, rng) for _, _, pattern, _ in licenses.rules() for _ in range(4))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.id: r.found for r in licenses.scan(docs).collect()}
+    for k, text in enumerate(texts):
+        spans = {(m.start(), m.end(), label, rank) for label, rule, rank in every for m in rule.finditer(text)}
+        kept = {a for a in spans if not any(b[0] <= a[0] and b[1] >= a[1] and (b[3] > a[3] or b[3] == a[3] and b[1] - b[0] > a[1] - a[0]) for b in spans)}
+        assert kept and {(s.start, s.end, s.label, s.rank) for s in found[k]} == kept, text
+    assert [s.label for s in found[0]] == ["cc-by-sa-4.0"]
+
+
 def test_mixing(spark):
     docs = data.documents(spark)
     rows = mixing.mix(mixing.measured(docs)).collect()
