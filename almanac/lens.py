@@ -37,7 +37,6 @@ VIEWS = {
             FROM (SELECT o_orderpriority AS series_id, CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS observation_period,
                     greatest(last_day(CAST(l_shipdate AS DATE)), last_day(CAST(o_orderdate AS DATE))) AS vintage_date, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS v
                   FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey
-                  WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
                   GROUP BY o_orderpriority, CAST(date_trunc('MONTH', o_orderdate) AS DATE), greatest(last_day(CAST(l_shipdate AS DATE)), last_day(CAST(o_orderdate AS DATE)))) a) b""",
     "ticks": "SELECT event_id, CAST(user_id AS STRING) AS symbol, event_type AS series_id, ts, value AS price FROM {events}",
     "short_vintages": """SELECT series_id, observation_period, available_at, value, row_number() OVER (PARTITION BY series_id, observation_period ORDER BY available_at, event_id) - 1 AS revision_number
