@@ -146,10 +146,13 @@ def monotonic_matches(a: DataFrame, b: DataFrame, by: str, date: str, most: int)
     import numpy as np
 
     def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):  # a key of one side only
+            return pd.DataFrame([], columns=[by, "a_date", "b_date", "lag"])
         days = [np.sort(pd.to_datetime(x[date]).to_numpy().astype("datetime64[D]")) for x in (left, right)]
         out, at = [], 0
         for d in days[0]:
-            lag = np.array([np.sign((m - d).astype(int)) * (np.busday_count(min(d, m), max(d, m) + 1) - 1) for m in days[1][at:]], int)
+            m = days[1][at:]
+            lag = np.sign((m - d).astype(int)) * (np.busday_count(np.minimum(d, m), np.maximum(d, m) + 1) - 1)
             fits = np.flatnonzero(np.abs(lag) <= most)
             if len(fits):
                 best = min(fits, key=lambda k: (abs(lag[k]), lag[k]))

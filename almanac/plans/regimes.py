@@ -262,7 +262,8 @@ def nearest_lags(spark, sf_dir):
 
 @query("rp03_monotonic_matches")
 def monotonic_matches(spark, sf_dir):
-    t = S.transitions(_states(spark, sf_dir), ["axis"], "d", "state").withColumn("k", F.year("d"))
+    # One sequence, as a match may cross any date; both sides are as short as the calendar.
+    t = S.transitions(_states(spark, sf_dir), ["axis"], "d", "state").withColumn("k", F.lit(1))
     return S.monotonic_matches(t.where("axis = '1-URGENT'"), t.where("axis = '2-HIGH'"), "k", "d", 126)
 
 

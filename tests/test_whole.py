@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from almanac.lens import view
+from almanac.operators import regimes as S
+from almanac.plans import regimes
 from almanac.registry import load
 
 DATA = "/root/testdata/sf0.001"
@@ -16,3 +20,31 @@ def test_vintages_of_every_series(spark):
     assert len(every) == 5 and {r[0] for r in view(spark, DATA, "vintages").select("series_id").distinct().collect()} == every
     for name in ("pit01_asof_read", "pit04_freshness", "pit05_pit06_revisions", "pit07_series_audit", "pit08_merged_batches", "src06_wide_vintages", "st15_soft_threshold"):
         assert {r[0] for r in load()[name].run(spark, DATA).select("series_id").distinct().collect()} == every, name
+
+
+def business_days(a, b):
+    """From a to b, signed; both ends count, less one."""
+    lo, hi = min(a, b), max(a, b)
+    n = sum((lo + dt.timedelta(k)).weekday() < 5 for k in range((hi - lo).days + 1)) - 1
+    return 0 if a == b else n if b > a else -n
+
+
+def test_matches_cross_new_year(spark):
+    where = "/root/testdata/sf0.01"
+    rows = S.transitions(regimes._states(spark, where), ["axis"], "d", "state").collect()
+    left, right = (sorted(r.d for r in rows if r.axis == axis) for axis in ("1-URGENT", "2-HIGH"))
+    want, at = [], 0
+    for d in left:
+        near = [(abs(lag), lag, k) for k in range(at, len(right)) if abs((right[k] - d).days) < 200 and abs(lag := business_days(d, right[k])) <= 126]
+        if near:
+            _, lag, k = min(near)
+            want.append((d, right[k], lag))
+            at = k + 1
+    assert any(a.year != b.year for a, b, _ in want)
+    assert sorted((r.a_date, r.b_date, r.lag) for r in load()["rp03_monotonic_matches"].run(spark, where).collect()) == want
+
+
+def test_matches_of_one_side_only(spark):
+    a = spark.createDataFrame([(1, dt.date(2000, 1, 1)), (2, dt.date(2000, 1, 1))], "k int, d date")
+    assert [r.k for r in S.monotonic_matches(a, a.where("k = 1"), "k", "d", 126).collect()] == [1]
+    assert S.monotonic_matches(a.where("k = 1"), a.where("k = 2"), "k", "d", 126).count() == 0
