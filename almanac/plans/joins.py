@@ -113,11 +113,11 @@ def first_by_order(spark, sf_dir):
     return view(spark, sf_dir, "part").where("p_type IS NOT NULL").groupBy("p_brand").agg(F.min_by("p_type", F.struct("p_size", "p_partkey")).alias("first_type"))
 
 
-@query("jn18_interval_slices", oracle("""WITH t AS (SELECT DISTINCT instrument_id, last_day(nav_date) AS as_of FROM nav WHERE nav_date >= DATE '1997-01-01' AND nav_date < DATE '1997-07-01')
+@query("jn18_interval_slices", oracle("""WITH t AS (SELECT DISTINCT instrument_id, last_day(nav_date) AS as_of FROM nav)
     SELECT t.instrument_id, as_of, count(*) AS n, round(avg(nav), 6) AS mean FROM t JOIN nav ON t.instrument_id = nav.instrument_id AND nav_date > CAST(as_of - INTERVAL 12 MONTH AS DATE) AND nav_date <= as_of GROUP BY ALL""", "nav"))
 def interval_slices(spark, sf_dir):
     nav = view(spark, sf_dir, "nav")
-    t = nav.where("nav_date >= DATE '1997-01-01' AND nav_date < DATE '1997-07-01'").select("instrument_id", F.last_day("nav_date").alias("as_of")).distinct()
+    t = nav.select("instrument_id", F.last_day("nav_date").alias("as_of")).distinct()
     return _r6(asof.interval_slices(t, nav, "instrument_id", "as_of", "nav_date", 12).groupBy("instrument_id", "as_of").agg(F.count("*").alias("n"), F.avg("nav").alias("mean")))
 
 
@@ -136,22 +136,26 @@ def asof_read(spark, sf_dir):
     return pit.as_of(view(spark, sf_dir, "vintages"), CUT).select("series_id", "observation_period", "vintage_date", "value")
 
 
-def _calendar(spark):
-    return spark.sql("SELECT explode(sequence(DATE '1996-01-31', DATE '1999-12-31', INTERVAL 1 MONTH)) AS d").select(F.last_day("d").alias("cut"))
+def _calendar(vintages):
+    """Month ends from the first vintage to the last."""
+    months = F.sequence(F.trunc(F.min("vintage_date"), "month"), F.trunc(F.max("vintage_date"), "month"), F.expr("INTERVAL 1 MONTH"))
+    return vintages.agg(months.alias("m")).select(F.explode("m").alias("d")).select(F.last_day("d").alias("cut"))
 
 
-_CAL = "cal AS (SELECT last_day(CAST(d AS DATE)) AS cut FROM range(TIMESTAMP '1996-01-31', TIMESTAMP '2000-01-15', INTERVAL 1 MONTH) t(d))"
+_CAL = "cal AS (SELECT last_day(CAST(d AS DATE)) AS cut FROM (SELECT unnest(generate_series(CAST(date_trunc('month', min(vintage_date)) AS TIMESTAMP), CAST(max(vintage_date) AS TIMESTAMP), INTERVAL 1 MONTH)) AS d FROM vintages))"
 _PANEL = "SELECT cut, series_id, observation_period, value FROM (SELECT cut, v.*, row_number() OVER (PARTITION BY cut, series_id, observation_period ORDER BY available_at {0}, revision_number {0}) AS n FROM cal JOIN vintages v ON available_at <= CAST(cut AS TIMESTAMP)) WHERE n = 1"
 
 
 @query("pit02_panel_latest", oracle(f"WITH {_CAL} {_PANEL.format('DESC')}", "vintages"))
 def panel_latest(spark, sf_dir):
-    return pit.panel(view(spark, sf_dir, "vintages"), _calendar(spark), "cut").select("cut", "series_id", "observation_period", "value")
+    v = view(spark, sf_dir, "vintages")
+    return pit.panel(v, _calendar(v), "cut").select("cut", "series_id", "observation_period", "value")
 
 
 @query("pit02_panel_first_release", oracle(f"WITH {_CAL} {_PANEL.format('ASC')}", "vintages"))
 def panel_first(spark, sf_dir):
-    return pit.panel(view(spark, sf_dir, "vintages"), _calendar(spark), "cut", "first_release").select("cut", "series_id", "observation_period", "value")
+    v = view(spark, sf_dir, "vintages")
+    return pit.panel(v, _calendar(v), "cut", "first_release").select("cut", "series_id", "observation_period", "value")
 
 
 @query("pit03_leak_probe", oracle(f"SELECT count(*) AS before_rows, count(*) AS after_rows, true AS same FROM (SELECT DISTINCT series_id, observation_period FROM vintages WHERE available_at <= TIMESTAMP '{CUT}')", "vintages"))

@@ -23,10 +23,10 @@ def _ret(spark, sf_dir):
     return R.simple_returns(view(spark, sf_dir, "nav"))
 
 
-@query("src01_series_scan", oracle("SELECT instrument_id, nav_date, nav FROM nav WHERE instrument_id = '7' AND nav_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND nav IS NOT NULL", "nav"))
+@query("src01_series_scan", oracle("SELECT instrument_id, nav_date, nav FROM nav WHERE nav_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND nav IS NOT NULL", "nav"))
 def series_scan(spark, sf_dir):
     nav = view(spark, sf_dir, "nav")
-    return nav.where("instrument_id = '7' AND nav_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND nav IS NOT NULL").select("instrument_id", "nav_date", "nav")
+    return nav.where("nav_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND nav IS NOT NULL").select("instrument_id", "nav_date", "nav")
 
 
 @query("wn01_simple_return", oracle("SELECT ticker, date, round(close / lag(close) OVER (PARTITION BY ticker ORDER BY date) - 1, 6) AS r FROM prices", "prices"))

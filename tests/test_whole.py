@@ -48,3 +48,18 @@ def test_matches_of_one_side_only(spark):
     a = spark.createDataFrame([(1, dt.date(2000, 1, 1)), (2, dt.date(2000, 1, 1))], "k int, d date")
     assert [r.k for r in S.monotonic_matches(a, a.where("k = 1"), "k", "d", 126).collect()] == [1]
     assert S.monotonic_matches(a.where("k = 1"), a.where("k = 2"), "k", "d", 126).count() == 0
+
+
+def test_every_month_end_and_entity(spark):
+    nav, months = view(spark, DATA, "nav"), lambda df, c: {r[0] for r in df.select(F.last_day(c)).distinct().collect()}
+    sliced = load()["jn18_interval_slices"].run(spark, DATA)
+    assert months(sliced, "as_of") == months(nav, "nav_date")
+    assert sliced.count() == nav.select("instrument_id", F.last_day("nav_date")).distinct().count()
+    vintages = view(spark, DATA, "vintages")
+    first, last = vintages.agg(F.min("vintage_date"), F.max("vintage_date")).first()
+    for name in ("pit02_panel_latest", "pit02_panel_first_release"):
+        cuts = {r[0] for r in load()[name].run(spark, DATA).select("cut").distinct().collect()}
+        assert (min(cuts), max(cuts)) == (first, last) and len(cuts) == (last.year - first.year) * 12 + last.month - first.month + 1
+    scanned = load()["src01_series_scan"].run(spark, DATA)
+    assert scanned.count() == nav.where("year(nav_date) BETWEEN 1996 AND 1999").count() > 0
+    assert scanned.select("instrument_id").distinct().count() == nav.select("instrument_id").distinct().count() > 1
