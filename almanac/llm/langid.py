@@ -18,6 +18,8 @@ ORDER = 4
 #: Most documents per language that a model learns from, and the share of them kept back to calibrate.
 SAMPLE, HELD_BACK = 250, 5
 UNKNOWN = "und"
+#: Letters from which the classes of length after the first begin; a class of fewer held-back texts takes the language's limit.
+CLASSES, FEW = (64, 256, 1024, 4096), 5
 _letters: np.ndarray | None = None
 
 
@@ -54,6 +56,10 @@ def _suffix(keys, n):
     return keys & np.uint64((1 << 16 * n) - 1)
 
 
+def _class(n):
+    return np.searchsorted(CLASSES, n, side="right")
+
+
 @dataclass
 class Level:
     """Grams of one order: sorted keys with log probabilities, sorted contexts with log weights of the shorter gram."""
@@ -70,7 +76,7 @@ class Models:
     levels: list[Level] = field(default_factory=list)  # of order 1, 2, ...
     unseen: np.ndarray | None = None
     scale: float = 1.0
-    #: Per language: mean cross-entropy in bits, and how far a text's may lie above it, by the root of its length.
+    #: Per language: usual cross-entropy in bits; and by class of length, how far a text's may lie above it.
     usual: np.ndarray | None = None
     slack: np.ndarray | None = None
 
@@ -109,7 +115,8 @@ class Models:
         bits = self.cross_entropy(chars)
         best = int(np.argmin(bits))
         odds = np.exp(-self.scale * (bits - bits[best]))
-        allowed = self.usual[best] + self.slack[best] / np.sqrt(max(1, len(chars) - 2))
+        n = max(1, len(chars) - 2)
+        allowed = self.usual[best] + max(self.slack[best, _class(n)], 20 / np.sqrt(n))
         return self.langs[best], float(1 / odds.sum()), bool(bits[best] <= allowed)
 
 
@@ -204,14 +211,17 @@ def _calibrate(models: Models, texts: DataFrame) -> None:
     k = len(names)
     own = np.array([r.bits[r.lang] for r in rows])
     lang, n = np.array([r.lang for r in rows], int), np.array([r.n for r in rows])
-    models.usual, models.slack = np.full(k, own.mean() if len(own) else 16.0), np.zeros(k)
+    models.usual, models.slack = np.full(k, np.median(own) if len(own) else 16.0), np.zeros((k, len(CLASSES) + 1))
     for j in range(k):
         if (lang == j).any():
             models.usual[j] = np.median(own[lang == j])
-        spread = ((own - models.usual[j]) * np.sqrt(np.maximum(n, 1)))[lang == j]
-        # A bit and a half above the usual, and twice what any held-back text needed at its length.
+        # Twice what nine in ten held-back texts of the length needed, so that a few odd or mislabelled ones don't count.
+        for c in range(len(CLASSES) + 1):
+            near = own[(lang == j) & (_class(n) == c)]
+            near = near if len(near) >= FEW else own[lang == j]
+            if len(near) >= FEW:
+                models.slack[j, c] = max(0.0, 2 * (np.quantile(near, 0.9, method="lower") - models.usual[j]))
         models.usual[j] += 1.5
-        models.slack[j] = max(20.0, 2 * spread.max(initial=0.0))
     best = (-np.inf, 1.0)
     if len(rows):
         bits = np.array([r.bits for r in rows])

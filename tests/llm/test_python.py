@@ -189,6 +189,26 @@ def test_language(spark):
     assert langid.train(data.empty(spark)).predict("text") == ("und", 0.0, False)
 
 
+def test_language_limits_are_robust(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 200")
+    models = langid.train(docs)
+    rows = docs.where(fold("doc_id", 3) == 1).select("lang", "text").collect()
+    rng = random.Random(1)
+    junk = lambda n: "".join(rng.choices("qzxjkvw", k=n))
+    for lang in models.langs:
+        own = [r.text for r in rows if r.lang == lang][:40]
+        long = " ".join(own)
+        while len(long) < 1_000_000:
+            long += " " + long
+        long = "".join(rng.choice("qzxjkvw") if rng.random() < 0.05 else c for c in long)
+        texts = [(lang, True, t) for t in [*own, long, "\u0436\u0448\u044f \u0444\u044b\u0432\u0430 " * 300]]
+        langid._calibrate(models, spark.createDataFrame(texts, "lang string, back boolean, text string"))
+        assert all(models.predict(t)[2] for t in own)
+        assert not any(models.predict(text)[2] for n in (400, 3000) for text in [junk(n)] if models.predict(text)[0] == lang), lang
+        bits = models.usual[models.langs.index(lang)] + models.slack[models.langs.index(lang)].max()
+        assert bits < models.cross_entropy(langid.characters(junk(3000))).min(), lang
+
+
 def test_quality(spark):
     where = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{where}/labels.parquet").select("doc_id", "quality")
