@@ -3,7 +3,8 @@ r"""Personal data by candidate boosting, in Spark expressions.
 Generators of high recall propose spans, which may overlap. Each gets features of its format and of the characters around
 it, in a few levels each. Boosted trees learn, from counts by feature levels over all candidates, how likely a candidate
 is one that a format check accepts; the trees see no outcome of a check, only format and context. Each kind's threshold is
-the least score at which nine in ten of the kind's held-back candidates are accepted. Spans of the four base kinds that
+the least score at which nine in ten of the kind's held-back candidates are accepted (of all its candidates, if none is
+held back); where no score does, every candidate that passes its check stays. Spans of the four base kinds that
 pass their own check always stay; the trees add spans of the other generators.
 """
 
@@ -176,11 +177,13 @@ def train(candidates: DataFrame, id_col: str) -> Model:
             raw += np.where(side, np.where(x[:, f2] <= c2, low, high), 0)
     score, thresholds = 1 / (1 + np.exp(-raw)), {}
     for k, kind in enumerate(KINDS):
-        rows = np.flatnonzero((x[:, 0] == k) & ((back == 1) | ~(back == 1).any()))
+        own = x[:, 0] == k
+        rows = np.flatnonzero(own & (back == 1)) if (own & (back == 1)).any() else np.flatnonzero(own)
         rows = rows[np.argsort(-score[rows], kind="stable")]
         good = (w * y)[rows].cumsum() / np.maximum(w[rows].cumsum(), 1)
         fine = np.flatnonzero((good >= PRECISION) & (score[rows] >= 0.5))
-        thresholds[kind] = float(score[rows[fine[-1]]]) if len(fine) else 2.0
+        # Without a threshold of that precision the format check decides alone.
+        thresholds[kind] = float(score[rows[fine[-1]]]) if len(fine) else 0.0
     return Model(base, trees, thresholds)
 
 
