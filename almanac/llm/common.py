@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,17 +19,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage into the shared folder that the session names.
+def shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it. Only one machine can do without one."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return where or tempfile.mkdtemp(prefix="spark-")
+
 
-    Only a session without ``spark.checkpoint.dir`` (as in tests, one machine) gets a temporary folder.
-    """
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage into the shared folder that the session names; a folder that the context has already stays."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        sc.setCheckpointDir(shared(df.sparkSession))
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: as checkpointed(), for rows with whole texts."""
+    path = f"{shared(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+#: What a worker keeps from task to task, and whose it is: one operator's at a time, since workers outlive stages.
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, key: object, make):
+    """make(), remembered in this worker until another name or key comes."""
+    if _kept.get("of") != (name, key):
+        release()
+        _kept.update(of=(name, key), value=make())
+    return _kept["value"]
+
+
+def release() -> None:
+    """Give back what other operators' tasks left in this worker."""
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
+def sliced(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, so that a worker holds few texts as Python strings at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def fold(doc_id, n: int):
     """crc32 of the id's decimal text, modulo n."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % n

@@ -1,94 +1,73 @@
 r"""License scans by ordered signature rules, in Spark expressions.
 
-A rule is a label, a keyword, a regular expression and a priority. Rules are tried on texts that hold their keyword. A
-detection is dropped when one of higher priority, or of the same and longer, contains its interval. Three base phrases are
-found by words besides, and always stay.
+A rule (of ``license_rules``) is a label, a keyword, a regular expression and a priority. Rules are tried on texts that hold
+their keyword. A detection is dropped when one of higher priority, or of the same and longer, contains its interval. Three
+base phrases are found by words besides, and always stay.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almanac.llm.spans import spans
+from almanac.llm.license_rules import rules
+from almanac.llm.spans import indices, named, quoted, running, spans
 
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = ((("cc", "by"), "cc-by"), (("general", "public", "license"), "gpl"), (("all", "rights", "reserved"), "reserved"))
+RULES = "array<struct<key:string,own:array<struct<label:string,pattern:string,rank:int>>>>"
+
+
+def detections(text: str, low: str) -> Column:
+    """(start, end, label, rank) of every match of a rule whose keyword stands in the text, before suppression."""
+    by_key: dict[str, list[dict]] = {}
+    for label, key, pattern, rank in rules():
+        by_key.setdefault(key, []).append({"label": label, "pattern": f"(?i){pattern}", "rank": rank})
+    # One literal; thousands of them would take seconds to plan.
+    table = f"from_json({quoted(json.dumps([{'key': key, 'own': own} for key, own in by_key.items()]))}, '{RULES}')"
+    tried = f"flatten(transform(filter({table}, t -> contains({low}, t.key)), t -> t.own))"
+    place = "named_struct('start', s.start, 'end', s.end, 'label', s.kind, 'rank', r.rank)"
+    return F.expr(f"flatten(transform({tried}, r -> transform({spans(text, 'r.pattern', 'r.label')}, s -> {place})))")
 
-_L = r"licen[cs]e"
-_V = r",? (?:version |v\.? ?)?"
-#: Label, keyword, name as a regular expression.
-NAMES = (
-    ("mit", "mit", rf"mit {_L}"), ("mit", "expat", rf"expat {_L}"), ("x11", "x11", rf"x11 {_L}"), ("isc", "isc", rf"isc {_L}"), ("zlib", "zlib", rf"zlib(?:/libpng)? {_L}"),
-    ("apache-1.1", "apache", rf"apache (?:software )?{_L}{_V}1\.1"), ("apache-2.0", "apache", rf"apache (?:software )?{_L}{_V}2(?:\.0)?"), ("apache", "apache", rf"apache (?:software )?{_L}"),
-    ("bsd-2-clause", "bsd", rf"(?:2-clause|simplified) bsd {_L}|bsd 2-clause"), ("bsd-3-clause", "bsd", rf"(?:3-clause|new|revised|modified) bsd {_L}|bsd 3-clause"), ("bsd-4-clause", "bsd", rf"(?:4-clause|original) bsd {_L}|bsd 4-clause"), ("0bsd", "bsd", rf"zero-clause bsd|0bsd"), ("bsd", "bsd", rf"bsd(?:-style)? {_L}"),
-    ("gpl-1.0", "general public", rf"(?:gnu )?general public {_L}{_V}1(?:\.0)?"), ("gpl-2.0", "general public", rf"(?:gnu )?general public {_L}{_V}2(?:\.0)?"), ("gpl-3.0", "general public", rf"(?:gnu )?general public {_L}{_V}3(?:\.0)?"), ("gpl", "general public", rf"(?:gnu )?general public {_L}"), ("gpl-2.0", "gpl", r"gpl ?v?-?2(?:\.0)?"), ("gpl-3.0", "gpl", r"gpl ?v?-?3(?:\.0)?"),
-    ("lgpl-2.1", "lesser", rf"(?:gnu )?lesser general public {_L}{_V}2\.1"), ("lgpl-3.0", "lesser", rf"(?:gnu )?lesser general public {_L}{_V}3(?:\.0)?"), ("lgpl", "lesser", rf"(?:gnu )?lesser general public {_L}"), ("lgpl-2.0", "library general", rf"(?:gnu )?library general public {_L}{_V}2(?:\.0)?"), ("agpl-3.0", "affero", rf"(?:gnu )?affero general public {_L}{_V}3(?:\.0)?"), ("agpl", "affero", rf"(?:gnu )?affero general public {_L}"), ("gfdl-1.3", "free documentation", rf"(?:gnu )?free documentation {_L}{_V}1\.3"), ("gfdl", "free documentation", rf"(?:gnu )?free documentation {_L}"),
-    ("mpl-1.1", "mozilla", rf"mozilla public {_L}{_V}1\.1"), ("mpl-2.0", "mozilla", rf"mozilla public {_L}{_V}2(?:\.0)?"), ("mpl", "mozilla", rf"mozilla public {_L}"), ("epl-1.0", "eclipse", rf"eclipse public {_L}{_V}1(?:\.0)?"), ("epl-2.0", "eclipse", rf"eclipse public {_L}{_V}2(?:\.0)?"), ("cddl-1.0", "common development", rf"common development and distribution {_L}"), ("cpl-1.0", "common public", rf"common public {_L}"), ("eupl-1.2", "european union", rf"european union public {_L}{_V}1\.2"), ("eupl", "european union", rf"european union public {_L}"),
-    ("artistic-1.0", "artistic", rf"artistic {_L}{_V}1(?:\.0)?"), ("artistic-2.0", "artistic", rf"artistic {_L}{_V}2(?:\.0)?"), ("bsl-1.0", "boost", rf"boost software {_L}"), ("busl-1.1", "business source", rf"business source {_L}"), ("unlicense", "unlicense", r"the unlicense"), ("wtfpl", "wtfpl", r"wtfpl"), ("ofl-1.1", "open font", rf"(?:sil )?open font {_L}"), ("psf-2.0", "python software", rf"python software foundation {_L}"), ("postgresql", "postgresql", rf"postgresql {_L}"), ("openssl", "openssl", rf"openssl {_L}"), ("ms-pl", "microsoft public", rf"microsoft public {_L}"), ("ms-rl", "microsoft reciprocal", rf"microsoft reciprocal {_L}"), ("odbl-1.0", "open database", rf"open database {_L}"), ("odc-by-1.0", "open data commons", rf"open data commons attribution {_L}"), ("pddl-1.0", "public domain dedication", rf"public domain dedication and {_L}"), ("afl-3.0", "academic free", rf"academic free {_L}"), ("ecl-2.0", "educational community", rf"educational community {_L}"), ("ncsa", "ncsa", rf"ncsa (?:open source )?{_L}"), ("vim", "vim", rf"vim {_L}"), ("ruby", "ruby", rf"ruby {_L}"), ("php-3.01", "php", rf"php {_L}"), ("osl-3.0", "open software", rf"open software {_L}"),
-)
-#: How a text can say that a license holds; each is tried with each name.
-FORMS = ((80, r"(?:licen[cs]ed|released|distributed|available|published|provided|offered) under (?:the terms (?:and conditions )?of )?(?:the |a |an )?(?:{})"), (70, r"under the terms (?:and conditions )?of (?:the |a |an )?(?:{})"), (60, r"subject to (?:the terms of )?(?:the |a |an )?(?:{})"), (50, r"(?:{})"))
-#: Attribution kinds of Creative Commons licenses, as short and as long names; each with and without a version.
-CC = (("by-nc-nd", r"attribution-?\s?non-?commercial-?\s?no-?deriv(?:ative)?s"), ("by-nc-sa", r"attribution-?\s?non-?commercial-?\s?share-?alike"), ("by-nc", r"attribution-?\s?non-?commercial"), ("by-nd", r"attribution-?\s?no-?deriv(?:ative)?s"), ("by-sa", r"attribution-?\s?share-?alike"), ("by", r"attribution"))
-VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
-MARKS = (
-    ("cc0-1.0", "cc0", 85, r"cc0(?: 1\.0)?(?: universal)?"), ("public-domain", "public domain", 55, r"(?:released|placed|dedicated|is) (?:in|into|to) the public domain"),
-    ("proprietary", "proprietary", 55, r"proprietary and confidential|confidential and proprietary"), ("no-redistribution", "redistribut", 55, r"(?:redistribution|redistributing)[^.\n]{0,40} (?:is )?(?:strictly )?(?:prohibited|forbidden|not permitted)"),
-    ("copyright", "copyright", 30, r"copyright (?:\(c\) |© )?(?:19|20)[0-9]{2}(?:\s?-\s?(?:19|20)[0-9]{2})?"), ("copyright", "©", 30, r"© ?(?:19|20)[0-9]{2}"), ("reserved", "rights", 40, r"(?:all|some) rights reserved"),
-)
-
-
-def rules() -> list[tuple[str, str, str, int]]:
-    """Label, keyword, pattern and priority of every rule, highest priority first."""
-    out = [(label, key, form.format(name), rank + ("-" in label)) for label, key, name in NAMES for rank, form in FORMS]
-    out += [(label, "spdx", rf"spdx-{_L}-identifier: ?\(?{label.replace('.', chr(92) + '.')}(?:-only|-or-later|\+)?", 90) for label in sorted({n[0] for n in NAMES if "-" in n[0] or n[0] in ("mit", "isc", "zlib", "unlicense")})]
-    for kind, long in CC:
-        for rank, version in ((84, None), *((86, v) for v in VERSIONS)):
-            tail = rf" {version}".replace(".", r"\.") if version else ""
-            label = f"cc-{kind}-{version}" if version else f"cc-{kind}"
-            out.append((label, "cc", rf"(?:licen[cs]ed under )?cc[ -]{kind.replace('-', '[ -]')}{tail or '(?:[^0-9a-z-]|$)'}", rank + len(kind)))
-            out.append((label, "creative commons", rf"creative commons {long}(?: international| unported)?{tail}", rank + len(kind)))
-    out += [(label, key, pattern, rank) for label, key, rank, pattern in MARKS]
-    return sorted(out, key=lambda r: (-r[3], r[0], r[2]))
-
-
-#: Any of these stands in a text on which a rule or a base phrase can match; a test holds every rule against them.
-SIGNS = ("licen", "cc", "creative commons", "copyright", "©", "rights", "public", "gpl", "wtfpl", "bsd", "proprietary", "redistribut")
-
-
-def detections(text: Column, low: Column) -> Column:
-    """Spans (kind: the label, start, end, found) with the rule's priority, after suppression."""
-    table = F.array(*(F.struct(F.lit(a).alias("label"), F.lit(k).alias("key"), F.lit(f"(?i){p}").alias("pattern"), F.lit(r).alias("rank")) for a, k, p, r in rules()))
-    tried = F.filter(table, lambda r: F.contains(low, r["key"]))
-    each = F.flatten(F.transform(tried, lambda r: F.transform(spans(text, r["pattern"], r["label"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("label"), r["rank"].alias("rank")))))
-    return each
-
-
-def _unsuppressed(found: str) -> Column:
-    wide = lambda s: s["end"] - s["start"]
-    above = lambda a, b: (b["start"] <= a["start"]) & (b["end"] >= a["end"]) & ((b["rank"] > a["rank"]) | ((b["rank"] == a["rank"]) & (wide(b) > wide(a))))
-    return F.filter(found, lambda a: ~F.exists(found, lambda b: above(a, b)))
+
+def unsuppressed(found: str) -> Column:
+    """The detections that no other contains with higher priority, or with the same and more length; by start.
+
+    Sorted by start, then from long to short, then by priority, what contains a detection stands before it. An interval's
+    reach is its end, then how far left it starts. A detection goes if the running maximum of the reaches of a higher
+    priority is its own or more, or that of its priority is more: one pass over all.
+    """
+    ranks = sorted({r[3] for r in rules()})
+    reach = f"(cast(d.end AS bigint) * {1 << 31} - d.start)"
+    ordered = f"array_sort(transform({found}, d -> named_struct('start', d.start, 'to', -d.end, 'over', -d.rank, 'label', d.label, 'end', d.end, 'rank', d.rank)))"
+    reaches = f"transform(ds, d -> array({', '.join(f'if(d.rank = {r}, {reach}, -1L)' for r in ranks)}))"
+    best = running(reaches, lambda a, b: f"zip_with({a}, {b}, (y, z) -> greatest(y, z))", "array<bigint>")
+    above = " OR ".join(f"({r} > d.rank AND get(get(ms, i), {k}) >= {reach}) OR ({r} = d.rank AND get(get(ms, i), {k}) > {reach})" for k, r in enumerate(ranks))
+    swept = named("ms", best, f"filter(ds, (d, i) -> NOT ({above}))")
+    return F.expr(named("ds", ordered, f"transform(if(size(ds) > 1, {swept}, ds), d -> named_struct('start', d.start, 'end', d.end, 'label', d.label, 'rank', d.rank))"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, places, found) per row of docs, over whole texts.
 
     places: (word, label) of every base phrase; found: the detections left, (start, end, label, rank). A null text counts
-    as empty: no words, places or detections. Rows stay as they are, repeated ones too; other columns are not read.
+    as empty: no words, places or detections. Rows stay as they are, repeated ones and null ids too; no rows give none, and
+    other columns are not read. Equal intervals of one priority all stay. Work follows the length of a text and the count
+    of its detections, also in very long ones.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("n_words", F.regexp_count("text", F.lit(WORD)).cast("bigint")).withColumn("low", F.lower("text"))
-    rows = rows.withColumn("gate", F.greatest(*(F.contains("low", F.lit(s)) for s in SIGNS)))
-    rows = rows.withColumn("words", F.when(F.col("gate"), F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(WORD), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    rows = rows.withColumn("found", F.when(F.col("gate"), detections(F.col("text"), F.col("low"))).otherwise(F.array().cast("array<struct<start:int,end:int,label:string,rank:int>>")))
-    at = F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1)).otherwise(F.array().cast("array<int>"))
+    gates = [F.least(*(F.contains("low", F.lit(w)) for w in phrase)) for phrase, _ in BASE]
+    rows = rows.withColumn("words", F.when(F.greatest(*gates), F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(WORD), F.lit(0))).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("found", detections("text", "low"))
 
     def places(phrase, label):
-        here = lambda i: F.get("words", i) == phrase[0]
-        rest = lambda i: F.coalesce(sum(((F.get("words", i + k) == w).cast("int") for k, w in enumerate(phrase)), F.lit(0)) == len(phrase), F.lit(False))
-        return F.transform(F.filter(F.filter(at, here), rest), lambda i: F.struct(i.alias("word"), F.lit(label).alias("label")))
+        rest = " AND ".join(f"get(words, i + {k}) = '{w}'" for k, w in enumerate(phrase))
+        starts = f"filter({indices('size(words)')}, i -> coalesce({rest}, false))"
+        return F.expr(f"transform({starts}, i -> named_struct('word', i, 'label', '{label}'))")
 
     rows = rows.withColumn("places", F.concat(*(places(p, label) for p, label in BASE)))
-    return rows.select("id", "n_words", "places", _unsuppressed("found").alias("found"))
+    return rows.select("id", "n_words", "places", unsuppressed("found").alias("found"))
