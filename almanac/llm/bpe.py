@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almanac.llm.common import kept, sliced
+
 #: Half of the most pieces a worker remembers; states and pairs follow it. Beyond, it starts anew.
 PIECES = 350_000
 #: Stands for a prefix in which no live token ends.
@@ -294,9 +296,6 @@ def decode(ids: np.ndarray, tokens: dict[int, bytes], step: int = 4096) -> str:
     return "".join([*out, stream.end()])
 
 
-_encoders: dict[tuple[int, int], Encoder] = {}
-
-
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", remember: int = PIECES) -> DataFrame:
     """(id, ids, decoded) per row of docs: token ids of the whole text, and the text decoded from these ids again.
 
@@ -308,22 +307,17 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         content = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches):
-        pa.default_memory_pool().release_unused()  # of stages that ran in this worker before
-        gc.disable()  # what is remembered holds no cycles, and would be searched for them again and again
         data = content.value
-        key = hash(data), remember
-        if key not in _encoders:
-            _encoders.clear()
-            _encoders[key] = Encoder(load_ranks(data), remember)
-        encoder = _encoders[key]
+        encoder = kept("bpe", (hash(data), remember), lambda: Encoder(load_ranks(data), remember))
         tokens = encoder.machine.tokens
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+        gc.disable()  # what is remembered holds no cycles, and would be searched for them again and again
+        try:
+            for part in sliced(batches):
                 ids = [encoder.ids(x) for x in part.column(1).to_pylist()]
                 offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array([decode(x, tokens) for x in ids], pa.string())], ["id", "ids", "decoded"])
+        finally:
+            gc.enable()
 
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).mapInArrow(run, "id bigint, ids array<int>, decoded string")

@@ -14,20 +14,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.llm.common import kept, sliced
+
 ORDER = 4
 #: Most documents per language that a model learns from, and the share of them kept back to calibrate.
 SAMPLE, HELD_BACK = 250, 5
 UNKNOWN = "und"
 #: Letters from which the classes of length after the first begin; a class of fewer held-back texts takes the language's limit.
 CLASSES, FEW = (64, 256, 1024, 4096), 5
-_letters: np.ndarray | None = None
 
 
 def letters() -> np.ndarray:
-    global _letters
-    if _letters is None:
-        _letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
-    return _letters
+    """Whether each code point is a letter."""
+    return kept("letters", None, lambda: np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000))
 
 
 def characters(text: str | None) -> np.ndarray:
@@ -171,7 +170,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     def count(batches):
         seen: dict[str, list[np.ndarray]] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             for lang, back, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not back:
                     seen.setdefault(lang, []).append(grams(characters(text)))
@@ -200,7 +199,7 @@ def _calibrate(models: Models, texts: DataFrame) -> None:
     names = list(models.langs)
 
     def measure(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for lang, back, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if back and lang in names and len(chars := characters(text)):
@@ -241,7 +240,7 @@ def identify(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             found = [shared.value.predict(x) for x in batch.column(1).to_pylist()]
             lang, score, accepted = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(accepted, pa.bool_())], ["id", "lang", "score", "accepted"])
@@ -255,7 +254,7 @@ def accepted_only(docs: DataFrame, models: Models, text_col: str = "text") -> Da
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             keep = [shared.value.predict(x)[2] for x in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almanac.llm.common import sliced
+
 #: Most labelled rows that a model learns from.
 SAMPLE = 8000
 TREES, DEPTH, RATE, BINS, LEAST, RIDGE = 60, 3, 0.15, 64, 10, 1.0
@@ -126,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "id").select("id", "y", "t")
 
     def measure(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             values = [statistics(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.float64()), pa.array(values, pa.list_(pa.float64()))], ["id", "y", "x"])
 
@@ -143,7 +145,7 @@ def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             x = np.array([statistics(t) for t in batch.column(1).to_pylist()]).reshape(batch.num_rows, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(x), pa.float64())], ["id", "score"])
 

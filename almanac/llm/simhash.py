@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.llm.common import checkpointed
+from almanac.llm.common import checkpointed, release, sliced
 from almanac.llm.components import components
 
 SEED, SHINGLE, RADIUS = 42, 4, 4
@@ -57,7 +57,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fp) per row of docs; a null text counts as empty."""
 
     def run(batches):
-        for batch in batches:
+        release()
+        for batch in sliced(batches):
             fps = [fingerprint(x, width) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
 
