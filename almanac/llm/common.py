@@ -42,6 +42,17 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def spread_join(rows: DataFrame, key: str, salt, table: DataFrame) -> DataFrame:
+    """rows joined to table, which has one row per key, so that a key of very many rows is no single task's load.
+
+    salt: a column of rows with few values that deals the rows of a key. First the distinct pairs of key and salt, few a key
+    and combined before they are shuffled, meet the table; then rows meet these pairs by both.
+    """
+    rows = rows.withColumn("_salt", salt)
+    pairs = rows.select(key, "_salt").distinct().join(table, key)
+    return rows.join(pairs, [key, "_salt"]).drop("_salt")
+
+
 #: What a worker keeps from task to task, and whose it is: one operator's at a time, since workers outlive stages.
 _kept: dict[str, object] = {}
 

@@ -1,11 +1,15 @@
 """SimHash near-duplicates, linked exactly by a forest of vantage-point trees.
 
-A fingerprint is 64 majority bits over the XXH64 hashes of a text's word shingles. Two fingerprints that differ in
-at most four bits differ in at most one bit of one of their four 16-bit words. So each word position has its own
-vantage-point tree over the 65,536 word values: a node splits at a Hamming radius around its vantage point, and a value
-on the boundary shell, which the triangle bound cannot prune, goes to both sides. Any two values within one bit share a
-leaf. A leaf of a tree is a shard of the fingerprints, where whole fingerprints are compared exactly. The trees depend on
-no data; only their depth follows the count of fingerprints.
+A fingerprint is 64 majority bits over the XXH64 hashes of a text's word shingles. Of two fingerprints that differ in at
+most four bits, either the first of the four 16-bit words differs in at most one bit or another word is equal: else the
+words would differ in 2 + 1 + 1 + 1 bits. So each word position has its own vantage-point tree over the 65,536 word values,
+with reach one for the first word and none for the others: a node splits at a Hamming radius around its vantage point, and
+a value that the triangle bound cannot assign to one side, within half the reach of the radius, goes to both. Any two
+values within reach share a leaf. A leaf of a tree is a shard of the fingerprints, where whole fingerprints are compared
+exactly. The trees depend on no data; only their depth follows the count of fingerprints.
+
+Trees over whole fingerprints would prune nothing: unlike texts differ in 32 bits or so, give or take four, and four bits
+on either side of any radius there hold most fingerprints. Words keep the copies few: between 5 and 17 of a fingerprint.
 
 Shards give spanning forests of their links, never all pairs; a distributed component search joins the forests.
 """
@@ -20,13 +24,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.llm.common import checkpointed, release, sliced
-from almanac.llm.components import components
+from almanac.llm.common import checkpointed, release, sliced, spread_join
+from almanac.llm.components import components, contract
 
 SEED, SHINGLE, RADIUS = 42, 4, 4
-WORDS, VALUES = 4, 1 << 16
+#: Bits that a word may differ in, by position; one more for each word than RADIUS in all, so that one always holds.
+REACH = (1, 0, 0, 0)
+WORDS, VALUES = len(REACH), 1 << 16
 #: Mean fingerprints a shard aims at, and the most that one task compares at once.
 SHARD, CHUNK = 256, 8192
+#: Tasks over which the fingerprints of one component are dealt at most.
+SALTS = 256
 
 
 def shingle_hashes(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -66,8 +74,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 @lru_cache(maxsize=4)
-def tree(depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where each 16-bit value goes: leaves[start[v]:start[v + 1]]. At most ``depth`` splits on a path."""
+def tree(depth: int, reach: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Where each 16-bit value goes: leaves[start[v]:start[v + 1]]. At most ``depth`` splits on a path; values that differ in
+    reach (none or one) bits share a leaf."""
     rng = np.random.default_rng(7)
     level = [np.arange(VALUES, dtype=np.uint16)]
     for _ in range(depth):
@@ -77,7 +86,7 @@ def tree(depth: int) -> tuple[np.ndarray, np.ndarray]:
             for vantage in rng.choice(values, min(4, len(values)), replace=False):
                 far = np.bitwise_count(values ^ vantage)
                 for radius in {int(np.median(far)), max(0, int(np.median(far)) - 1)}:
-                    inner, outer = values[far <= radius], values[far >= radius]  # the shell at the radius goes to both
+                    inner, outer = values[far <= radius], values[far > radius - reach]  # a shell goes to both, if there is a reach
                     cost = len(inner) ** 2 + len(outer) ** 2
                     if best is None or cost < best[0]:
                         best = cost, inner, outer
@@ -89,11 +98,10 @@ def tree(depth: int) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(value[order], np.arange(VALUES + 1)), leaf[order]
 
 
-def _shards(fps: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def _shards(fps: np.ndarray, trees: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and shard numbers: each fingerprint in each shard that it belongs to or borders."""
-    starts, leaves = tree(depth)
     rows, keys = [], []
-    for k in range(WORDS):
+    for k, (starts, leaves) in enumerate(trees):
         word = ((fps >> np.uint64(16 * k)) & np.uint64(VALUES - 1)).astype(np.int64)
         n = starts[word + 1] - starts[word]
         row = np.repeat(np.arange(len(fps)), n)
@@ -126,14 +134,18 @@ def forest(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarra
 
 
 def links(reps: DataFrame, n: int) -> DataFrame:
-    """Edges (u, v) that connect just the fingerprints in column fp within reach of each other; n of them, all distinct."""
+    """Edges (u, v) that connect just the fingerprints in column fp within reach of each other; n of them, all distinct.
+
+    The edges of a task are contracted to stars there."""
     depth = int(np.clip(np.ceil(np.log2(max(n, 1) / SHARD)), 1, 16))
+    # At most 17 numbers for each of 65,536 values, whatever the input.
+    trees = reps.sparkSession.sparkContext.broadcast([tree(depth, reach) for reach in REACH])
 
     def keyed(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 20_000):
                 fps = batch.column(0).slice(at, 20_000).to_numpy(zero_copy_only=False)
-                rows, keys = _shards(fps.view(np.uint64), depth)
+                rows, keys = _shards(fps.view(np.uint64), trees.value)
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(fps[rows])], ["shard", "fp"])
 
     keys = reps.select("fp").mapInArrow(keyed, "shard bigint, fp bigint")
@@ -156,6 +168,9 @@ def links(reps: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[0] for x in out])), pa.array(np.concatenate([x[1] for x in out]))], ["shard", "fp"])
 
     def compare(batches):
+        return contract(found(batches))
+
+    def found(batches):
         held, key = [], None
 
         def ends():
@@ -188,12 +203,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     fps = checkpointed(fingerprints(docs, id_col, text_col, width))
     reps = checkpointed(fps.groupBy("fp").agg(F.min("id").alias("rep")))
-    found = components(links(reps, reps.count()))
-    named = found.withColumnRenamed("node", "fp").join(reps, "fp").select("fp", "component", "rep")
+    found = components(links(reps, reps.count()), contracted=True)
+    named = checkpointed(found.withColumnRenamed("node", "fp").join(reps, "fp").select("fp", "component", "rep"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    joined = checkpointed(named.join(least, "component").select("fp", "component_id"))
+    joined = checkpointed(spread_join(named, "component", F.pmod(F.xxhash64("fp"), F.lit(SALTS)), least).select("fp", "component_id"))
     whole = reps.join(joined, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
-    return fps.join(whole, "fp").select("id", "fp", "component_id")
+    # Exact copies and empty texts share a fingerprint; the task that made a row deals them.
+    return spread_join(fps, "fp", F.spark_partition_id(), whole).select("id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
