@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from almanac.llm import bpe, langid, mixing, pii, simhash
-from almanac.llm.common import fold, table
+from almanac.llm.common import fold, shared, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Workers still hold memory of the stages before, so the last one remembers less than it would alone.
+#: The JVM of an executor still holds memory of the stages before, so the last one remembers less than it would alone.
 REMEMBER = 60_000
 
 
@@ -48,11 +47,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's rows are a Parquet table in the session's shared folder."""
-    docs = table(spark, sf_dir, "documents")
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    """All stages over documents; each stage's rows are a Parquet table in the session's shared folder.
+
+    Null and empty texts, which have no language, go in the first stage, rows without an id stay as they are in the second,
+    and no documents give no rows. All columns of documents pass through the first four stages, whatever their names.
+    """
+    docs, where = table(spark, sf_dir, "documents"), f"{shared(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
-        path = f"{shared}/pipeline-{uuid.uuid4().hex}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{where}/{name}")
+        docs = spark.read.parquet(f"{where}/{name}")
     return docs
