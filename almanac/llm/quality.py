@@ -6,6 +6,7 @@ sample of labelled rows and kept as flat arrays, so a batch of documents goes do
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,20 +37,20 @@ def statistics(text: str | None) -> list[float]:
     counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     n, words, lines = len(data), data.split(), data.split(b"\n")
     m, share = max(1, len(words)), counts / n
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) if words else np.zeros(1, np.int64)
-    kinds: dict[bytes, int] = {}
-    for w in words:
-        kinds[w] = kinds.get(w, 0) + 1
+    # What is asked of words is asked once of each different word.
+    kinds = Counter(words)
+    times = np.fromiter(kinds.values(), np.int64, len(kinds)) if words else np.zeros(1, np.int64)
+    lengths = np.fromiter(map(len, kinds), np.int64, len(kinds)) if words else np.zeros(1, np.int64)
     pairs = len(set(zip(words, words[1:], strict=False)))
-    plain = sum(map(bytes.isalpha, (w.translate(None, _high).rstrip(b".,;:!?") or b"a" for w in words)))
+    of = lambda test: sum(c for w, c in kinds.items() if test(w)) / m
     filled = [x for x in lines if x.strip()]
     entropy = -float((share[share > 0] * np.log2(share[share > 0])).sum())
     values = {
-        "log_bytes": np.log1p(n), "log_words": np.log1p(len(words)), "log_lines": np.log1p(len(lines)), "mean_word": lengths.mean(), "mean_line": np.log1p(n / len(lines)), "long_word": np.log1p(lengths.max()),
+        "log_bytes": np.log1p(n), "log_words": np.log1p(len(words)), "log_lines": np.log1p(len(lines)), "mean_word": (lengths * times).sum() / m, "mean_line": np.log1p(n / len(lines)), "long_word": np.log1p(lengths.max()),
         "capitals": share[65:91].sum(), "blanks": share[[32, 9, 10, 11, 12, 13]].sum(), "high": share[128:].sum(), "punctuation": share[33:48].sum() + share[58:65].sum() + share[91:97].sum() + share[123:127].sum(),
-        "distinct_words": len(kinds) / m, "distinct_lines": len(set(filled)) / max(1, len(filled)), "top_word": max(kinds.values(), default=0) / m, "repeated_pairs": 1 - pairs / max(1, len(words) - 1),
-        "capital_words": sum(map(bytes.isupper, words)) / m, "plain_words": plain / m, "symbol_words": sum(w[-1] in _odd for w in words) / m, "ended_lines": sum(x.rstrip()[-1] in b".!?" for x in filled) / max(1, len(filled)),
-        "entropy": entropy, "short_words": (lengths <= 2).mean(), "digit_words": sum(map(bytes.isdigit, words)) / m,
+        "distinct_words": len(kinds) / m, "distinct_lines": len(set(filled)) / max(1, len(filled)), "top_word": int(times.max()) / m, "repeated_pairs": 1 - pairs / max(1, len(words) - 1),
+        "capital_words": of(bytes.isupper), "plain_words": of(lambda w: (w.translate(None, _high).rstrip(b".,;:!?") or b"a").isalpha()), "symbol_words": of(lambda w: w[-1] in _odd), "ended_lines": sum(x.rstrip()[-1] in b".!?" for x in filled) / max(1, len(filled)),
+        "entropy": entropy, "short_words": int(times[lengths <= 2].sum()) / m, "digit_words": of(bytes.isdigit),
     }
     values |= {k: share[own].sum() for k, own in _bytes.items()}
     return [float(values[k]) for k in FEATURES]
@@ -137,6 +138,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(np.array([r.x for r in got]).reshape(len(got), len(FEATURES)), np.array([r.y for r in got]))
 
 
+def scores(texts: list[str | None], trees: Trees) -> np.ndarray:
+    """Scores of texts, in a worker."""
+    return trees.score(np.array([statistics(t) for t in texts]).reshape(len(texts), len(FEATURES)))
+
+
 def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) per row of docs, over whole texts; null counts as empty, and empty texts get a score like any other.
 
@@ -146,7 +152,6 @@ def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         for batch in sliced(batches):
-            x = np.array([statistics(t) for t in batch.column(1).to_pylist()]).reshape(batch.num_rows, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(x), pa.float64())], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(batch.column(1).to_pylist(), shared.value), pa.float64())], ["id", "score"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).mapInArrow(run, "id bigint, score double")
