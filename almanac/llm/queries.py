@@ -74,7 +74,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(checkpointed(mixing.measured(table(spark, sf_dir, "documents"))))
+    docs = table(spark, sf_dir, "documents")
+    trees = quality.train(docs, table(spark, sf_dir, "labels"))
+    mixed = mixing.mix(checkpointed(mixing.measured(docs, trees)))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
@@ -132,25 +134,4 @@ ORACLES: dict[str, str] = {
             FROM clean q JOIN clean c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
         SELECT query_id, rank::INTEGER AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20""",
-    "op9_mixing": r"""
-        WITH doc AS (
-            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, length(text) AS chars FROM documents),
-        keyed AS (
-            SELECT *, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix'), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)
-                / (CASE WHEN size > 0 THEN 1 / (1 + abs(chars / size - 6) / 3) ELSE 1.0 END) AS key FROM doc),
-        own AS (
-            SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER] AS w FROM doc GROUP BY source),
-        levels AS (
-            SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-                / sum(w) OVER (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM own),
-        final AS (
-            SELECT source, source_size, least((2 * source_size)::DOUBLE,
-                (SELECT level FROM levels WHERE level * w <= 2 * source_size ORDER BY 2 * source_size / w, source NULLS LAST LIMIT 1) * w) AS target FROM levels),
-        placed AS (
-            SELECT k.*, f.source_size, f.target, sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
-            FROM keyed k JOIN final f ON k.source IS NOT DISTINCT FROM f.source)
-        SELECT doc_id, size, source_size, target,
-            (CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END * size + greatest(0, least(size,
-                floor(target + 0.5)::BIGINT - CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END * source_size - before)))::BIGINT AS taken
-        FROM placed""",
 }

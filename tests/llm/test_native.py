@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -12,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from almanac.llm import license_rules, licenses, minhash, mixing, pii, queries
+from almanac.llm import license_rules, licenses, minhash, mixing, pii, quality, queries
 from almanac.llm.common import checkpointed
 from tests.llm import data
 
@@ -151,6 +152,64 @@ def test_mixing(spark):
     assert mixing.mix(mixing.measured(data.empty(spark))).count() == 0 and mixing.mixed_documents(data.empty(spark)).count() == 0
 
 
+def brute_mix(rows):
+    """Taken words of (id, source, size, weight), from the definition: (id, size, taken)."""
+    sizes = Counter()
+    for _, source, size, _ in rows:
+        sizes[source] += size
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    goal, free, rest = {}, list(order), 1.5 * sum(sizes.values())
+    while free:
+        level = rest / sum(weight[s] for s in free)
+        over = [s for s in free if level * weight[s] > 2 * sizes[s]]
+        if not over:
+            goal |= {s: level * weight[s] for s in free}
+            break
+        for s in over:
+            goal[s] = 2.0 * sizes[s]
+            rest -= goal[s]
+            free.remove(s)
+    out = []
+    for s in order:
+        epochs = math.floor(goal[s] / sizes[s]) if sizes[s] else 0
+        left = math.floor(goal[s] + 0.5) - epochs * sizes[s]
+        keyed = []
+        for i, source, size, w in rows:
+            if source == s:
+                u = (int(hashlib.md5(f"{'' if i is None else i}:mix".encode()).hexdigest()[:13], 16) + 0.5) / float(1 << 52)
+                keyed.append((-math.log(u) / w, i is not None, i or 0, size))
+        for _, known, i, size in sorted(keyed):
+            part = max(0, min(size, left))
+            left -= part
+            out.append((i if known else None, size, epochs * size + part))
+    return out
+
+
+def test_mixing_by_quality(spark):
+    docs = spark.read.parquet(f"{data.DATA}/documents.parquet")
+    trees = quality.train(docs, spark.read.parquet(f"{data.DATA}/labels.parquet"))
+    rows = [(r.doc_id, r.source, len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")), r.text) for r in docs.collect()]
+    weights = np.maximum(quality.scores([r[3] for r in rows], trees), mixing.LEAST)
+    assert len(set(weights)) > 10
+    want = Counter(brute_mix([(*r[:3], w) for r, w in zip(rows, weights, strict=True)]))
+    assert Counter((r.doc_id, r.size, r.taken) for r in queries.op9_mixing(spark, data.DATA).collect()) == want
+    odd = data.documents(spark)
+    odd = odd.unionByName(odd.where("doc_id = 9 OR doc_id IS NULL")).unionByName(odd.limit(1))
+    plain = [(r.doc_id, r.source, len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")), 1.0) for r in odd.collect()]
+    assert Counter((r.id, r["size"], r.taken) for r in mixing.mix(mixing.measured(odd)).collect()) == Counter(brute_mix(plain))
+    whole = mixing.mixed_documents(docs, trees)
+    took = {r.id: r.epochs + (r.part > 0 and 2 * r.part >= r["size"]) for r in mixing.mix(mixing.measured(docs, trees)).collect()}
+    assert Counter(r.doc_id for r in whole.collect()) == Counter({k: n for k, n in took.items() if n})
+
+
+def test_sources_beyond_a_broadcast(spark, monkeypatch):
+    docs = data.documents(spark)
+    want = Counter(mixing.mix(mixing.measured(docs)).collect()), Counter((r.doc_id, r.kept) for r in mixing.mixed_documents(docs).collect())
+    monkeypatch.setattr(mixing, "FEW", 0)
+    assert want == (Counter(mixing.mix(mixing.measured(docs)).collect()), Counter((r.doc_id, r.kept) for r in mixing.mixed_documents(docs).collect()))
+
+
 def brute_edits(docs):
     docs = sorted(docs, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or ""))
     out = []
