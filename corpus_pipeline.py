@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.llm import bpe, langid, mixing, pii, simhash
+from almanac.llm import bpe, langid, mixing, pii, quality, simhash
 from almanac.llm.common import fold, shared, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -31,8 +31,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing sources to target weights."""
-    return mixing.mixed_documents(docs)
+    """Mixing sources to target weights; documents weigh by their quality, as the labels of sf_dir mark it."""
+    return mixing.mixed_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
