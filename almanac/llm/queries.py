@@ -125,13 +125,15 @@ ORACLES: dict[str, str] = {
             sum(24 + length(role) + length(text) + len(regexp_extract_all(text,
                 '<\\*\|im_start\|>|<\\*\|im_end\|>|<\\*\|endoftext\|>|<\\*s>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]|<\\*<SYS>>|<\\*</SYS>>')))::BIGINT AS formatted_chars
         FROM rows GROUP BY conv_id""",
+    # Rows that repeat are numbered, so that a query leaves out one row only.
     "op5_topk": """
         WITH clean AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
-            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        row_of AS (SELECT *, row_number() OVER () AS n FROM clean),
         scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-            FROM clean q JOIN clean c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+            SELECT q.vec_id AS query_id, q.n, c.vec_id, CASE WHEN len(q.v) = 0 THEN 0 ELSE list_inner_product(q.v, c.v) END::BIGINT AS score
+            FROM row_of q JOIN row_of c ON q.vec_id % 20 = 0 AND q.n <> c.n AND len(q.v) = len(c.v))
         SELECT query_id, rank::INTEGER AS rank, vec_id, score
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20""",
+        FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20""",
 }

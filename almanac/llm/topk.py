@@ -1,9 +1,12 @@
 """Exact top-k inner products by block-at-a-time pruning.
 
-Vectors are dealt into parts, and within a part into blocks of like vectors. A block keeps the largest and the least
-value of each component, so the sum over a query's components of the better of the two products bounds every score in
-the block. Blocks are scored in the order of their bounds, through their own rows, until the next bound falls below the
-query's k-th score so far. A part's best k per query then meet the other parts' in one ranked window.
+Components are terms, each with a sign. Vectors are dealt into parts by a hash, once; within a part they stand in the order
+of their ids, and each BLOCK of them, a range of documents, keeps the largest and the least value of every component. The
+sum over a query's components of the better of the two products bounds every score in the block. Blocks are scored in the
+order of these bounds, through their own rows, until the next bound falls below the query's k-th score.
+
+The k-th score is shared: a query first meets the part it is dealt to, and what is then its k-th score goes along to every
+other part, where only rows that reach it count. A part's best then meet the other parts' in one ranked window.
 """
 
 from __future__ import annotations
@@ -13,8 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PART, QUERIES, BLOCK = 16384, 4096, 64
+from almanac.llm.common import checkpointed
+
+#: Rows a part aims at, and rows of a block.
+PART, BLOCK = 16384, 64
 SCALE = 64
+#: A k-th score that every score reaches.
+NONE = -(1 << 62)
 
 
 def quantise(vec, scale: int = SCALE):
@@ -23,85 +31,126 @@ def quantise(vec, scale: int = SCALE):
 
 
 def usable(vec):
-    """Neither null nor empty, with only finite components."""
-    return vec.isNotNull() & (F.size(vec) > 0) & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    """Not null, and with only finite components; an empty vector has no other."""
+    return vec.isNotNull() & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    out = flat.reshape(len(column), -1)
+    out = flat.reshape(len(column), -1) if len(flat) else np.zeros((len(column), 0), np.int64)
     # Products of doubles are exact below 2**53, and much faster.
-    return out.astype(np.float64) if len(out) and float(np.abs(flat).max()) ** 2 * out.shape[1] < 2**52 else out
-
-
-def _blocks(rows: np.ndarray) -> np.ndarray:
-    """An order of rows in which like ones stand together: by the pivots they score highest and second highest with."""
-    pivots = rows[np.linspace(0, len(rows) - 1, min(len(rows), 32)).astype(int)]
-    near = rows @ pivots.T
-    first = near.argmax(axis=1)
-    second = near.copy()
-    second[np.arange(len(rows)), first] = np.iinfo(np.int64).min if rows.dtype.kind == "i" else -np.inf
-    return np.lexsort((second.argmax(axis=1), first))
-
-
-def best(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """Yield (query number, ids, scores): each query's k best, ties to the smaller id, its own id left out."""
-    order = _blocks(rows)
-    ids, rows = ids[order], rows[order]
-    starts = np.arange(0, len(rows), BLOCK)
-    high, low = np.maximum.reduceat(rows, starts), np.minimum.reduceat(rows, starts)
-    bounds = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
-    by_bound = np.argsort(-bounds, axis=1, kind="stable")
-    for q, (own, query) in enumerate(zip(query_ids, queries, strict=True)):
-        got_ids, got = np.empty(0, np.int64), np.empty(0, rows.dtype)
-        line, at, step = bounds[q, by_bound[q]], 0, 1
-        while at < len(starts) and (len(got) < k or line[at] >= got[-1]):
-            take = by_bound[q, at : at + step]
-            spans = [slice(starts[b], starts[b] + BLOCK) for b in take]
-            new_ids = np.concatenate([ids[s] for s in spans])
-            scores = np.concatenate([rows[s] @ query for s in spans])
-            keep = new_ids != own
-            if len(got) >= k:
-                keep &= scores >= got[-1]
-            got_ids, got = np.concatenate([got_ids, new_ids[keep]]), np.concatenate([got, scores[keep]])
-            top = np.lexsort((got_ids, -got))[:k]
-            got_ids, got = got_ids[top], got[top]
-            at, step = at + step, min(16, 2 * step)
-        yield q, got_ids, got.astype(np.int64)
+    return out.astype(np.float64) if out.size and float(np.abs(flat).max()) ** 2 * out.shape[1] < 2**52 else out
+
+
+class Part:
+    """Rows of one length, in blocks."""
+
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, rows: np.ndarray) -> None:
+        order = np.argsort(ids, kind="stable")
+        self.ids, self.copies, self.rows = ids[order], copies[order], rows[order]
+        self.starts = np.arange(0, len(rows), BLOCK)
+        self.high, self.low = (f.reduceat(self.rows, self.starts) for f in (np.maximum, np.minimum))
+        self.met = self.scored = 0
+
+    def best(self, own: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int):
+        """Yield (ids, scores) of each query: its k best rows of those that reach its floor, ties to the smaller id; one
+        row of its own id and vector is left out."""
+        rows, starts = self.rows, self.starts
+        if rows.dtype != queries.dtype:
+            rows, queries = rows.astype(np.int64), queries.astype(np.int64)
+        bounds = np.maximum(queries, 0) @ self.high.astype(rows.dtype).T + np.minimum(queries, 0) @ self.low.astype(rows.dtype).T
+        by_bound = np.argsort(-bounds, axis=1, kind="stable")
+        for q, query in enumerate(queries):
+            got_ids, got, floor = np.empty(0, np.int64), np.empty(0, np.int64), int(floors[q])
+            line, at, step = bounds[q, by_bound[q]], 0, 1
+            while at < len(starts) and line[at] >= floor:
+                spans = [slice(starts[b], starts[b] + BLOCK) for b in by_bound[q, at : at + step]]
+                scores, ids = (np.concatenate([x[s] for s in spans]) for x in (rows, self.ids))
+                scores = (scores @ query).astype(np.int64)
+                keep = np.flatnonzero((scores >= floor) & ((ids != own[q]) | ~self._is_own(spans, own[q], query)))
+                got_ids, got = np.concatenate([got_ids, ids[keep]]), np.concatenate([got, scores[keep]])
+                top = np.lexsort((got_ids, -got))[:k]
+                got_ids, got = got_ids[top], got[top]
+                if len(got) == k:
+                    floor = max(floor, int(got[-1]))
+                at, step = at + step, min(16, 2 * step)
+            self.met, self.scored = self.met + len(starts), self.scored + min(at, len(starts))
+            yield got_ids, got
+
+    def _is_own(self, spans: list[slice], own: int, query: np.ndarray) -> np.ndarray:
+        """Of the rows of some blocks, the first copy of the query's own."""
+        return np.concatenate([(self.ids[s] == own) & (self.copies[s] == 1) & (self.rows[s] == query).all(axis=1) for s in spans])
+
+
+def _meet(k: int):
+    """Rows of a part, then the queries that meet it: what a task does with its parts, one after another."""
+
+    def run(batches):
+        held, key, part = [], None, None
+        for batch in batches:
+            group = list(zip(batch.column("part").to_pylist(), batch.column("dim").to_pylist(), batch.column("asks").to_pylist(), strict=True))
+            cuts = [0, *(n for n in range(1, len(group)) if group[n] != group[n - 1]), len(group)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                own = batch.slice(a, b - a)
+                if group[a][:2] != key:
+                    key, held, part = group[a][:2], [], None
+                if not group[a][2]:
+                    held.append(own)
+                    continue
+                if not held and part is None:
+                    continue  # no rows of this length in the part
+                if part is None:
+                    ids, copies = (np.concatenate([x.column(c).to_numpy() for x in held]) for c in ("id", "copy"))
+                    part, held = Part(ids, copies, _matrix(pa.concat_arrays([x.column("v") for x in held]))), []
+                for at in range(0, own.num_rows, 256):
+                    some = own.slice(at, 256)
+                    found = list(part.best(some.column("id").to_numpy(), _matrix(some.column("v")), some.column("floor").to_numpy(), k))
+                    n = [len(x[1]) for x in found]
+                    back = [np.repeat(some.column(c).to_numpy(), n) for c in ("id", "copy", "h")]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*back, np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))], ["query_id", "copy", "h", "vec_id", "score"])
+
+    return run
+
+
+FOUND = "query_id bigint, copy bigint, h bigint, vec_id bigint, score bigint"
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of vectors for each row of queries, scores as quantise() makes them.
 
-    Rows whose id or vector is null, and vectors that are empty or hold null or non-finite components, take no part. An id
-    that repeats counts once, with its least vector. Only vectors of a query's own length are candidates for it. Other
-    columns are not read. Candidates and queries are dealt in parts of bounded size; a task holds one part of each.
+    Rows whose id or vector is null, and vectors that hold null or non-finite components, take no part. Only vectors of a
+    query's own length are candidates for it, empty ones for an empty one. A query leaves out one row of its own id and
+    vector, if there is one; other rows of its id are candidates like any. Each row of queries has its ranks, also one that
+    repeats; of equal rows no more than k + 1 copies are compared, which is all that can be returned. No queries, or no
+    candidates, give no rows. Other columns are not read.
+
+    Rows are shuffled once, and queries once for each part of some PART rows: a task holds one part and streams queries.
     """
 
-    def clean(df):
+    def clean(df, most):
         rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")).where(F.col("id").isNotNull() & usable(F.col("v")))
-        return rows.select("id", quantise(F.col("v")).alias("v")).groupBy("id").agg(F.min("v").alias("v"))
+        rows = rows.select("id", quantise(F.col("v")).alias("v")).groupBy("id", "v").agg(F.count("*").alias("n"))
+        n = F.least("n", F.lit(most)) if most else F.col("n")
+        return rows.select("id", "v", F.xxhash64("v").alias("h"), F.size("v").alias("dim"), F.explode(F.sequence(F.lit(1).cast("bigint"), n)).alias("copy"))
 
-    rows, asked = clean(vectors), clean(queries)
+    rows, asked = checkpointed(clean(vectors, k + 1)), checkpointed(clean(queries, None))
     parts = max(1, -(-rows.count() // PART))
-    chunks = max(1, -(-asked.count() // QUERIES))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("chunk", every(chunks))
-    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(chunks)).cast("int")).withColumn("part", every(parts))
-    cols = ["id", "v", "part", "chunk", F.size("v").alias("dim")]
-
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
-        if not left.num_rows or not right.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in names.items()})
-        left, right = left.sort_by("id").combine_chunks(), right.sort_by("id").combine_chunks()
-        own, asks = (np.asarray(t["id"].to_numpy()) for t in (left, right))
-        a, b = (_matrix(t["v"].combine_chunks() if isinstance(t["v"], pa.ChunkedArray) else t["v"]) for t in (left, right))
-        found = list(best(own, *((a, asks, b) if a.dtype == b.dtype else (a.astype(np.int64), asks, b.astype(np.int64))), k))
-        n = [len(x[1]) for x in found]
-        return pa.table({"query_id": np.repeat(asks, n), "vec_id": np.concatenate([x[1] for x in found]).astype(np.int64), "score": np.concatenate([x[2] for x in found])})
-
-    by = ("part", "chunk", "dim")
-    found = rows.select(cols).groupBy(*by).cogroup(asked.select(cols).groupBy(*by)).applyInArrow(cell, "query_id bigint, vec_id bigint, score bigint")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    home = F.pmod(F.xxhash64("id", "h", "copy"), F.lit(parts)).cast("int")
+    cols = ["part", "dim", "asks", "id", "copy", "h", "v", "floor"]
+    rows = rows.withColumns({"part": home, "asks": F.lit(False), "floor": F.lit(NONE)}).select(cols)
+
+    def met(asks: DataFrame) -> DataFrame:
+        both = rows.unionByName(asks.select(cols)).repartition("part", "dim").sortWithinPartitions("part", "dim", "asks")
+        return both.mapInArrow(_meet(k), FOUND)
+
+    asked = asked.withColumns({"own": home, "asks": F.lit(True)})
+    if parts == 1:
+        found = met(asked.withColumns({"part": F.col("own"), "floor": F.lit(NONE)}))
+    else:
+        first = checkpointed(met(asked.withColumns({"part": F.col("own"), "floor": F.lit(NONE)})))
+        full = first.groupBy(F.col("query_id").alias("id"), "copy", "h").agg(F.count("*").alias("n"), F.min("score").alias("least"))
+        asked = asked.join(full, ["id", "copy", "h"], "left").withColumn("floor", F.when(F.col("n") >= k, F.col("least")).otherwise(NONE))
+        others = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).where("part <> own")
+        found = first.unionByName(met(others))
+    place = F.row_number().over(Window.partitionBy("query_id", "copy", "h").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -153,23 +154,50 @@ def test_chat_conversations(spark):
     assert chat.digest_conversations(chat.format_conversations(turns.where("false"))).count() == 0
 
 
-def brute_top(rows, queries_, k):
-    for q, x in queries_:
-        scored = sorted((-int(np.dot(x, v)), i) for i, v in rows if i != q and len(v) == len(x))
-        yield from ((q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k]))
+def brute_top(rows, is_query, k):
+    """Each query row against all other rows, equal ones too."""
+    for at, (q, x) in enumerate(rows):
+        if is_query(q):
+            scored = sorted((-sum(a * b for a, b in zip(x, v, strict=True)), i) for n, (i, v) in enumerate(rows) if n != at and len(v) == len(x))
+            yield from ((q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k]))
 
 
 def test_topk(spark, monkeypatch):
     rng = np.random.default_rng(4)
     vectors = [(k, [float(np.float32(v)) for v in rng.normal(size=6)]) for k in range(400)] + [(k, [0.5] * 6) for k in range(400, 500)]
-    odd = [(600, None), (601, [1.0, None]), (602, [float("nan")] * 6), (603, [float("inf")] * 6), (None, [1.0] * 6), (604, [1.0, 2.0]), (605, [3.0, 4.0]), (7, vectors[7][1]), (606, [])]
-    df = spark.createDataFrame([(i, v, "x") for i, v in vectors + odd], "vec_id bigint, embedding array<float>, score string")
-    clean = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in [*vectors, odd[5], odd[6]]]
-    monkeypatch.setattr(topk, "PART", 90)
-    monkeypatch.setattr(topk, "QUERIES", 9)
-    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id % 20 = 0 OR vec_id = 604"), 20).collect())
-    assert got == sorted(brute_top(clean, [c for c in clean if c[0] % 20 == 0 or c[0] == 604], 20))
-    assert topk.top_k(df.where("false"), df, 5).count() == 0
+    # Ids that repeat, with the same vector and with another, as candidates and as queries; empty vectors; other lengths.
+    again = [(7, vectors[7][1]), (40, vectors[40][1]), (40, [2.0] * 6), (60, [0.5] * 6), *[(80, [1.5] * 6)] * 40]
+    odd = [(600, None), (601, [1.0, None]), (602, [float("nan")] * 6), (603, [float("inf")] * 6), (None, [1.0] * 6)]
+    other = [(604, [1.0, 2.0]), (605, [3.0, 4.0]), (620, []), (621, []), (640, [1.0] * 3)]
+    df = spark.createDataFrame([(i, v, "x") for i, v in vectors + again + odd + other], "vec_id bigint, embedding array<float>, score string")
+    clean = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in [*vectors, *again, *other]]
+    want = sorted(brute_top(clean, lambda q: q % 20 == 0 or q == 604, 20))
+    for part in (90, 100_000):
+        monkeypatch.setattr(topk, "PART", part)
+        got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id % 20 = 0 OR vec_id = 604"), 20).collect())
+        assert got == want
+    assert topk.top_k(df.where("false"), df, 5).count() == 0 and topk.top_k(df, df.where("false"), 5).count() == 0
+
+
+def test_topk_leaves_out_blocks_of_clusters():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 16)) * 200
+    rows = np.floor(np.repeat(centres, 64, axis=0) + rng.normal(size=(60 * 64, 16)) * 4)
+    part, ids = topk.Part(np.arange(len(rows)), np.ones(len(rows), int), rows), np.arange(0, len(rows), 100)
+    found = list(part.best(ids, rows[ids], np.full(len(ids), topk.NONE), 10))
+    for q, (got_ids, got) in zip(ids, found, strict=True):
+        exact = sorted((-int(s), i) for i, s in enumerate(rows @ rows[q]) if i != q)[:10]
+        assert [(-s, i) for s, i in exact] == [(int(s), i) for s, i in zip(got, got_ids, strict=True)]
+    assert part.scored < 0.2 * part.met
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_against_duckdb(spark, name):
+    c = duckdb.connect()
+    for t in ("documents", "embeddings", "labels", "conversations"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data.DATA}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, data.DATA)
+    assert Counter(map(tuple, c.execute(queries.ORACLES[name]).df()[df.columns].itertuples(index=False))) == Counter(tuple(r) for r in df.collect())
 
 
 def test_language(spark):
