@@ -93,3 +93,12 @@ def monthly_flows(reports: DataFrame, months: int = 3) -> DataFrame:
     month = F.last_day(F.add_months("report_date", F.col("ordinal") - months))
     net = F.coalesce("sales", F.lit(0.0)) - F.coalesce("redemption", F.lit(0.0))
     return df.select("series_id", month.alias("month_end"), "ordinal", "sales", "redemption", net.alias("net"), F.try_divide(net, "net_assets").alias("share"))
+
+
+def universe_features(universe: DataFrame, stage: DataFrame, identity: DataFrame, proxies: DataFrame) -> DataFrame:
+    """A row per instrument of the universe: the newest staged strategy label (of one date the last by name), else its own
+    strategy, else 'unclassified'; identity without leading zeros, and the label's benchmark, where there are any."""
+    newest = stage.groupBy("instrument_id").agg(F.max_by("strategy_label", F.struct("effective_date", "strategy_label")).alias("_newest"))
+    label = F.coalesce(F.nullif("_newest", F.lit("")), F.nullif("strategy", F.lit("")), F.lit("unclassified"))
+    df = universe.join(newest, "instrument_id", "left").withColumn("strategy_label", label).join(identity, "instrument_id", "left").join(proxies, "strategy_label", "left")
+    return df.select("instrument_id", "ticker", "asset_class", "is_active", "strategy_label", F.ltrim("cik", F.lit("0")).alias("cik_unpadded"), "sec_series_id", "benchmark_ticker")

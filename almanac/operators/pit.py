@@ -47,6 +47,13 @@ def leak_probe(before: DataFrame, after: DataFrame, columns: list[str]) -> DataF
     return both.select("before_rows", "after_rows", ((F.col("before_rows") == F.col("after_rows")) & F.col("before_hash").eqNullSafe(F.col("after_hash"))).alias("same"))
 
 
+def store_checks(vintages: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """One row: rows, rows beyond the first of their key and vintage date, and rows available before their vintage date."""
+    early = F.col("available_at").cast("date") < F.col("vintage_date")
+    each = vintages.groupBy(*key, "vintage_date").agg(F.count("*").alias("n"), F.count_if(early).alias("early"))
+    return each.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("duplicate_keys"), F.sum("early").alias("available_early"))
+
+
 def merged(batches: list[DataFrame], key: list[str]) -> DataFrame:
     """Union of vintage batches; the last batch wins per key."""
     every = None

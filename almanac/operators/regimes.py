@@ -5,6 +5,8 @@ Each machine has a region in which the state holds, so the state is the last dec
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import WindowSpec
@@ -151,11 +153,14 @@ def monotonic_matches(a: DataFrame, b: DataFrame, by: str, date: str, most: int)
         days = [np.sort(pd.to_datetime(x[date]).to_numpy().astype("datetime64[D]")) for x in (left, right)]
         out, at = [], 0
         for d in days[0]:
-            m = days[1][at:]
+            # Business days are fewer than days, and at least five in seven but for two.
+            first, last = np.searchsorted(days[1], [d - np.timedelta64(2 * most + 4, "D"), d + np.timedelta64(2 * most + 4, "D")])
+            at = max(at, int(first))
+            m = days[1][at:last]
             lag = np.sign((m - d).astype(int)) * (np.busday_count(np.minimum(d, m), np.maximum(d, m) + 1) - 1)
             fits = np.flatnonzero(np.abs(lag) <= most)
             if len(fits):
-                best = min(fits, key=lambda k: (abs(lag[k]), lag[k]))
+                best = int(fits[np.lexsort((lag[fits], np.abs(lag[fits])))[0]])
                 out.append((left[by].iloc[0], d.astype(object), days[1][at + best].astype(object), int(lag[best])))
                 at += best + 1
         return pd.DataFrame(out, columns=[by, "a_date", "b_date", "lag"])
@@ -167,13 +172,16 @@ def monotonic_matches(a: DataFrame, b: DataFrame, by: str, date: str, most: int)
 def smoothed(df: DataFrame, by: list[str], date: str, x: str, group: str, half_life: float = 2.0) -> DataFrame:
     """df with ema: exponential smoothing that moves on only where ``group`` (the information set) changes.
 
-    Change points are numbered, the average is a weighted sum in closed form over them, and their rows share it.
+    Change points are numbered, and their rows share the average. A null value has no average, and the next one starts anew.
+    Of the points since then only those count whose weight a double can still tell from nothing, so each point looks back
+    over a window of fixed length.
     """
     decay = 0.5 ** (1 / half_life)
+    rows = math.ceil(60 * half_life)
     order = Window.partitionBy(*by).orderBy(date)
     df = df.withColumn("_g", F.sum((~F.lag(group).over(order).eqNullSafe(F.col(group))).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     points = df.groupBy(*by, "_g").agg(F.min_by(x, date).alias("_x"))
-    line = Window.partitionBy(*by).orderBy("_g").rowsBetween(Window.unboundedPreceding, 0)
-    points = points.withColumn("_all", F.collect_list("_x").over(line))
+    points = points.withColumn("_since", F.count_if(F.col("_x").isNull()).over(Window.partitionBy(*by).orderBy("_g").rowsBetween(Window.unboundedPreceding, 0)))
+    points = points.withColumn("_all", F.collect_list("_x").over(Window.partitionBy(*by, "_since").orderBy("_g").rowsBetween(-rows, 0)))
     ema = F.aggregate(F.slice("_all", F.lit(2), F.greatest(F.size("_all") - 1, F.lit(0))), F.get("_all", F.lit(0)), lambda a, v: decay * a + (1 - decay) * v)
-    return df.join(points.select(*by, "_g", ema.alias("ema")), [*by, "_g"]).drop("_g")
+    return df.join(points.select(*by, "_g", F.when(F.col("_x").isNotNull(), ema).alias("ema")), [*by, "_g"]).drop("_g")

@@ -113,3 +113,20 @@ def history_percentile(df: DataFrame, key: str, date: str, value: str, least: in
     current = df.groupBy(key).agg(F.max_by(value, date).alias("_now"))
     share = 100 * F.avg((F.col(value) <= F.col("_now")).cast("double"))
     return df.join(current, key).groupBy(key).agg(F.when(F.count("*") < least, 50.0).otherwise(100 - share if inverted else share).alias("percentile"))
+
+
+def window_metrics(df: DataFrame, by: list[str], date: str, x: str, k: int = 5) -> DataFrame:
+    """Per window of rows: yearly volatility of log returns, return, drawdown from the window's own peak, worst return over k
+    rows (over the window, if it has no more than k). A step from or to a value of zero or less counts as no move; fewer
+    than three values have no volatility, one has no return."""
+    w = Window.partitionBy(*by).orderBy(date)
+    v, before, back = F.col(x), F.lag(x).over(w), F.lag(x, k).over(w)
+    df = df.withColumn("_log", F.when((before > 0) & (v > 0), F.ln(v / before)).when(before.isNotNull(), 0.0))
+    peak = F.max(x).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumn("_down", F.when(peak > 0, (peak - v) / peak).otherwise(0.0)).withColumn("_back", F.when(back > 0, v / back - 1))
+    first, last = F.min_by(x, date), F.max_by(x, date)
+    whole = F.when((F.count("*") >= 2) & (first > 0), last / first - 1).otherwise(0.0)
+    return df.groupBy(*by).agg(
+        F.when(F.count("_log") >= 2, F.stddev_samp("_log") * F.sqrt(F.lit(252.0))).otherwise(0.0).alias("log_vol"), whole.alias("window_return"), F.max("_down").alias("window_drawdown"),
+        F.when(F.count("*") > k, F.coalesce(F.min("_back"), F.lit(0.0))).otherwise(whole).alias(f"worst_{k}"),
+    )

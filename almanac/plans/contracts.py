@@ -22,13 +22,21 @@ from almanac.streaming import ticks as T
 
 
 def scratch(spark, name: str) -> str:
-    """A new path in the session's shared folder."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the session's shared folder; only one machine can do without one."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{where or tempfile.mkdtemp(prefix='spark-')}/{name}-{uuid.uuid4().hex}"
 
 
 def _bars(spark, sf_dir):
     p = view(spark, sf_dir, "prices")
-    bar = F.struct(F.col("date").cast("string").alias("date"), F.col("close").alias("open"), F.col("close").alias("high"), F.col("close").alias("low"), F.col("close"), F.when(F.col("volume") > 5, F.col("volume")).alias("volume"), F.when(F.dayofmonth("date") % 2 == 0, F.col("close") * 2).alias("adjClose"))
+    c, v, day = F.col("close"), F.col("volume"), F.dayofmonth("date")
+    cells = {
+        "open": c + 1, "high": c + 3, "low": c - 2, "close": c, "volume": F.when(v > 5, v), "adjOpen": c + 11, "adjHigh": c + 13, "adjLow": c + 8, "adjClose": F.when(day % 2 == 0, c * 2), "adjVolume": v * 4,
+        "divCash": day / 100, "splitFactor": F.when(day % 7 != 0, 1 + day / 10),
+    }
+    bar = F.struct(F.col("date").cast("string").alias("date"), *(value.alias(name) for name, value in cells.items()))
     return p.groupBy("ticker").agg(F.to_json(F.collect_list(bar)).alias("payload"))
 
 
@@ -37,9 +45,10 @@ def daily_prices(spark, sf_dir):
     return _r6(P.daily_prices(_bars(spark, sf_dir), "payload", "ticker"))
 
 
-@query("src03_full_bars", oracle("SELECT ticker, date, close AS open, close AS high, close AS low, close, volume FROM prices WHERE volume > 5", "prices"))
+@query("src03_full_bars", oracle("""SELECT ticker, date, round(close + 1, 6) AS open, round(close + 3, 6) AS high, round(close - 2, 6) AS low, round(close, 6) AS close, volume, round(close + 11, 6) AS adj_open, round(close + 13, 6) AS adj_high, round(close + 8, 6) AS adj_low,
+    round(close * 2, 6) AS adj_close, volume * 4 AS adj_volume, day(date) / 100 AS div_cash, 1 + day(date) / 10 AS split_factor FROM prices WHERE volume > 5 AND day(date) % 2 = 0 AND day(date) % 7 <> 0""", "prices"))
 def full_bars(spark, sf_dir):
-    return P.full_bars(_bars(spark, sf_dir), "payload", "ticker")
+    return _r6(P.full_bars(_bars(spark, sf_dir), "payload", "ticker"))
 
 
 @query("src04_chart_prices", oracle("SELECT ticker, date, close AS price FROM prices WHERE volume > 5", "prices"))
@@ -50,9 +59,12 @@ def chart_prices(spark, sf_dir):
     return P.chart_prices(p, "payload", "ticker")
 
 
-@query("src05_observations", oracle("SELECT series_id, obs_date, round(value, 6) AS value FROM macro WHERE value < 6", "macro"))
+@query("src05_observations", oracle("SELECT series_id, obs_date, round(value, 6) AS value FROM macro WHERE value < 6 AND day(obs_date) NOT BETWEEN 1 AND 5", "macro"))
 def observations(spark, sf_dir):
-    cell = F.struct(F.col("obs_date").cast("string").alias("date"), F.when(F.col("value") < 6, F.col("value").cast("string")).otherwise(".").alias("value"))
+    day = F.dayofmonth("obs_date")
+    odd = F.get(F.array(*map(F.lit, ("NaN", "Infinity", "-inf", "n/a", ""))), day - 1)
+    value = F.when(day <= 5, odd).when(F.col("value") >= 6, ".").when(day == 6, F.concat(F.lit(" "), F.col("value").cast("string"), F.lit(" "))).otherwise(F.col("value").cast("string"))
+    cell = F.struct(F.col("obs_date").cast("string").alias("date"), value.alias("value"))
     m = view(spark, sf_dir, "macro").groupBy("series_id").agg(F.to_json(F.struct(F.collect_list(cell).alias("observations"))).alias("payload"))
     return _r6(P.observations(m, "payload", "series_id"))
 
@@ -130,11 +142,17 @@ def provenance(spark, sf_dir):
     return one("orders", "o_orderdate").unionByName(one("lineitem", "l_shipdate"))
 
 
-@query("src14_newest_filings", oracle("""SELECT o_custkey, o_orderpriority AS form, CAST(o_orderdate AS DATE) AS report_date, CAST(o_orderkey AS VARCHAR) AS accession, row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, CAST(o_orderkey AS VARCHAR) DESC)::INTEGER AS rank
-    FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate < TIMESTAMP '1999-01-02' QUALIFY rank <= 3"""))
+@query("src14_newest_filings", oracle("""WITH f AS (SELECT o_custkey, o_orderkey, o_orderpriority AS form, CAST(o_orderdate AS DATE) AS filing_date, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate AS DATE) - CAST(o_orderkey % 90 AS INTEGER) ELSE CAST(o_orderdate AS DATE) END AS report_date
+    FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderkey % 7 <> 0)
+    SELECT o_custkey, form, 'A' || o_orderkey AS accession, filing_date, report_date, row_number() OVER (PARTITION BY o_custkey ORDER BY filing_date DESC, o_orderkey DESC)::INTEGER AS rank FROM f WHERE report_date <= DATE '1999-01-01' QUALIFY rank <= 3"""))
 def newest_filings(spark, sf_dir):
-    cell = F.struct(F.col("o_orderpriority").alias("f"), F.to_date("o_orderdate").cast("string").alias("d"), F.col("o_orderkey").cast("string").alias("a"))
-    p = view(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list(cell).alias("x")).select("o_custkey", F.to_json(F.struct(F.col("x.f").alias("form"), F.col("x.d").alias("reportDate"), F.col("x.a").alias("accession"))).alias("payload"))
+    day, k = F.to_date("o_orderdate"), F.col("o_orderkey")
+    cell = F.struct(
+        day.alias("d"), k.alias("k"), F.col("o_orderpriority").alias("f"), F.concat(F.lit("A"), k.cast("string")).alias("a"),
+        F.when(k % 7 == 0, "").otherwise(day.cast("string")).alias("filed"), F.when(k % 4 == 0, "").otherwise(F.date_sub(day, (k % 90).cast("int")).cast("string")).alias("r"),
+    )
+    index = F.struct(F.col("x.f").alias("form"), F.col("x.a").alias("accessionNumber"), F.col("x.filed").alias("filingDate"), F.col("x.r").alias("reportDate"))
+    p = view(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list(cell), asc=False).alias("x")).select("o_custkey", F.to_json(index).alias("payload"))
     return P.newest_filings(p, "payload", ["1-URGENT", "2-HIGH"], "1999-01-01", 3, "o_custkey")
 
 
@@ -371,16 +389,21 @@ def entity_fits(spark, sf_dir):
 
 
 def _frames(spark, sf_dir):
-    t = view(spark, sf_dir, "ticks")
-    wide = F.array(F.lit("T"), F.col("ts").cast("string"), F.lit("0"), F.col("symbol"), *(F.lit("") for _ in range(5)), F.lit("1"), F.col("price").cast("string"))
-    slim = F.array(F.col("ts").cast("string"), F.col("symbol"), F.col("price").cast("string"))
-    kind = F.when(F.col("event_id") % 5 == 0, "H").otherwise("A")
-    return t.select("event_id", F.to_json(F.struct(kind.alias("messageType"), F.when(F.col("event_id") % 2 == 0, wide).otherwise(slim).alias("data"))).alias("value"))
-
-
-@query("str01_ticks", oracle("SELECT symbol, ts, price, CASE WHEN event_id % 2 = 0 THEN 1.0 END AS size FROM ticks WHERE event_id % 5 <> 0", "ticks"))
+    """Frames in both layouts, with another number in every field, times at an offset, quotes and heartbeats."""
+    t, k = view(spark, sf_dir, "ticks"), F.col("event_id")
+    text = lambda n: (k % n + n).cast("string")
+    kind = F.when(k % 6 == 4, "Q").otherwise("T")
+    far = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("789-05:00"))
+    wide = F.array(kind, far, F.lit("1700000000000000000"), F.lower("symbol"), text(30), text(31), text(32), text(33), text(34), F.col("price").cast("string"), text(900), text(3))
+    slim = F.array(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z")), F.col("symbol"), F.col("price").cast("string"))
+    message = F.when(k % 5 == 0, "H").otherwise("A")
+    return t.select("event_id", F.to_json(F.struct(message.alias("messageType"), F.when(k % 2 == 0, wide).otherwise(slim).alias("data"))).alias("value"))
+
+
+@query("str01_ticks", oracle("""SELECT upper(symbol) AS symbol, date_trunc('second', ts) + CASE WHEN event_id % 2 = 0 THEN INTERVAL 5 HOUR ELSE INTERVAL 0 HOUR END AS ts, price, CASE WHEN event_id % 2 = 0 THEN event_id % 900 + 900 ELSE 0 END AS size
+    FROM ticks WHERE event_id % 5 <> 0 AND NOT (event_id % 2 = 0 AND event_id % 6 = 4)""", "ticks"))
 def tick_rows(spark, sf_dir):
-    return T.parsed(_frames(spark, sf_dir)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return T.parsed(_frames(spark, sf_dir)).withColumn("ts", F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("ts").cast("timestamp_ntz")))
 
 
 @query("str02_routing", oracle("SELECT session, count(*) AS n FROM ticks JOIN (SELECT c_name AS session, CAST(c_custkey % 50 AS VARCHAR) AS symbol FROM customer WHERE c_acctbal > 5000) USING (symbol) GROUP BY session", "ticks"))
@@ -402,25 +425,28 @@ def _streamed(spark, sf_dir, build, mode: str):
     return spark.read.schema(stream.schema).parquet(out)
 
 
-@query("str03_last_prices", oracle("SELECT symbol, max(ts) AS ts, max_by(price, ts) AS price FROM ticks GROUP BY symbol", "ticks"))
+@query("str03_last_prices", oracle("SELECT symbol, max(ts) AS ts, arg_max(price, (ts, price)) AS price FROM ticks GROUP BY symbol", "ticks"))
 def last_prices(spark, sf_dir):
     return _streamed(spark, sf_dir, T.last_prices, "complete").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("str04_bars", oracle("""WITH t AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS start, max(ts) OVER () AS top FROM ticks)
-    SELECT symbol, start, min_by(price, ts) AS open, max(price) AS high, min(price) AS low, max_by(price, ts) AS close, count(*) AS n FROM t WHERE start + INTERVAL 1 HOUR <= top - INTERVAL 2 HOUR GROUP BY symbol, start""", "ticks"))
+    SELECT symbol, start, arg_min(price, (ts, price)) AS open, max(price) AS high, min(price) AS low, arg_max(price, (ts, price)) AS close, count(*) AS n FROM t WHERE start + INTERVAL 1 HOUR <= top - INTERVAL 2 HOUR GROUP BY symbol, start""", "ticks"))
 def tick_bars(spark, sf_dir):
     """Windows that the watermark has closed by the end of the stream."""
     return _streamed(spark, sf_dir, T.bars, "append").withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-@query("str05_append_new", oracle("SELECT event_type AS series_id, CAST(ts AS DATE) AS observation_period, count(*) > 0 AS seen FROM events GROUP BY ALL"))
+@query("str05_append_new", oracle("SELECT event_type AS series_id, CAST(ts AS DATE) AS observation_period, min(round(value, 6)) AS value FROM events GROUP BY ALL"))
 def append_new(spark, sf_dir):
+    """Two batches with the same keys and other values, twice over: the first batch's rows stay."""
     src, out, key = scratch(spark, "vint"), scratch(spark, "store"), ["series_id", "observation_period"]
     v = view(spark, sf_dir, "short_vintages").select("series_id", "observation_period", "value")
-    v.write.parquet(src)
-    v.write.mode("append").parquet(src)
+    first = v.groupBy(*key).agg(F.min("value").alias("value"))
+    # One file a batch, as the stream takes files in the order of their times.
+    v.coalesce(1).write.parquet(src)
+    first.withColumn("value", F.col("value") - 1).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema("series_id string, observation_period date, value double").option("maxFilesPerTrigger", 1).parquet(src)
     for _ in range(2):
         T.append_new(stream, out, key, scratch(spark, "state")).awaitTermination()
-    return spark.read.parquet(out).groupBy(*key).agg((F.count("*") == 1).alias("seen"))
+    return spark.read.parquet(out)

@@ -158,11 +158,21 @@ def panel_first(spark, sf_dir):
     return pit.panel(v, _calendar(v), "cut", "first_release").select("cut", "series_id", "observation_period", "value")
 
 
-@query("pit03_leak_probe", oracle(f"SELECT count(*) AS before_rows, count(*) AS after_rows, true AS same FROM (SELECT DISTINCT series_id, observation_period FROM vintages WHERE available_at <= TIMESTAMP '{CUT}')", "vintages"))
+# Every eleventh vintage of the store stands twice, and every seventh says it was available a day before its date.
+_STORE = "store AS (SELECT series_id, observation_period, vintage_date, CASE WHEN day(observation_period) + month(vintage_date) * 5 + year(vintage_date) = 2003 THEN available_at - INTERVAL 1 DAY ELSE available_at END AS available_at, value, revision_number FROM vintages UNION ALL SELECT series_id, observation_period, vintage_date, available_at, value, revision_number FROM vintages WHERE revision_number % 11 = 5)"
+
+
+@query("pit03_leak_probe", oracle(f"""WITH {_STORE}, r AS (SELECT *, row_number() OVER (PARTITION BY series_id, observation_period ORDER BY available_at DESC, revision_number DESC) AS n FROM vintages WHERE available_at <= TIMESTAMP '{CUT}'), k AS (SELECT count(*) AS selected_rows, sum(CAST(round(value * 100000) AS HUGEINT))::DOUBLE AS selected_sum FROM r WHERE n = 1),
+    c AS (SELECT series_id, observation_period, vintage_date, count(*) AS n, count(*) FILTER (CAST(available_at AS DATE) < vintage_date) AS early FROM store GROUP BY ALL)
+    SELECT any_value(selected_rows) AS before_rows, any_value(selected_rows) AS after_rows, any_value(selected_sum) AS before_sum, any_value(selected_sum) AS after_sum, sum(n)::BIGINT AS rows, sum(n - 1)::BIGINT AS duplicate_keys, sum(early)::BIGINT AS available_early FROM c, k""", "vintages"))
 def leak_probe(spark, sf_dir):
+    """What a read selects as of a cut, before and after later revisions come in, and the checks of a store with faults."""
     v = view(spark, sf_dir, "vintages")
     later = v.withColumn("available_at", F.lit("2030-01-01").cast("timestamp")).withColumn("value", F.col("value") + 1).withColumn("revision_number", F.col("revision_number") + 1000)
-    return pit.leak_probe(pit.as_of(v, CUT), pit.as_of(v.unionByName(later), CUT), ["series_id", "observation_period", "value"])
+    summed = lambda df, p: pit.as_of(df, CUT).agg(F.count("*").alias(f"{p}_rows"), F.sum(F.round(F.col("value") * 100000).cast("decimal(38,0)")).cast("double").alias(f"{p}_sum"))
+    early = F.dayofmonth("observation_period") + F.month("vintage_date") * 5 + F.year("vintage_date") == 2003
+    store = v.withColumn("available_at", F.when(early, F.col("available_at") - F.expr("INTERVAL 1 DAY")).otherwise(F.col("available_at"))).unionByName(v.where("revision_number % 11 = 5"))
+    return summed(v, "before").crossJoin(summed(v.unionByName(later), "after")).crossJoin(pit.store_checks(store))
 
 
 @query("pit04_freshness", oracle("""SELECT series_id, observation_period, round(CASE WHEN age <= 45 THEN 1.0 WHEN age >= 90 THEN 0.0 ELSE (90 - age) / 45.0 END, 6) AS freshness, round(exp(-ln(2) * age / 60), 6) AS decay, round(least(1, revision_number / 6.0), 6) AS maturity

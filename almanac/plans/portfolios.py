@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from almanac.functions import metrics as M
 from almanac.lens import oracle, view
 from almanac.operators import asof, holdings as H
 from almanac.plans.series import _r6
@@ -218,13 +219,38 @@ def confusion(spark, sf_dir):
     return n.crossJoin(F.broadcast(n.agg(F.sum("n").alias("t")))).select("x", "y", "n", F.round(F.col("n") / F.col("t"), 6).alias("share"))
 
 
-@query("hld10_fundamental_ratios", oracle("""WITH f AS (SELECT cik, period_end, max(val) AS income FROM facts WHERE concept = '1-URGENT' GROUP BY ALL), p AS (SELECT CAST(ticker AS BIGINT) AS cik, date, close, volume FROM prices)
-    SELECT p.cik, date, round(close * volume, 4) AS cap, round(CASE WHEN income > 0 THEN close * volume / income END, 6) AS pe FROM p ASOF LEFT JOIN f ON p.cik = f.cik AND p.date >= f.period_end""", "facts", "prices"))
+_CONCEPTS = {"income": ("1-URGENT", 0.0), "equity": ("2-HIGH", 100000.0), "assets": ("3-MEDIUM", 0.0), "revenue": ("4-NOT SPECIFIED", 0.0), "gross": ("5-LOW", 120000.0)}
+_FILED = ", ".join(f"max(val - {shift}) FILTER (concept = '{concept}') AS {name}" for name, (concept, shift) in _CONCEPTS.items())
+_KNOWN = ", ".join(f"last_value({name} IGNORE NULLS) OVER (PARTITION BY cik ORDER BY filed) AS {name}" for name in _CONCEPTS)
+
+
+@query("hld10_fundamental_ratios", oracle(f"""WITH f AS (SELECT cik, filed, {_FILED} FROM facts GROUP BY cik, filed), k AS (SELECT cik, filed, {_KNOWN} FROM f), p AS (SELECT CAST(ticker AS BIGINT) AS cik, date, close, volume FROM prices)
+    SELECT p.cik, date, round(close * volume, 4) AS cap, round(CASE WHEN income > 0 THEN close * volume / income END, 6) AS pe, round(CASE WHEN equity > 0 THEN income / equity END, 6) AS roe, round(CASE WHEN equity > 0 THEN (assets - equity) / equity END, 6) AS de,
+        round(CASE WHEN revenue > 0 THEN gross / revenue END, 6) AS margin, filed FROM p ASOF LEFT JOIN k ON p.cik = k.cik AND p.date >= k.filed""", "facts", "prices"))
 def fundamental_ratios(spark, sf_dir):
-    f = view(spark, sf_dir, "facts").where("concept = '1-URGENT'").groupBy("cik", "period_end").agg(F.max("val").alias("income"))
+    """Ratios of each price by the facts filed until then, each concept's newest; none by a denominator of zero or less."""
+    value = lambda concept, shift: F.max(F.when(F.col("concept") == concept, F.col("val") - shift))
+    f = view(spark, sf_dir, "facts").groupBy("cik", "filed").agg(*(value(*of).alias(name) for name, of in _CONCEPTS.items()))
+    w = Window.partitionBy("cik").orderBy("filed").rowsBetween(Window.unboundedPreceding, 0)
+    f = f.select("cik", "filed", *(F.last(name, ignorenulls=True).over(w).alias(name) for name in _CONCEPTS))
     p = view(spark, sf_dir, "prices").select(F.col("ticker").cast("bigint").alias("cik"), "date", "close", "volume")
-    cap = F.col("close") * F.col("volume")
-    return asof.asof_join(p, f, ["cik"], "date", "period_end", ["income"]).select("cik", "date", F.round(cap, 4).alias("cap"), F.round(F.when(F.col("income") > 0, cap / F.col("income")), 6).alias("pe"))
+    p = asof.asof_join(p.withColumn("cap", F.col("close") * F.col("volume")), f, ["cik"], "date", "filed", [*_CONCEPTS, "filed"])
+    by = lambda a, b: F.round(M.ratio(a, F.col(b)), 6)
+    return p.select("cik", "date", F.round("cap", 4).alias("cap"), by(F.col("cap"), "income").alias("pe"), by(F.col("income"), "equity").alias("roe"), by(F.col("assets") - F.col("equity"), "equity").alias("de"), by(F.col("gross"), "revenue").alias("margin"), "filed")
+
+
+@query("hld11_universe_features", oracle("""WITH s AS (SELECT o_custkey, arg_max(o_orderpriority, (CAST(o_orderdate AS DATE), o_orderpriority)) AS label FROM orders WHERE o_orderkey % 3 = 0 GROUP BY o_custkey), u AS (SELECT c_custkey, c_name AS ticker, c_nationkey, CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS own, c_acctbal > -500 AS is_active FROM customer),
+    f AS (SELECT CAST(c_custkey AS VARCHAR) AS instrument_id, ticker, n_name AS asset_class, is_active, coalesce(nullif(label, ''), own, 'unclassified') AS strategy_label, CASE WHEN c_custkey % 4 > 0 THEN CAST(c_custkey AS VARCHAR) END AS cik_unpadded, CASE WHEN c_custkey % 4 > 0 THEN 'S' || c_custkey END AS sec_series_id FROM u LEFT JOIN s ON o_custkey = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey)
+    SELECT f.*, benchmark_ticker FROM f LEFT JOIN (VALUES ('1-URGENT', 'SPY'), ('2-HIGH', 'IEF'), ('BUILDING', 'XHB'), ('unclassified', 'ACWI')) b(strategy_label, benchmark_ticker) USING (strategy_label)"""))
+def universe_features(spark, sf_dir):
+    """Identity, strategy and benchmark per instrument: the newest label, else its own, else unclassified."""
+    c, o = view(spark, sf_dir, "customer"), view(spark, sf_dir, "orders").where("o_orderkey % 3 = 0")
+    text = F.col("c_custkey").cast("string")
+    universe = c.join(F.broadcast(view(spark, sf_dir, "nation")), F.col("n_nationkey") == F.col("c_nationkey"), "left").select(text.alias("instrument_id"), F.col("c_name").alias("ticker"), F.col("n_name").alias("asset_class"), (F.col("c_acctbal") > -500).alias("is_active"), F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("strategy"))
+    stage = o.select(F.col("o_custkey").cast("string").alias("instrument_id"), F.to_date("o_orderdate").alias("effective_date"), F.col("o_orderpriority").alias("strategy_label"))
+    identity = c.where("c_custkey % 4 > 0").select(text.alias("instrument_id"), F.lpad(text, 10, "0").alias("cik"), F.concat(F.lit("S"), text).alias("sec_series_id"))
+    proxies = spark.createDataFrame([("1-URGENT", "SPY"), ("2-HIGH", "IEF"), ("BUILDING", "XHB"), ("unclassified", "ACWI")], "strategy_label string, benchmark_ticker string")
+    return H.universe_features(universe, stage, identity, F.broadcast(proxies))
 
 
 @query("srt02_srt03_fetch_plan", oracle("""WITH w AS (SELECT ticker, max(date) AS newest, min(date) AS oldest, round(sum(volume), 4) AS size FROM prices GROUP BY ticker) SELECT ticker, newest, oldest, size FROM w ORDER BY newest, size DESC NULLS LAST, ticker LIMIT 100""", "prices"))

@@ -158,11 +158,12 @@ def soft_threshold(spark, sf_dir):
     return e.join(q, "series_id").groupBy("series_id", "vintage_date").agg(F.round(F.sum(F.when(F.col("a") > F.col("t"), F.col("a") - F.col("t")).otherwise(0.0)), 4).alias("beyond"), F.count("*").alias("n"))
 
 
-@query("st16_smoothing", oracle(f"""WITH RECURSIVE {_SC}, g AS (SELECT *, CAST(date_trunc('month', d) AS DATE) AS m FROM sc), p AS (SELECT axis, m, min_by(score, d) AS x, row_number() OVER (PARTITION BY axis ORDER BY m) AS k FROM g GROUP BY axis, m),
-    e AS (SELECT axis, k, m, x AS ema FROM p WHERE k = 1 UNION ALL SELECT p.axis, p.k, p.m, sqrt(0.5) * e.ema + (1 - sqrt(0.5)) * p.x FROM e JOIN p ON p.axis = e.axis AND p.k = e.k + 1)
+@query("st16_smoothing", oracle(f"""WITH RECURSIVE {_SC}, g AS (SELECT *, CAST(date_trunc('month', d) AS DATE) AS m FROM sc), p AS (SELECT axis, m, CASE WHEN month(m) NOT IN (1, 7) THEN min_by(score, d) END AS x, row_number() OVER (PARTITION BY axis ORDER BY m) AS k FROM g GROUP BY axis, m),
+    e AS (SELECT axis, k, m, x AS ema FROM p WHERE k = 1 UNION ALL SELECT p.axis, p.k, p.m, CASE WHEN e.ema IS NULL OR p.x IS NULL THEN p.x ELSE sqrt(0.5) * e.ema + (1 - sqrt(0.5)) * p.x END FROM e JOIN p ON p.axis = e.axis AND p.k = e.k + 1)
     SELECT g.axis, d, round(ema, 6) AS ema FROM g JOIN e ON g.axis = e.axis AND g.m = e.m""", "macro").replace("WITH macro", "WITH RECURSIVE macro", 1).replace(", RECURSIVE", ",", 1))
 def smoothing(spark, sf_dir):
-    df = _scores(spark, sf_dir).withColumn("m", F.trunc("d", "month"))
+    """Scores are missing in two months of the year: the average is, too, and starts anew."""
+    df = _scores(spark, sf_dir).withColumn("m", F.trunc("d", "month")).withColumn("score", F.when(~F.month("d").isin(1, 7), F.col("score")))
     return _r6(S.smoothed(df, ["axis"], "d", "score", "m").select("axis", "d", "ema"))
 
 

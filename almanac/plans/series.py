@@ -214,6 +214,13 @@ def window_returns(spark, sf_dir):
     return _r6(df.groupBy("instrument_id").agg(F.min("r21").alias("worst"), F.avg("r21").alias("mean"), F.count("r21").alias("n")))
 
 
+@query("wn28_window_metrics", oracle("""WITH s AS (SELECT instrument_id, nav_date, nav, lag(nav) OVER w AS before, lag(nav, 5) OVER w AS back, max(nav) OVER (PARTITION BY instrument_id ORDER BY nav_date ROWS UNBOUNDED PRECEDING) AS peak FROM nav WINDOW w AS (PARTITION BY instrument_id ORDER BY nav_date))
+    SELECT instrument_id, CASE WHEN count(*) < 3 THEN 0 ELSE round(stddev_samp(CASE WHEN before > 0 AND nav > 0 THEN ln(nav / before) WHEN before IS NOT NULL THEN 0 END) * sqrt(252), 6) END AS log_vol, round(max_by(nav, nav_date) / min_by(nav, nav_date) - 1, 6) AS window_return, round(max((peak - nav) / peak), 6) AS window_drawdown,
+        round(CASE WHEN count(*) > 5 THEN min(nav / back - 1) ELSE max_by(nav, nav_date) / min_by(nav, nav_date) - 1 END, 6) AS worst_5 FROM s GROUP BY instrument_id""", "nav"))
+def window_metrics(spark, sf_dir):
+    return _r6(R.window_metrics(view(spark, sf_dir, "nav"), ["instrument_id"], "nav_date", "nav"))
+
+
 @query("wn29_trailing_sums", oracle("""WITH t AS (SELECT instrument_id, count(*) OVER w AS k, sum(abs(r)) OVER w AS s FROM ret WINDOW w AS (PARTITION BY instrument_id ORDER BY nav_date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW)), m AS (SELECT instrument_id, round(max(s) FILTER (k = 252), 6) AS top FROM t GROUP BY instrument_id),
     a AS (SELECT instrument_id, round(sum(abs(r)) / count(*) * 252, 6) AS yearly FROM ret GROUP BY instrument_id) SELECT * FROM m JOIN a USING (instrument_id)""", "ret"))
 def trailing_sums(spark, sf_dir):

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("series", "joins", "portfolios", "regimes", "contracts")
+MODULES: tuple[str, ...] = ("series", "joins", "portfolios", "regimes", "replays", "contracts")
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BAR = "date string, open double, high double, low double, close double, volume double, adjClose double"
+#: Fields of a daily bar and the columns they become.
+BAR_COLUMNS = {
+    "open": "open", "high": "high", "low": "low", "close": "close", "volume": "volume", "adjOpen": "adj_open", "adjHigh": "adj_high", "adjLow": "adj_low",
+    "adjClose": "adj_close", "adjVolume": "adj_volume", "divCash": "div_cash", "splitFactor": "split_factor",
+}
+BAR = "date string, " + ", ".join(f"{c} double" for c in BAR_COLUMNS)
 
 
 def daily_prices(df: DataFrame, payload: str, *keys: str) -> DataFrame:
@@ -15,9 +20,10 @@ def daily_prices(df: DataFrame, payload: str, *keys: str) -> DataFrame:
 
 
 def full_bars(df: DataFrame, payload: str, *keys: str) -> DataFrame:
-    """Bars with all fields; a bar that lacks one is dropped."""
-    bars = df.select(*keys, F.explode(F.from_json(payload, f"array<struct<{_fields(BAR)}>>")).alias("b")).select(*keys, F.expr("try_cast(substring(b.date, 1, 10) AS date)").alias("date"), "b.open", "b.high", "b.low", "b.close", "b.volume")
-    return bars.dropna(how="any", subset=["date", "open", "high", "low", "close", "volume"])
+    """Bars with a day and all twelve of BAR_COLUMNS; a bar that lacks one is dropped."""
+    bars = df.select(*keys, F.explode(F.from_json(payload, f"array<struct<{_fields(BAR)}>>")).alias("b"))
+    bars = bars.select(*keys, F.expr("try_cast(substring(b.date, 1, 10) AS date)").alias("date"), *(F.col(f"b.{c}").alias(name) for c, name in BAR_COLUMNS.items()))
+    return bars.dropna(how="any", subset=["date", *BAR_COLUMNS.values()])
 
 
 def _fields(ddl: str) -> str:
@@ -32,9 +38,9 @@ def chart_prices(df: DataFrame, payload: str, *keys: str) -> DataFrame:
 
 
 def observations(df: DataFrame, payload: str, *keys: str) -> DataFrame:
-    """{observations: [{date, value}]} with '.' for missing; unreadable rows are dropped."""
+    """{observations: [{date, value}]} with '.' for missing; unreadable and non-finite values are dropped."""
     o = df.select(*keys, F.explode(F.from_json(payload, "observations array<struct<date:string,value:string>>")["observations"]).alias("o"))
-    return o.select(*keys, F.expr("try_cast(o.date AS date)").alias("obs_date"), F.expr("try_cast(o.value AS double)").alias("value")).where("obs_date IS NOT NULL AND value IS NOT NULL")
+    return o.select(*keys, F.expr("try_cast(o.date AS date)").alias("obs_date"), F.expr("try_cast(trim(o.value) AS double)").alias("value")).where("obs_date IS NOT NULL AND abs(value) < double('Infinity')")
 
 
 def wide_vintages(df: DataFrame, payload: str, series: str) -> DataFrame:
@@ -115,8 +121,14 @@ def provenance(df: DataFrame, name: str, date: str) -> DataFrame:
 
 
 def newest_filings(df: DataFrame, payload: str, forms: list[str], as_of: str, n: int, *keys: str) -> DataFrame:
-    """Parallel arrays {form, reportDate, accession} to the newest n filings of the forms at or before a date."""
-    p = df.withColumn("_p", F.from_json(payload, "form array<string>, reportDate array<string>, accession array<string>"))
-    z = p.select(*keys, F.explode(F.arrays_zip(F.col("_p.form").alias("form"), F.col("_p.reportDate").alias("d"), F.col("_p.accession").alias("accession"))).alias("z")).select(*keys, "z.form", F.expr("try_cast(z.d AS date)").alias("report_date"), "z.accession")
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("report_date"), F.desc("accession")))
-    return z.where(F.col("form").isin(forms) & (F.col("report_date") <= F.lit(as_of).cast("date"))).withColumn("rank", rank).where(F.col("rank") <= n)
+    """Parallel arrays {form, accessionNumber, filingDate, reportDate} to the first n filings of the forms at or before a date.
+
+    A filing's period is its report date, or else its filing date; one without a filing date is left out. The index lists
+    the newest filings first, and its order is kept.
+    """
+    p = df.withColumn("_p", F.from_json(payload, "form array<string>, accessionNumber array<string>, filingDate array<string>, reportDate array<string>"))
+    cells = F.arrays_zip(F.col("_p.form").alias("form"), F.col("_p.accessionNumber").alias("accession"), F.col("_p.filingDate").alias("filed"), F.col("_p.reportDate").alias("reported"))
+    z = p.select(*keys, F.posexplode(cells).alias("_at", "z")).select(*keys, "_at", "z.form", "z.accession", F.expr("try_cast(z.filed AS date)").alias("filing_date"), F.expr("try_cast(z.reported AS date)").alias("report_date"))
+    z = z.withColumn("report_date", F.coalesce("report_date", "filing_date"))
+    z = z.where(F.col("form").isin(forms) & F.col("filing_date").isNotNull() & (F.col("report_date") <= F.lit(as_of).cast("date")))
+    return z.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("_at"))).where(F.col("rank") <= n).drop("_at")

@@ -42,5 +42,5 @@ def seeded_parents(parents: DataFrame, children: DataFrame, key: str) -> DataFra
 
 
 def latest_rows(df: DataFrame, key: str, date: str) -> DataFrame:
-    """The newest row per key."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(date)))).where("_n = 1").drop("_n")
+    """The newest row per key; of several of one date that which comes first by a hash of all columns."""
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(date), F.xxhash64(*df.columns)))).where("_n = 1").drop("_n")

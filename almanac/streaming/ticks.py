@@ -7,17 +7,22 @@ from pyspark.sql import functions as F
 
 
 def parsed(frames: DataFrame, payload: str = "value") -> DataFrame:
-    """(symbol, ts, price, size) of trade frames {messageType: 'A', data: [...]}.
+    """(symbol, ts, price, size) of trade frames {messageType: 'A', data: [...]}; ts to the second.
 
-    A full trade array is [T, time, nanoseconds, symbol, ..., size, price] with the size tenth and the price eleventh; a slim
-    one is [time, symbol, price]. Quotes, heartbeats and unreadable frames go.
+    A full trade array is [T, time, nanoseconds, symbol, ...] with the last price tenth and its size eleventh; a slim one is
+    [time, symbol, price] and has size 0, as has a trade without a readable one. A time that can't be read, or names no
+    offset from UTC, is the time of arrival. Quotes, heartbeats, unreadable frames and trades without a price go.
     """
     f = frames.select(F.from_json(payload, "messageType string, data array<string>").alias("f")).where("f.messageType = 'A'").select("f.data")
     slim = F.size("data") == 3
     keep = slim | ((F.size("data") >= 11) & (F.get("data", F.lit(0)) == "T"))
     pick = lambda a, b: F.when(slim, F.get("data", F.lit(a))).otherwise(F.get("data", F.lit(b)))
-    rows = f.where(keep).select(F.upper(pick(1, 3)).alias("symbol"), F.expr("try_cast(if(size(data) = 3, data[0], data[1]) AS timestamp)").alias("ts"), pick(2, 10).try_cast("double").alias("price"), F.when(~slim, F.get("data", F.lit(9)).try_cast("double")).alias("size"))
-    return rows.where("symbol IS NOT NULL AND ts IS NOT NULL AND price IS NOT NULL")
+    stamp = pick(0, 1)
+    # Digits beyond microseconds are cut.
+    read = F.when(stamp.rlike(r"T.*(?:Z|[+-]\d{2}:?\d{2})$"), F.regexp_replace(stamp, r"(\.\d{6})\d+", "$1").try_cast("timestamp"))
+    size = F.when(slim, F.lit(0)).otherwise(F.coalesce(F.get("data", F.lit(10)).try_cast("double"), F.lit(0)))
+    rows = f.where(keep).select(F.upper(pick(1, 3)).alias("symbol"), F.date_trunc("second", F.coalesce(read, F.current_timestamp())).alias("ts"), pick(2, 9).try_cast("double").alias("price"), size.cast("bigint").alias("size"))
+    return rows.where("symbol <> '' AND price IS NOT NULL")
 
 
 def routed(ticks: DataFrame, subscriptions: DataFrame) -> DataFrame:
@@ -26,27 +31,32 @@ def routed(ticks: DataFrame, subscriptions: DataFrame) -> DataFrame:
 
 
 def last_prices(ticks: DataFrame) -> DataFrame:
-    """The newest price per symbol; for the update output mode."""
-    return ticks.groupBy("symbol").agg(F.max("ts").alias("ts"), F.max_by("price", "ts").alias("price"))
+    """The newest price per symbol, the highest of one time; for the update output mode."""
+    return ticks.groupBy("symbol").agg(F.max("ts").alias("ts"), F.max_by("price", F.struct("ts", "price")).alias("price"))
 
 
 def bars(ticks: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
-    """(symbol, start, open, high, low, close, n) per window; a tick that comes later than the watermark is left out."""
+    """(symbol, start, open, high, low, close, n) per window; a tick that comes later than the watermark is left out.
+
+    Of ticks of one time the lowest opens and the highest closes."""
     w = ticks.withWatermark("ts", late).groupBy("symbol", F.window("ts", width).alias("w"))
-    b = w.agg(F.min_by("price", "ts").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "ts").alias("close"), F.count("*").alias("n"))
+    b = w.agg(F.min_by("price", F.struct("ts", "price")).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", F.struct("ts", "price")).alias("close"), F.count("*").alias("n"))
     return b.select("symbol", F.col("w.start").alias("start"), "open", "high", "low", "close", "n")
 
 
 def append_new(stream: DataFrame, path: str, key: list[str], checkpoint: str):
-    """Start a query that appends each batch's rows whose key the table at path lacks; a repeated batch adds nothing."""
+    """Start a query that appends each batch's rows whose key the table at path lacks; a repeated batch adds nothing.
+
+    Of rows of one key in a batch the least by its other columns stays. Of the table only the key columns are read.
+    """
+    rest = [c for c in stream.columns if c not in key]
 
     def write(batch: DataFrame, _: int) -> None:
-        fresh, spark = batch.dropDuplicates(key), batch.sparkSession
-        try:
-            fresh = fresh.join(spark.read.parquet(path).select(key), key, "left_anti")
-        except Exception as error:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                raise
+        spark = batch.sparkSession
+        fresh = batch.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_rest")).select(*key, "_rest.*")
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
+            fresh = fresh.join(spark.read.schema(fresh.schema).parquet(path).select(key), key, "left_anti")
         fresh.write.mode("append").parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
