@@ -48,7 +48,8 @@ VIEWS = {
         100 * market_value / sum(market_value) OVER (PARTITION BY l_suppkey, report_date) AS pct
         FROM (SELECT l_suppkey, last_day(add_months(CAST(date_trunc('QUARTER', l_shipdate) AS DATE), 2)) AS report_date, l_partkey, p_type, p_brand, round(sum(l_extendedprice), 2) AS market_value, sum(l_quantity) AS qty
               FROM {lineitem} JOIN {part} ON l_partkey = p_partkey GROUP BY l_suppkey, last_day(add_months(CAST(date_trunc('QUARTER', l_shipdate) AS DATE), 2)), l_partkey, p_type, p_brand) t""",
-    "latest_holdings": """SELECT h.* FROM {holdings} h JOIN (SELECT series_id AS s, max(report_date) AS d FROM {holdings} WHERE report_date <= DATE '1998-06-30' GROUP BY series_id) m ON h.series_id = m.s AND h.report_date = m.d""",
+    "latest_holdings": """SELECT series_id, report_date, cusip, asset_class, sector, market_value, qty, pct
+        FROM (SELECT h.*, max(CASE WHEN report_date <= DATE '1998-06-30' THEN report_date END) OVER (PARTITION BY series_id) AS newest FROM {holdings} h) t WHERE report_date = newest""",
     "inst": """SELECT CAST(c_nationkey AS STRING) AS cik, CAST(date_trunc('QUARTER', o_orderdate) AS DATE) AS period, CAST(l_partkey AS STRING) AS cusip, round(sum(l_extendedprice), 2) AS value_usd, sum(l_quantity) AS shares
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {lineitem} ON o_orderkey = l_orderkey GROUP BY c_nationkey, CAST(date_trunc('QUARTER', o_orderdate) AS DATE), l_partkey""",
     "flows": """SELECT CAST(l_suppkey AS STRING) AS series_id, last_day(CAST(l_shipdate AS DATE)) AS month_end,

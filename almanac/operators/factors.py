@@ -24,9 +24,10 @@ def panel(characteristics: DataFrame, returns: DataFrame, key: list[str], cols:
     return df
 
 
-def month_sums(df: DataFrame, month: str, cols: list[str], r: str) -> DataFrame:
+def month_sums(df: DataFrame, month: str, cols: list[str], r: str, *by: str) -> DataFrame:
+    """Cross products per month, and per universe if columns of one are named."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    return df.groupBy(month).agg(F.count("*").alias("n"), F.array(*(F.sum(F.col(a) * F.col(b)) for a, b in pairs)).alias("g"), F.array(*(F.sum(F.col(a) * F.col(r)) for a in cols)).alias("c"), F.sum(F.col(r) * F.col(r)).alias("s"))
+    return df.groupBy(*by, month).agg(F.count("*").alias("n"), F.array(*(F.sum(F.col(a) * F.col(b)) for a, b in pairs)).alias("g"), F.array(*(F.sum(F.col(a) * F.col(r)) for a in cols)).alias("c"), F.sum(F.col(r) * F.col(r)).alias("s"))
 
 
 @dataclass
@@ -38,7 +39,10 @@ class Grams:
 
     @classmethod
     def of(cls, sums: DataFrame, month: str, width: int) -> Grams:
-        rows = sums.orderBy(month).collect()
+        return cls.from_rows(sums.orderBy(month).collect(), month, width)
+
+    @classmethod
+    def from_rows(cls, rows: list, month: str, width: int) -> Grams:
         g = np.zeros((len(rows), width, width))
         upper = np.triu_indices(width)
         for k, row in enumerate(rows):
@@ -102,10 +106,45 @@ def choose(grams: Grams, most: int, slack: float = 0.005) -> tuple[int, bool, di
 
 
 def drift(new: np.ndarray, old: np.ndarray) -> float:
-    """Relative distance of two loadings after the best rotation of one onto the other."""
+    """Relative distance of two loadings of one shape after the best rotation of one onto the other; one if the new is zero."""
+    if new.shape != old.shape or not new.size:
+        raise ValueError(f"loadings of shapes {old.shape} and {new.shape} can't be compared")
+    size = np.linalg.norm(old)
+    if size < 1e-12:
+        raise ValueError("the old loading is zero")
     u, _, v = np.linalg.svd(old.T @ new)
-    return float(np.linalg.norm(new - old @ (u @ v)) / np.linalg.norm(old))
+    return float(np.linalg.norm(new - old @ (u @ v)) / size)
+
+
+def fit_history(sums: DataFrame, universe: str, month: str, width: int, k: int, least: int = 24, step: int = 12) -> DataFrame:
+    """(universe, fit_date, width, k, loading): expanding fits of each universe, the newest over all its months and those
+    before each by ``step`` months less, while there are ``least``. A group is a universe's months, whatever its entities."""
+
+    def run(pdf):
+        import pandas as pd
+
+        rows = pdf.sort_values(month).to_dict("records")
+        grams = Grams.from_rows([_Row(r) for r in rows], month, width)
+        ends = range(len(rows), least - 1, -step)
+        return pd.DataFrame([(rows[0][universe], rows[end - 1][month], width, k, fit(grams.part(slice(0, end)), k)[0].ravel().tolist()) for end in ends], columns=[universe, "fit_date", "width", "k", "loading"])
+
+    return sums.groupBy(universe).applyInPandas(run, f"{universe} string, fit_date date, width int, k int, loading array<double>")
+
+
+class _Row(dict):
+    __getattr__ = dict.__getitem__
+
+
+def newest_drift(fits: DataFrame, universe: str, alert: float) -> DataFrame:
+    """(universe, fit_date, drift, alert): the two newest fits of each universe; none where there is only one."""
+    newest = fits.withColumn("rank", F.row_number().over(Window.partitionBy(universe).orderBy(F.desc("fit_date")))).where("rank <= 2")
+
+    def run(pdf):
+        import pandas as pd
 
+        pdf = pdf.sort_values("rank")
+        one = lambda r: np.array(r.loading).reshape(r.width, r.k)
+        found = [(pdf[universe].iloc[0], pdf.fit_date.iloc[0], drift(*(one(r) for r in pdf.itertuples())))] if len(pdf) == 2 else []
+        return pd.DataFrame([(*f, f[2] > alert) for f in found], columns=[universe, "fit_date", "drift", "alert"])
 
-def newest_two(fits: DataFrame, key: str, date: str) -> DataFrame:
-    return fits.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(date)))).where("rank <= 2")
+    return newest.groupBy(universe).applyInPandas(run, f"{universe} string, fit_date date, drift double, alert boolean")

@@ -376,11 +376,11 @@ def factor_fit(spark, sf_dir):
 
 @query("fac05_loading_drift")
 def loading_drift(spark, sf_dir):
+    """Drift between the two newest fits of each asset class; a class's months are all that a task holds of it."""
     cols = ["size", "vol", "n"]
-    grams = factors.Grams.of(factors.month_sums(_panel(spark, sf_dir), "month", cols, "r"), "month", len(cols))
-    half = len(grams.months) // 2
-    value = factors.drift(factors.fit(grams, 1)[0], factors.fit(grams.part(slice(0, half)), 1)[0])
-    return spark.createDataFrame([(round(value, 6), value > 0.5)], "drift double, alert boolean")
+    panel = _panel(spark, sf_dir).join(view(spark, sf_dir, "cohort").select("instrument_id", "asset_class"), "instrument_id")
+    fits_ = factors.fit_history(factors.month_sums(panel, "month", cols, "r", "asset_class"), "asset_class", "month", len(cols), 1)
+    return _r6(factors.newest_drift(fits_, "asset_class", 0.5))
 
 
 @query("fit01_fit02_udf01_entity_fits")

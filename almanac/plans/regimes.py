@@ -261,7 +261,15 @@ def nearest_lags(spark, sf_dir):
     return S.nearest_lags(t.where("axis = '1-URGENT'"), t.where("axis = '2-HIGH'"), ["k"], "d").select("d", "lag")
 
 
-@query("rp03_monotonic_matches")
+# Business days from a Monday on: five a week, and up to five of the last. The walk takes the left dates in order.
+_WEEKDAYS = "((({0} - DATE '1990-01-01') // 7) * 5 + least(({0} - DATE '1990-01-01') % 7 + 1, 5))"
+
+
+@query("rp03_monotonic_matches", oracle(f"""WITH RECURSIVE {_STATE}, {_TRANS}, l AS (SELECT d, row_number() OVER (ORDER BY d) AS k FROM tr WHERE axis = '1-URGENT'), r AS (SELECT d, row_number() OVER (ORDER BY d) AS i FROM tr WHERE axis = '2-HIGH'),
+    p AS (SELECT k, i, l.d AS a_date, r.d AS b_date, CASE WHEN r.d = l.d THEN 0 WHEN r.d > l.d THEN {_WEEKDAYS.format("r.d")} - {_WEEKDAYS.format("(l.d - 1)")} - 1 ELSE 1 - {_WEEKDAYS.format("l.d")} + {_WEEKDAYS.format("(r.d - 1)")} END AS lag FROM l JOIN r ON abs(l.d - r.d) < 200),
+    q AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY abs(lag), lag, i) AS near FROM p WHERE abs(lag) <= 126),
+    walk AS (SELECT 0::BIGINT AS k, 0::BIGINT AS at, 0::BIGINT AS chosen UNION ALL SELECT w.k + 1, coalesce((SELECT arg_min(i, near) FROM q WHERE q.k = w.k + 1 AND q.i > w.at), w.at), coalesce((SELECT arg_min(i, near) FROM q WHERE q.k = w.k + 1 AND q.i > w.at), 0) FROM walk w WHERE w.k < (SELECT max(k) FROM l))
+    SELECT 1 AS k, a_date, b_date, lag::INTEGER AS lag FROM walk w JOIN q ON q.k = w.k AND q.i = w.chosen""", "macro").replace("WITH macro", "WITH RECURSIVE macro", 1).replace(", RECURSIVE", ",", 1))
 def monotonic_matches(spark, sf_dir):
     # One sequence, as a match may cross any date; both sides are as short as the calendar.
     t = S.transitions(_states(spark, sf_dir), ["axis"], "d", "state").withColumn("k", F.lit(1))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from almanac.functions import metrics as M
 from almanac.operators import asof, factors, fits, holdings, peers, pit, quality, regimes, regress, returns
+from almanac.sources import payloads
 from almanac.streaming import ticks
 
 DAY = dt.date(2000, 1, 1)
@@ -235,6 +236,70 @@ def test_late_tick_is_left_out(spark, tmp_path):
 
 
 def test_tick_frames(spark):
-    frames = ['{"messageType":"A","data":["2024-01-01T00:00:00.123456789Z","abc",1.5]}', '{"messageType":"H","data":[]}', '{"messageType":"A","data":["Q","2024-01-01T00:00:00Z","0","abc"]}', "junk", '{"messageType":"A","data":["T","2024-01-01T00:00:00Z","0","abc","","","","","","10","2.5"]}']
+    """The price stands tenth and the size eleventh; a slim frame has no size."""
+    frames = [
+        '{"messageType":"A","data":["2024-01-01T00:00:00.123456789Z","abc",1.5]}', '{"messageType":"H","data":[]}', '{"messageType":"A","data":["Q","2024-01-01T00:00:00Z","0","abc"]}', "junk",
+        '{"messageType":"A","data":["T","2024-01-01T00:00:00.999999999-05:00",1,"abc",2,3,4,5,6,123.5,700,0,0]}', '{"messageType":"A","data":["T","2024-01-01T00:00:00Z",1,"abc",2,3,4,5,6,124.5,null]}',
+        '{"messageType":"A","data":["Q","2024-01-01T00:00:00Z",1,"abc",2,3,4,5,6,7,8]}', '{"messageType":"A","data":["2024-01-01T00:00:00Z","abc",null]}', '{"messageType":"A","data":["2024-01-01 00:00:00","abc",200.5]}',
+    ]
     got = ticks.parsed(spark.createDataFrame([(f,) for f in frames], "value string")).orderBy("price").collect()
-    assert [(r.symbol, r.price, r.size) for r in got] == [("ABC", 1.5, None), ("ABC", 2.5, 10.0)]
+    assert [(r.symbol, r.price, r.size) for r in got] == [("ABC", 1.5, 0), ("ABC", 123.5, 700), ("ABC", 124.5, 0), ("ABC", 200.5, 0)]
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    assert [r.ts for r in got[:3]] == [at(0), at(5), at(0)] and got[3].ts > dt.datetime(2025, 1, 1)
+
+
+def test_observations_are_finite(spark):
+    payload = '{"observations":[{"date":"2024-01-01","value":"NaN"},{"date":"2024-01-02","value":"Infinity"},{"date":"2024-01-03","value":"."},{"date":"2024-01-04","value":" 1.5 "},{"date":"2024-01-05","value":null}]}'
+    got = payloads.observations(spark.createDataFrame([("a", payload)], "k string, p string"), "p", "k").collect()
+    assert [(r.obs_date.day, r.value) for r in got] == [(4, 1.5)]
+
+
+def test_smoothing_starts_anew_after_a_missing_score(spark):
+    rng = np.random.default_rng(3)
+    scores = [1.0, None, 5.0, *[None if rng.random() < 0.02 else float(x) for x in rng.normal(size=600)]]
+    rows = [("a", dt.date(2020, 1, 1) + dt.timedelta(k), x, k) for k, x in enumerate(scores)]
+    got = [r.ema for r in regimes.smoothed(spark.createDataFrame(rows, "k string, d date, x double, g int"), ["k"], "d", "x", "g").orderBy("d").collect()]
+    want, before = [], None
+    for x in scores:
+        before = x if x is None or before is None else (1 - 0.5**0.5) * x + 0.5**0.5 * before
+        want.append(before)
+    assert got[:3] == [1.0, None, 5.0]
+    assert all(a == b or abs(a - b) < 1e-12 for a, b in zip(got, want, strict=True))
+
+
+def test_variance_path_and_tail_against_plain_loops():
+    rng = np.random.default_rng(4)
+    for n in (1, 63, 64, 65, 1000):
+        x2, h = rng.random(n), [0.7]
+        for v in x2:
+            h.append(0.1 + 0.2 * v + 0.75 * h[-1])
+        assert np.allclose(fits.variance_path(x2, 0.7, 0.1, 0.2, 0.75), h, rtol=1e-12)
+    r = rng.standard_t(4, 4000) / 100
+    shape, c99, c999 = fits.tail(r)
+    losses = -r[r < 0]
+    worst = lambda p: -losses[losses >= np.quantile(losses, p)].mean()
+    assert 0 < shape < 0.6 and c99 == pytest.approx(worst(0.99), rel=0.15) and c999 == pytest.approx(worst(0.999), rel=0.35)
+    assert fits.tail(r[:99]) == (None, None, None)
+
+
+def test_loading_drift_of_the_two_newest_fits(spark):
+    rng = np.random.default_rng(5)
+    months = [dt.date(2018 + k // 12, k % 12 + 1, 1) for k in range(48)]
+    rows = [(u, m, *(float(v) for v in z), float(z @ [1.0, 0.5] * f + rng.normal() * 0.01)) for u in ("x", "y") for m in months for f in [rng.normal()] for z in rng.random((20, 2)) - 0.5]
+    df = spark.createDataFrame(rows + [("z", months[0], 0.1, 0.2, 0.3)], "u string, m date, a double, b double, r double")
+    history = factors.fit_history(factors.month_sums(df, "m", ["a", "b"], "r", "u"), "u", "m", 2, 1)
+    got = {r.u: r for r in factors.newest_drift(history, "u", 0.5).collect()}
+    assert set(got) == {"x", "y"}
+    for u in got:
+        grams = factors.Grams.of(factors.month_sums(df.where(F.col("u") == u), "m", ["a", "b"], "r"), "m", 2)
+        want = factors.drift(factors.fit(grams, 1)[0], factors.fit(grams.part(slice(0, 36)), 1)[0])
+        assert got[u].fit_date == months[-1] and got[u].drift == pytest.approx(want, abs=1e-9) and not got[u].alert
+
+
+def test_the_first_batch_of_a_key_stays(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    for k, rows in enumerate([[("a", 2.0), ("a", 1.0)], [("a", 0.0), ("b", 5.0)]]):
+        spark.createDataFrame(rows, "k string, v double").coalesce(1).write.mode("append").parquet(src)
+        for again in range(2):
+            ticks.append_new(spark.readStream.schema("k string, v double").parquet(src), out, ["k"], str(tmp_path / f"state{k}{again}")).awaitTermination()
+    assert sorted((r.k, r.v) for r in spark.read.parquet(out).collect()) == [("a", 1.0), ("b", 5.0)]
