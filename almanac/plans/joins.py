@@ -289,7 +289,12 @@ def crisis_alpha(spark, sf_dir):
     return _r6(regress.crisis_alpha(regress.paired(_ret(spark, sf_dir), _bret(spark, sf_dir)), -0.02))
 
 
-@query("reg08_fac06_multi_factor")
+# Two factors and a constant in closed form, from centred sums of products.
+@query("reg08_fac06_multi_factor", oracle("""WITH ch5 AS (SELECT * FROM (SELECT obs_date AS nav_date, CASE WHEN obs_date - lag(obs_date) OVER (ORDER BY obs_date) <= 7 THEN (value - lag(value) OVER (ORDER BY obs_date)) * 0.01 END AS x FROM macro WHERE series_id = '5-LOW') WHERE x IS NOT NULL),
+    j AS (SELECT instrument_id, r AS y, b AS u, x AS v FROM ret JOIN bret USING (nav_date) JOIN ch5 USING (nav_date)), s AS (SELECT instrument_id, count(*) AS n, avg(u) AS mu, avg(v) AS mv, avg(y) AS my, regr_sxx(u, u) AS uu, regr_sxx(v, v) AS vv, regr_sxy(u, v) AS uv, regr_sxy(u, y) AS uy, regr_sxy(v, y) AS vy, regr_sxx(y, y) AS yy FROM j GROUP BY instrument_id HAVING count(*) >= 10),
+    b AS (SELECT *, uu * vv - uv * uv AS d, (uy * vv - vy * uv) / (uu * vv - uv * uv) AS bu, (vy * uu - uy * uv) / (uu * vv - uv * uv) AS bv FROM s), e AS (SELECT *, my - bu * mu - bv * mv AS bc, (yy - bu * uy - bv * vy) / greatest(n - 3, 1) AS left_over FROM b),
+    f AS (SELECT instrument_id, unnest(['const', 'b', 'x']) AS factor, unnest([bc, bu, bv]) AS beta, unnest([bc / sqrt(left_over * (1.0 / n + (mu * mu * vv - 2 * mu * mv * uv + mv * mv * uu) / d)), bu / sqrt(left_over * vv / d), bv / sqrt(left_over * uu / d)]) AS t FROM e)
+    SELECT instrument_id, factor, round(beta, 6) AS beta, round(t, 6) AS t, CASE WHEN abs(t) >= 2.58 THEN '***' WHEN abs(t) >= 1.96 THEN '**' WHEN abs(t) >= 1.65 THEN '*' ELSE '' END AS mark FROM f""", "ret", "bret", "macro"))
 def multi_factor(spark, sf_dir):
     b = _bret(spark, sf_dir)
     x = R.gap_guarded_change(view(spark, sf_dir, "macro").where("series_id = '5-LOW'"), "series_id", "obs_date", "value").where("change IS NOT NULL").select(F.col("obs_date").alias("nav_date"), F.col("change").alias("x"))
