@@ -53,6 +53,12 @@ def spread_join(rows: DataFrame, key: str, salt, table: DataFrame) -> DataFrame:
     return rows.join(pairs, [key, "_salt"]).drop("_salt")
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a work table."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 #: What a worker keeps from task to task, and whose it is: one operator's at a time, since workers outlive stages.
 _kept: dict[str, object] = {}
 
