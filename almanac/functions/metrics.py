@@ -69,11 +69,17 @@ def sortino(n: int, rf: float) -> Column:
 def tail_losses(n: int, level: float = 0.95) -> Column:
     """Struct (var, cvar) of the last n returns, negative for losses: the upper empirical quantile of the losses, and that
     plus the mean excess over it."""
-    losses = F.sort_array(F.collect_list(-_in(n)))
-    size = F.size(losses)
-    var = F.element_at(losses, (F.ceil(level * (size - 1)) + 1).cast("int"))
-    over = F.aggregate(losses, F.lit(0.0), lambda a, x: a + F.greatest(x - F.element_at(losses, (F.ceil(level * (size - 1)) + 1).cast("int")), F.lit(0.0)))
-    return _full(n, F.struct((-var).alias("var"), (-(var + over / ((1 - level) * size))).alias("cvar")))
+
+    def both(losses: Column) -> Column:
+        size = F.size(losses)
+        at = F.ceil(level * (size - 1)).cast("int")
+        var = F.get(losses, at)
+        # Sorted, so only what stands behind the quantile lies over it.
+        over = F.aggregate(F.slice(losses, at + 2, F.greatest(size - at - 1, F.lit(0))), F.lit(0.0), lambda a, x: a + x - var)
+        return F.struct((-var).alias("var"), (-(var + over / ((1 - level) * size))).alias("cvar"))
+
+    # Named by a transform, the losses are sorted once.
+    return _full(n, F.get(F.transform(F.array(F.sort_array(F.collect_list(-_in(n)))), both), F.lit(0)))
 
 
 def moments(n: int) -> list[Column]:

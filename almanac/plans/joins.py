@@ -213,6 +213,15 @@ def merged_batches(spark, sf_dir):
 _PEER = "p AS (SELECT c_custkey, c_mktsegment AS label, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS v FROM customer)"
 
 
+@query("jn12_peers_below", oracle("""SELECT a.instrument_id, a.label, count(b.instrument_id) FILTER (b.size < a.size) AS below, count(b.instrument_id) FILTER (b.size = a.size) AS ties, count(b.instrument_id) AS peers
+    FROM cohort a LEFT JOIN cohort b ON a.label = b.label AND a.instrument_id <> b.instrument_id GROUP BY a.instrument_id, a.label, a.size""", "cohort"))
+def peers_below(spark, sf_dir):
+    """Peers below and level with each entity, itself excluded: window counts in place of the theta self-join."""
+    label, value = Window.partitionBy("label"), Window.partitionBy("label", "size")
+    below = F.rank().over(label.orderBy("size")) - 1
+    return view(spark, sf_dir, "cohort").select("instrument_id", "label", below.cast("bigint").alias("below"), (F.count("*").over(value) - 1).alias("ties"), (F.count("*").over(label) - 1).alias("peers"))
+
+
 @query("peer01_peer02_percentile", oracle(f"""WITH {_PEER}, r AS (SELECT *, rank() OVER (PARTITION BY label ORDER BY v NULLS LAST) - 1 AS below, count(v) OVER (PARTITION BY label, v) AS ties, count(v) OVER (PARTITION BY label) AS m, count(*) OVER (PARTITION BY label) AS n FROM p),
     q AS (SELECT c_custkey, label, CASE WHEN n < 10 THEN 50.0 WHEN v IS NOT NULL THEN round(100.0 * (below + 0.5 * (ties - 1)) / (m - 1), 2) END AS percentile, n FROM r)
     SELECT c_custkey, label, percentile, CASE WHEN n < 10 THEN 2 WHEN percentile >= 75 THEN 1 WHEN percentile >= 50 THEN 2 WHEN percentile >= 25 THEN 3 ELSE 4 END AS quartile FROM q"""))
