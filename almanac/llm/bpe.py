@@ -301,7 +301,8 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     path: a rank file that the driver can read; its content is of fixed size and is sent to the workers. remember: how much
     a worker remembers, memory against time. A null or empty
-    text has no tokens and decodes to an empty text. Rows stay as they are, repeated ones too; other columns aren't read.
+    text has no tokens and decodes to an empty text. Rows stay as they are, repeated ones and null ids too; no rows give none,
+    and other columns aren't read. A very long text is encoded whole; what is remembered of pieces doesn't follow its length.
     """
     with open(path, "rb") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())

@@ -108,7 +108,9 @@ def parse_stream(pieces):
 def digest_conversations(formatted: DataFrame) -> DataFrame:
     """One row per conversation, read back from its formatted text: turns, digests, characters under the loss mask.
 
-    The rows of a conversation meet in turn order and stream through running digests; none is held whole.
+    The rows of a conversation meet in turn order and stream through running digests; none is held whole, but one task
+    reads all of one. Rows without a conversation's id make up one of their own; turns of one number stand by role, then
+    text, those without one first. No rows give none.
     """
     kinds = {"conv_id": pa.int64(), "n_turns": pa.int64(), "turns_sha256": pa.string(), "loss_chars": pa.int64(), "loss_sha256": pa.string(), "formatted_chars": pa.int64()}
 

@@ -158,7 +158,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Models of every non-null value of lang_col.
 
     At most ``sample`` whole documents per language are used, those least by a hash of their id; one in HELD_BACK of
-    them calibrates. usable: a condition that a row must meet to be learned from.
+    them calibrates. usable: a condition that a row must meet to be learned from. Rows without a text or language don't count;
+    rows that share a sampled id are all used. Without rows the models know no language.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.lit(True) if usable is None else usable))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit("language")), "id")
@@ -235,7 +236,8 @@ def identify(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col:
     """(id, lang, score, accepted) per row of docs, over whole texts.
 
     A null text, one without a letter, or models of no language give ``und``, score 0, not accepted. Of equal scores the
-    language first by code point wins. Rows stay as they are, repeated ones too; other columns are not read.
+    language first by code point wins. Rows stay as they are, repeated ones and null ids too; no rows give none, and other columns are
+    not read. A very long text is scored whole, in parts of 65,536 grams.
     """
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
@@ -249,7 +251,8 @@ def identify(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col:
 
 
 def accepted_only(docs: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose text the models accept as one of their languages; all columns."""
+    """The rows of docs whose text the models accept as one of their languages; all columns. Null texts, and those without a
+    letter, go; no rows give none."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
     at = docs.columns.index(text_col)
 

@@ -110,7 +110,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     edited is the text with its last quarter (rounded down, in code points) replaced by the first as many code points, or
     all, of the next document by ascending id; the first document follows the last. A sole document follows itself. Null
-    texts count as empty; rows of a null id come first; repeated rows follow each other. Other columns are not read.
+    texts count as empty; rows of a null id come first; repeated rows follow each other, in the order of their texts. No rows
+    give none. Other columns are not read. A text is taken whole, however long: a task holds its words and a hash of each.
     """
     rows, order = with_next(docs, id_col, text_col)
     quarter = F.floor(F.length("text") / 4).cast("int")

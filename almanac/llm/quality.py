@@ -121,7 +121,11 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, usable=None) -> Trees:
-    """Trees from at most ``sample`` labelled rows, those least by a hash of their id; usable: a condition on the label rows."""
+    """Trees from at most ``sample`` labelled rows, those least by a hash of their id; usable: a condition on the label rows.
+
+    Labels and ids that are null don't count; of several labels of an id the largest does, and of documents of one id each.
+    Ties of gain go to the first feature and the lowest cut. Without labelled documents, or with labels of one kind, the
+    score is the share of label 1 for every text (one half without any)."""
     rows = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (F.lit(True) if usable is None else usable))
     rows = rows.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
     chosen = rows.orderBy(F.xxhash64("id", F.lit("quality")), "id").limit(sample)
@@ -146,7 +150,8 @@ def scores(texts: list[str | None], trees: Trees) -> np.ndarray:
 def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) per row of docs, over whole texts; null counts as empty, and empty texts get a score like any other.
 
-    Rows stay as they are, repeated ones too; other columns are not read.
+    Rows stay as they are, repeated ones and null ids too; no rows give none, and other columns are not read. A very long
+    text is one row of a worker, with its words counted.
     """
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
