@@ -19,6 +19,8 @@ from almanac.llm.common import kept, sliced
 ORDER = 4
 #: Most documents per language that a model learns from, and the share of them kept back to calibrate.
 SAMPLE, HELD_BACK = 250, 5
+#: Groups of tasks whose first rows are found apart.
+SALTS = 256
 UNKNOWN = "und"
 #: Letters from which the classes of length after the first begin; a class of fewer held-back texts takes the language's limit.
 CLASSES, FEW = (64, 256, 1024, 4096), 5
@@ -162,8 +164,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows that share a sampled id are all used. Without rows the models know no language.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.lit(True) if usable is None else usable))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit("language")), "id")
-    chosen = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
+    # The first of a language among the rows of some tasks, then among all: no task sees more than a part of the tasks' firsts.
+    first = lambda df, *by: df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("id", F.lit("language")), "id"))).where(F.col("rank") <= sample)
+    ids = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), (F.spark_partition_id() % SALTS).alias("salt"))
+    chosen = first(first(ids, "lang", "salt"), "lang")
     chosen = chosen.select("id", "rank").distinct()
     texts = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     # The sample is bounded: ``sample`` ids a language.
