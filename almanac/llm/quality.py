@@ -24,9 +24,13 @@ FEATURES = (
     "pipes hashes brackets quotes distinct_words distinct_lines top_word repeated_pairs capital_words plain_words symbol_words ended_lines "
     "entropy short_words digit_words"
 ).split()
-_sets = {"digits": b"0123456789", "stops": b".", "commas": b",;:", "marks": b"!?", "symbols": b"$%&*@^~+=_/\\", "pipes": b"|", "hashes": b"#", "brackets": b"()[]{}<>", "quotes": b"\"'`"}
-_bytes = {k: np.frombuffer(v, np.uint8) for k, v in _sets.items()}
-_letters = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256))
+_sets = {
+    "digits": b"0123456789", "stops": b".", "commas": b",;:", "marks": b"!?", "symbols": b"$%&*@^~+=_/\\", "pipes": b"|", "hashes": b"#", "brackets": b"()[]{}<>", "quotes": b"\"'`",
+    "capitals": bytes(range(65, 91)), "blanks": b" \t\n\v\f\r", "high": bytes(range(128, 256)), "punctuation": bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]),
+}
+#: Which bytes count for which of these, so that one product gives all shares.
+_belongs = np.stack([np.isin(np.arange(256), list(v)) for v in _sets.values()], axis=1).astype(float)
+_high, _odd = bytes(range(128, 256)), frozenset(b"$%&*#@^~+=_|/\\<>!")
 
 
 def statistics(text: str | None) -> list[float]:
@@ -42,23 +46,28 @@ def statistics(text: str | None) -> list[float]:
     times = np.fromiter(kinds.values(), np.int64, len(kinds)) if words else np.zeros(1, np.int64)
     lengths = np.fromiter(map(len, kinds), np.int64, len(kinds)) if words else np.zeros(1, np.int64)
     pairs = len(set(zip(words, words[1:], strict=False)))
-    of = lambda test: sum(c for w, c in kinds.items() if test(w)) / m
+    upper = plain = odd = numeric = 0
+    for w, c in kinds.items():
+        if w.isupper():
+            upper += c
+        if w.isalpha():
+            plain += c
+            continue
+        plain += c * (w.translate(None, _high).rstrip(b".,;:!?") or b"a").isalpha()
+        odd += c * (w[-1] in _odd)
+        numeric += c * w.isdigit()
     filled = [x for x in lines if x.strip()]
     entropy = -float((share[share > 0] * np.log2(share[share > 0])).sum())
     values = {
         "log_bytes": np.log1p(n), "log_words": np.log1p(len(words)), "log_lines": np.log1p(len(lines)), "mean_word": (lengths * times).sum() / m, "mean_line": np.log1p(n / len(lines)), "long_word": np.log1p(lengths.max()),
-        "capitals": share[65:91].sum(), "blanks": share[[32, 9, 10, 11, 12, 13]].sum(), "high": share[128:].sum(), "punctuation": share[33:48].sum() + share[58:65].sum() + share[91:97].sum() + share[123:127].sum(),
         "distinct_words": len(kinds) / m, "distinct_lines": len(set(filled)) / max(1, len(filled)), "top_word": int(times.max()) / m, "repeated_pairs": 1 - pairs / max(1, len(words) - 1),
-        "capital_words": of(bytes.isupper), "plain_words": of(lambda w: (w.translate(None, _high).rstrip(b".,;:!?") or b"a").isalpha()), "symbol_words": of(lambda w: w[-1] in _odd), "ended_lines": sum(x.rstrip()[-1] in b".!?" for x in filled) / max(1, len(filled)),
-        "entropy": entropy, "short_words": int(times[lengths <= 2].sum()) / m, "digit_words": of(bytes.isdigit),
+        "capital_words": upper / m, "plain_words": plain / m, "symbol_words": odd / m, "ended_lines": sum(x.rstrip()[-1] in b".!?" for x in filled) / max(1, len(filled)),
+        "entropy": entropy, "short_words": int(times[lengths <= 2].sum()) / m, "digit_words": numeric / m,
     }
-    values |= {k: share[own].sum() for k, own in _bytes.items()}
+    values |= zip(_sets, (share @ _belongs).tolist(), strict=True)
     return [float(values[k]) for k in FEATURES]
 
 
-_high, _odd = bytes(range(128, 256)), frozenset(b"$%&*#@^~+=_|/\\<>!")
-
-
 @dataclass
 class Trees:
     """Complete binary trees of one depth: per tree and inner node a feature and a threshold, per leaf a value."""
