@@ -20,7 +20,7 @@ ORDER = 4
 #: Most documents per language that a model learns from, and the share of them kept back to calibrate.
 SAMPLE, HELD_BACK = 250, 5
 #: Groups of tasks whose first rows are found apart.
-SALTS = 256
+SALTS = 32
 UNKNOWN = "und"
 #: Letters from which the classes of length after the first begin; a class of fewer held-back texts takes the language's limit.
 CLASSES, FEW = (64, 256, 1024, 4096), 5
