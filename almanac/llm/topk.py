@@ -65,21 +65,24 @@ class Part:
             line, at, step = bounds[q, by_bound[q]], 0, 1
             while at < len(starts) and line[at] >= floor:
                 spans = [slice(starts[b], starts[b] + BLOCK) for b in by_bound[q, at : at + step]]
-                scores, ids = (np.concatenate([x[s] for s in spans]) for x in (rows, self.ids))
-                scores = (scores @ query).astype(np.int64)
-                keep = np.flatnonzero((scores >= floor) & ((ids != own[q]) | ~self._is_own(spans, own[q], query)))
-                got_ids, got = np.concatenate([got_ids, ids[keep]]), np.concatenate([got, scores[keep]])
+                scores, ids = np.concatenate([rows[s] @ query for s in spans]), np.concatenate([self.ids[s] for s in spans])
+                keep = np.flatnonzero(scores >= floor)
+                own_rows = np.flatnonzero(ids[keep] == own[q])
+                if len(own_rows):
+                    keep = np.delete(keep, own_rows[self._is_own(spans, keep[own_rows], query)])
+                got_ids, got = np.concatenate([got_ids, ids[keep]]), np.concatenate([got, scores[keep].astype(np.int64)])
                 top = np.lexsort((got_ids, -got))[:k]
                 got_ids, got = got_ids[top], got[top]
                 if len(got) == k:
                     floor = max(floor, int(got[-1]))
-                at, step = at + step, min(16, 2 * step)
+                at, step = at + step, min(64, 2 * step)
             self.met, self.scored = self.met + len(starts), self.scored + min(at, len(starts))
             yield got_ids, got
 
-    def _is_own(self, spans: list[slice], own: int, query: np.ndarray) -> np.ndarray:
-        """Of the rows of some blocks, the first copy of the query's own."""
-        return np.concatenate([(self.ids[s] == own) & (self.copies[s] == 1) & (self.rows[s] == query).all(axis=1) for s in spans])
+    def _is_own(self, spans: list[slice], at: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Of rows of the query's id, by their place in some blocks put together: the first copy of the query's own."""
+        every = np.concatenate([np.arange(s.start, min(s.stop, len(self.ids))) for s in spans])[at]
+        return (self.copies[every] == 1) & (self.rows[every] == query).all(axis=1)
 
 
 def _meet(k: int):
