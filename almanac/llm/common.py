@@ -45,8 +45,10 @@ def written(df: DataFrame) -> DataFrame:
 def spread_join(rows: DataFrame, key: str, salt, table: DataFrame) -> DataFrame:
     """rows joined to table, which has one row per key, so that a key of very many rows is no single task's load.
 
-    salt: a column of rows with few values that deals the rows of a key. First the distinct pairs of key and salt, few a key
-    and combined before they are shuffled, meet the table; then rows meet these pairs by both.
+    salt: a column of few values that deals the rows of a key, made from a row's own values alone. Rows are read twice, and
+    a salt that depends on where a row happens to be (its partition, a random number) may differ between the two, which
+    would lose rows. First the distinct pairs of key and salt, few a key and combined before they are shuffled, meet the
+    table; then rows meet these pairs by both.
     """
     rows = rows.withColumn("_salt", salt)
     pairs = rows.select(key, "_salt").distinct().join(table, key)

@@ -22,6 +22,8 @@ RANGES, RANGE_ROWS = 512, 100_000
 SPREAD = (0.05, 0.1, 0.2, 0.4, 0.7, 1.0)
 #: The least quality weight, so that every document has a chance; and the sources up to which their table is broadcast.
 LEAST, FEW = 0.05, 100_000
+#: Tasks over which the rows of a source are dealt at most, beyond that.
+SALTS = 256
 
 
 def size_of(text: Column) -> Column:
@@ -97,19 +99,20 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     offset = F.sum("n").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     sums = sums.select(F.col("source").alias("s"), F.col("range").alias("r"), offset.alias("offset"))
     placed = alike.withColumn("inside", inside).join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r"))).drop("s", "r")
-    rows = placed.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1))).withColumn("inside", F.col("inside") + F.col("nth") * F.col("size"))
     goal = goal.withColumn("epochs", epochs).withColumn("rest", F.floor(F.col("target") + 0.5).cast("bigint") - F.col("epochs") * F.col("source_size"))
-    rows = by_source(rows, "source", goal)
+    rows = by_source(placed, "source", goal, ["id", "key", "size"])
+    rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1))).withColumn("inside", F.col("inside") + F.col("nth") * F.col("size"))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("offset") - F.col("inside")))
     rows = rows.withColumn("part", part)
     return rows.select("id", "source", "size", "key", "source_size", "target", "epochs", "part", (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"))
 
 
-def by_source(rows: DataFrame, source_col: str, table: DataFrame) -> DataFrame:
-    """rows joined to a checkpointed table of a row per source: broadcast up to FEW sources, beyond that dealt by a salt."""
+def by_source(rows: DataFrame, source_col: str, table: DataFrame, own: list[str]) -> DataFrame:
+    """rows joined to a checkpointed table of a row per source: broadcast up to FEW sources, beyond that dealt by a hash of
+    the row's ``own`` columns."""
     table = table.select(F.struct(F.col("source").isNull(), F.coalesce("source", F.lit(""))).alias("_s"), *(c for c in table.columns if c != "source"))
     rows = rows.withColumn("_s", F.struct(F.col(source_col).isNull(), F.coalesce(F.col(source_col), F.lit(""))))
-    joined = rows.join(F.broadcast(table), "_s") if table.count() <= FEW else spread_join(rows, "_s", F.spark_partition_id(), table)
+    joined = rows.join(F.broadcast(table), "_s") if table.count() <= FEW else spread_join(rows, "_s", F.pmod(F.xxhash64(*own), F.lit(SALTS)), table)
     return joined.drop("_s")
 
 
@@ -127,7 +130,7 @@ def mixed_documents(docs: DataFrame, trees: Trees | None = None, id_col: str = "
     rows = written(rows.select(*own.values(), size_of(F.col(own[text_col])).alias("_size"), key.alias("_key")))
     taken = mix(rows.select(F.col(own[id_col]).cast("bigint").alias("id"), F.col(own[source_col]).alias("source"), F.col("_size").alias("size"), F.col("_key").alias("key")), weights, share, most)
     last = taken.groupBy("source").agg(F.first("epochs").alias("_epochs"), F.max(F.when((F.col("part") > 0) & (2 * F.col("part") >= F.col("size")), F.col("key"))).alias("_last"))
-    rows = by_source(rows, own[source_col], checkpointed(last))
+    rows = by_source(rows, own[source_col], checkpointed(last), [own[id_col], "_key", "_size"])
     times = F.col("_epochs") + F.when((F.col("_size") > 0) & (F.col("_key") <= F.col("_last")), 1).otherwise(0)
     rows = rows.withColumn("_n", times).where("_n > 0").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
     return rows.select(*(F.col(new).alias(c) for c, new in own.items()))

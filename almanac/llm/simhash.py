@@ -208,8 +208,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     joined = checkpointed(spread_join(named, "component", F.pmod(F.xxhash64("fp"), F.lit(SALTS)), least).select("fp", "component_id"))
     whole = reps.join(joined, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
-    # Exact copies and empty texts share a fingerprint; the task that made a row deals them.
-    return spread_join(fps, "fp", F.spark_partition_id(), whole).select("id", "fp", "component_id")
+    # Exact copies and empty texts share a fingerprint; their ids deal them.
+    return spread_join(fps, "fp", F.pmod(F.xxhash64("id"), F.lit(SALTS)), whole).select("id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:

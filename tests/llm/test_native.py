@@ -210,6 +210,25 @@ def test_sources_beyond_a_broadcast(spark, monkeypatch):
     assert want == (Counter(mixing.mix(mixing.measured(docs)).collect()), Counter((r.doc_id, r.kept) for r in mixing.mixed_documents(docs).collect()))
 
 
+def test_no_row_is_lost_beyond_a_broadcast(spark, monkeypatch):
+    """Half a million rows and adaptive plans: a salt that followed the partition would lose some of them."""
+    monkeypatch.setattr(mixing, "FEW", 0)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+        kind = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 40).cast("string")))
+        rows = spark.range(500_000).select(F.col("id").alias("doc_id"), kind.alias("source"), F.repeat(F.lit("w "), (F.col("id") % 7).cast("int")).alias("text"))
+        sized = mixing.measured(rows).repartition(64, "key")
+        got = mixing.mix(sized).agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.sum("size").alias("size")).first()
+        monkeypatch.setattr(mixing, "FEW", 100_000)
+        want = mixing.mix(sized).agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.sum("size").alias("size")).first()
+        assert got.n == 500_000 and got == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def brute_edits(docs):
     docs = sorted(docs, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or ""))
     out = []
