@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from almanac.llm import bpe, chat, langid, licenses, minhash, mixing, pii, quality, simhash, topk
+from almanac.llm import bpe, chat, langid, licenses, minhash, mixing, pii, quality, rules, simhash, topk
 from almanac.llm.common import checkpointed, fold, table
 
 
@@ -98,6 +98,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_chat": op2_chat,
@@ -109,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
+    "op11_rules": op11_rules,
 }
 
 #: DuckDB SQL for the queries that SQL can express.

@@ -217,7 +217,7 @@ def test_no_row_is_lost_beyond_a_broadcast(spark, monkeypatch):
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "64")
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
-        kind = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 40).cast("string")))
+        kind = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 20_000).cast("string")))
         rows = spark.range(500_000).select(F.col("id").alias("doc_id"), kind.alias("source"), F.repeat(F.lit("w "), (F.col("id") % 7).cast("int")).alias("text"))
         sized = mixing.measured(rows).repartition(64, "key")
         got = mixing.mix(sized).agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.sum("size").alias("size")).first()
