@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from almanac.llm import bpe, chat, langid, licenses, minhash, mixing, pii, quality, rules, simhash, topk
+from almanac.llm import bpe, chat, langid, licenses, minhash, mixing, pii, quality, rules, simhash, topk, whitening
 from almanac.llm.common import checkpointed, fold, table
 
 
@@ -103,6 +103,10 @@ def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(whitening.whiten(table(spark, sf_dir, "embeddings"))).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_chat": op2_chat,
@@ -115,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
     "op11_rules": op11_rules,
+    "op12_whitening": op12_whitening,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
