@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from almanac.llm import bpe, chat, langid, licenses, minhash, mixing, pii, quality, rules, simhash, topk, whitening
+from almanac.llm import bpe, chat, langid, licenses, minhash, mixing, pii, quality, repair, rules, simhash, topk, whitening
 from almanac.llm.common import checkpointed, fold, table
 
 
@@ -107,6 +107,15 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.components(whitening.whiten(table(spark, sf_dir, "embeddings"))).withColumnRenamed("id", "vec_id")
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    named = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    found = repair.repair_conversations(repair.damaged(turns, F.crc32(named) % 20)).withColumnRenamed("conv_id", "_id")
+    rows = turns.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return rows.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_chat": op2_chat,
@@ -120,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
     "op11_rules": op11_rules,
     "op12_whitening": op12_whitening,
+    "op13_repair": op13_repair,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
