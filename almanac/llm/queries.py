@@ -157,4 +157,48 @@ ORACLES: dict[str, str] = {
             FROM row_of q JOIN row_of c ON q.vec_id % 20 = 0 AND q.n <> c.n AND len(q.v) = len(c.v))
         SELECT query_id, rank::INTEGER AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20""",
+    # The table of the search row by row: per state the cheapest edits, then the least as text, with the turns they leave.
+    "op13_repair": r"""
+        WITH RECURSIVE keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+        dealt AS (
+            SELECT *, xor(list_reduce(list_transform(range(0, length(k)), lambda i: ascii(substr(k, i + 1, 1))::BIGINT),
+                lambda c, b: list_reduce(range(0, 8), lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(c, b)), 4294967295), 4294967295) % 20 AS d FROM keyed),
+        hurt AS (
+            SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM dealt, range(CASE d WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+        seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM hurt),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth) AS n FROM seen),
+        faulty AS (
+            SELECT *, substr(role, 1, 1) AS i, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS p,
+                CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN nth > 1 THEN 2 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault FROM placed),
+        -- Insertions from a state: the roles that they add, the state after; then what a row may do there.
+        ins(x, added, y) AS (VALUES ('', '', ''), ('', 'u', 'u'), ('', 'ua', 'a'), ('s', '', 's'), ('s', 'u', 'u'), ('s', 'ua', 'a'), ('u', '', 'u'), ('u', 'a', 'a'), ('a', '', 'a'), ('a', 'u', 'u')),
+        step(y, r, z) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+        walk AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS n, '' AS x, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS turns FROM faulty
+            UNION ALL
+            SELECT conv_id, n, x, best.cost, best.audit, best.turns FROM (
+                SELECT conv_id, n, x, min(struct_pack(cost := cost, audit := audit, turns := turns)) AS best FROM (
+                    SELECT w.conv_id, f.n, w.x, w.cost + 4 AS cost, w.audit || 'D' AS audit, w.turns FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1
+                    UNION ALL
+                    SELECT w.conv_id, f.n, step.z, w.cost + 3 * length(ins.added) + 3 * (e.e = 'R')::INT + 3 * (f.fault = 3)::INT, w.audit || repeat('I', length(ins.added)) || e.e,
+                        list_concat(w.turns, list_transform(range(0, length(ins.added)), lambda j: CASE substr(ins.added, j + 1, 1) WHEN 'u' THEN 'user:' ELSE 'assistant:' END),
+                            [CASE WHEN e.e = 'K' THEN f.role WHEN step.r = 'u' THEN 'user' ELSE 'assistant' END || ':' || f.text])
+                    FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1 AND f.fault NOT IN (1, 2)
+                    JOIN ins ON ins.x = w.x JOIN step ON step.y = ins.y JOIN (VALUES ('K'), ('R')) e(e) ON (e.e = 'K' AND step.r = f.i) OR (e.e = 'R' AND step.r <> 's'))
+                GROUP BY conv_id, n, x)),
+        ended AS (
+            SELECT conv_id, min(struct_pack(cost := cost, audit := audit, turns := turns)) AS best FROM (
+                SELECT w.conv_id, w.cost + 3 * length(ins.added) AS cost, w.audit || repeat('I', length(ins.added)) AS audit,
+                    list_concat(w.turns, list_transform(range(0, length(ins.added)), lambda j: CASE substr(ins.added, j + 1, 1) WHEN 'u' THEN 'user:' ELSE 'assistant:' END)) AS turns
+                FROM walk w JOIN (SELECT conv_id, max(n) AS n FROM faulty GROUP BY conv_id) t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.n = w.n
+                JOIN ins ON ins.x = w.x AND ins.y IN ('', 'a'))
+            GROUP BY conv_id),
+        counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                count(*) FILTER (p IS NOT NULL AND p || i NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id)
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+            coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.turns, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id""",
 }
