@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.operators.slices import SLICES, carried, with_slices
 
-def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str, right_time: str, values: list[str], tie: list[str] | None = None, forward: bool = False) -> DataFrame:
+
+def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str, right_time: str, values: list[str], tie: list[str] | None = None, forward: bool = False, slices: int = 0) -> DataFrame:
     """left with the values of the right row of its key that is newest at or before its time (first at or after it, if forward).
 
     Both sides are unioned and filled along the time order: one shuffle on the key and no range join. The whole right row
-    is carried, so a null in it stays null and no older row is looked for. Of right rows of one time the last by ``tie``.
+    is carried, so a null in it stays null and no older row is looked for. Of right rows of one time the last by ``tie``
+    (the first, if forward). Times that are null come before all others. Without keys in ``on`` all rows are of one.
+
+    With ``slices`` a key's rows are dealt over so many slices of time, for keys that may hold very many rows: each slice is
+    filled on its own, and the last right row of the slices before it stands at its head. Both ways give the same rows.
     """
     row = F.struct(*(F.col(c).alias(f"v{k}") for k, c in enumerate(values)))
     order_tie = F.struct(*(tie or [F.lit(0).alias("_0")]))
@@ -19,21 +25,41 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str,
     both = a.unionByName(b, allowMissingColumns=True)
     keys = [f"k{k}" for k in range(len(on))]
     order = [F.asc("t"), F.asc("side"), F.asc("tie")] if not forward else [F.desc("t"), F.desc("side"), F.desc("tie")]
+    if slices:
+        both = with_slices(both, "t", slices)
+        last = (F.min_by if forward else F.max_by)("r", F.when(F.col("r").isNotNull(), F.struct("t", "tie")))
+        heads = carried(both, keys, {"r": last}, forward).where("r IS NOT NULL").withColumn("head", F.lit(True))
+        both = both.unionByName(heads, allowMissingColumns=True)
+        keys, order = [*keys, "_slice"], [F.asc_nulls_last("head"), *order]
     window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     filled = both.withColumn("r", F.last("r", ignorenulls=True).over(window)).where("l IS NOT NULL")
     return filled.select("l.*", *(F.col(f"r.v{k}").alias(c) for k, c in enumerate(values)))
 
 
-def fill_onto_spine(spine: DataFrame, series: DataFrame, date: str, values: list[str], by: list[str] | None = None) -> DataFrame:
+def fill_onto_spine(spine: DataFrame, series: DataFrame, date: str, values: list[str], by: list[str] | None = None, slices: int = SLICES) -> DataFrame:
     """Spine dates with each value carried forward from its last known date; null before the first.
 
-    Unlike an as-of join each value is filled on its own. Dates of the series that the spine lacks count for it.
+    Unlike an as-of join each value is filled on its own. Dates of the series that the spine lacks count for it. A spine is
+    often one series of all dates, so it is filled in ``slices`` of time (0: in one piece per key of ``by``), each value's
+    last known one of the slices before coming along.
     """
     by = by or []
     both = spine.select(*by, date, F.lit(1).alias("_s")).unionByName(series.select(*by, date, *values), allowMissingColumns=True)
     daily = both.groupBy(*by, date).agg(F.max("_s").alias("_s"), *(F.max(v).alias(v) for v in values))
-    w = Window.partitionBy(*by).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    return daily.select(*by, date, "_s", *(F.last(v, ignorenulls=True).over(w).alias(v) for v in values)).where("_s = 1").drop("_s")
+    heads = []
+    if slices:
+        daily = with_slices(daily, date, slices)
+        heads = [f"_head_{k}" for k in range(len(values))]
+        before = carried(daily, by, {h: F.max_by(v, F.when(F.col(v).isNotNull(), F.struct(date))) for h, v in zip(heads, values, strict=True)})
+        before = before.withColumnsRenamed({c: f"_by_{k}" for k, c in enumerate(by)}).withColumnRenamed("_slice", "_at")
+        same = F.col("_slice") == F.col("_at")
+        for k, c in enumerate(by):
+            same &= F.col(c).eqNullSafe(F.col(f"_by_{k}"))
+        daily = daily.join(before, same, "left")
+    w = Window.partitionBy(*by, *(["_slice"] if slices else [])).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
+    filled = [F.last(v, ignorenulls=True).over(w) for v in values]
+    filled = [F.coalesce(f, h) for f, h in zip(filled, heads, strict=True)] if heads else filled
+    return daily.select(*by, date, "_s", *(f.alias(v) for f, v in zip(filled, values, strict=True))).where("_s = 1").drop("_s")
 
 
 def interval_slices(targets: DataFrame, series: DataFrame, key: str, as_of: str, date: str, months: int) -> DataFrame:

@@ -65,15 +65,15 @@ def asof_annual(spark, sf_dir):
 @query("jn06_asof_scalar", oracle("""WITH d AS (SELECT DISTINCT nav_date FROM bench), s AS (SELECT obs_date, value FROM monthly WHERE series_id = '1-URGENT' AND obs_date >= DATE '1996-01-01')
     SELECT nav_date, coalesce(value / 100, 0.04) AS rf FROM d ASOF LEFT JOIN s ON nav_date >= obs_date""", "bench", "monthly"))
 def asof_scalar(spark, sf_dir):
-    s = view(spark, sf_dir, "monthly").where("series_id = '1-URGENT' AND obs_date >= DATE '1996-01-01'").withColumn("one", F.lit(1))
-    d = view(spark, sf_dir, "bench").select("nav_date", F.lit(1).alias("one"))
-    return asof.asof_join(d, s, ["one"], "nav_date", "obs_date", ["value"]).select("nav_date", F.coalesce(F.col("value") / 100, F.lit(0.04)).alias("rf"))
+    s = view(spark, sf_dir, "monthly").where("series_id = '1-URGENT' AND obs_date >= DATE '1996-01-01'")
+    d = view(spark, sf_dir, "bench").select("nav_date")
+    return asof.asof_join(d, s, [], "nav_date", "obs_date", ["value"], slices=asof.SLICES).select("nav_date", F.coalesce(F.col("value") / 100, F.lit(0.04)).alias("rf"))
 
 
 @query("jn07_jn08_spine_fill", oracle("""SELECT b.nav_date, a.value AS urgent, l.value AS low FROM bench b ASOF LEFT JOIN (SELECT * FROM monthly WHERE series_id = '1-URGENT') a ON b.nav_date >= a.obs_date ASOF LEFT JOIN (SELECT * FROM monthly WHERE series_id = '5-LOW') l ON b.nav_date >= l.obs_date""", "bench", "monthly"))
 def spine_fill(spark, sf_dir):
     wide = view(spark, sf_dir, "monthly").groupBy(F.col("obs_date").alias("nav_date")).pivot("series_id", ["1-URGENT", "5-LOW"]).agg(F.max("value")).withColumnsRenamed({"1-URGENT": "urgent", "5-LOW": "low"})
-    return asof.fill_onto_spine(view(spark, sf_dir, "bench").withColumn("k", F.lit(1)), wide.withColumn("k", F.lit(1)), "nav_date", ["urgent", "low"], ["k"]).drop("k")
+    return asof.fill_onto_spine(view(spark, sf_dir, "bench"), wide, "nav_date", ["urgent", "low"])
 
 
 @query("jn09_pick_one", oracle("SELECT c_nationkey, min(c_custkey) AS least, max_by(c_name, (c_acctbal, c_custkey)) AS largest FROM customer GROUP BY c_nationkey"))

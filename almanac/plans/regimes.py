@@ -361,10 +361,10 @@ def fold_stability(spark, sf_dir):
 @query("pos03_pos04_scheduling", oracle("""WITH dec AS (SELECT last_day(obs_date) AS decided, max_by(value, obs_date) AS v FROM macro WHERE series_id = '1-URGENT' AND month(obs_date) % 3 = 0 GROUP BY ALL), s AS (SELECT decided, v, nav_date AS traded FROM dec ASOF JOIN bench ON decided <= nav_date)
     SELECT b.nav_date, v IS NOT NULL AS covered, CASE WHEN s.traded IS NULL THEN 'absent' WHEN s.traded = b.nav_date THEN 'fresh' ELSE 'carried' END AS kind FROM bench b ASOF LEFT JOIN (SELECT traded, max_by(v, decided) AS v FROM s GROUP BY traded) s ON b.nav_date >= s.traded""", "macro", "bench"))
 def scheduling(spark, sf_dir):
-    dec = view(spark, sf_dir, "macro").where("series_id = '1-URGENT' AND month(obs_date) % 3 = 0").groupBy(F.last_day("obs_date").alias("decided")).agg(F.max_by("value", "obs_date").alias("v")).withColumn("k", F.lit(1))
-    days = view(spark, sf_dir, "bench").select("nav_date", F.col("nav_date").alias("traded"), F.lit(1).alias("k"))
-    s = asof.asof_join(dec, days, ["k"], "decided", "nav_date", ["traded"], forward=True).where("traded IS NOT NULL").groupBy("k", "traded").agg(F.max_by("v", "decided").alias("v")).withColumn("since", F.col("traded"))
-    df = asof.asof_join(days.select("nav_date", "k"), s, ["k"], "nav_date", "traded", ["v", "since"])
+    dec = view(spark, sf_dir, "macro").where("series_id = '1-URGENT' AND month(obs_date) % 3 = 0").groupBy(F.last_day("obs_date").alias("decided")).agg(F.max_by("value", "obs_date").alias("v"))
+    days = view(spark, sf_dir, "bench").select("nav_date", F.col("nav_date").alias("traded"))
+    s = asof.asof_join(dec, days, [], "decided", "nav_date", ["traded"], forward=True, slices=asof.SLICES).where("traded IS NOT NULL").groupBy("traded").agg(F.max_by("v", "decided").alias("v")).withColumn("since", F.col("traded"))
+    df = asof.asof_join(days.select("nav_date"), s, [], "nav_date", "traded", ["v", "since"], slices=asof.SLICES)
     return df.select("nav_date", F.col("v").isNotNull().alias("covered"), F.when(F.col("since").isNull(), "absent").when(F.col("since") == F.col("nav_date"), "fresh").otherwise("carried").alias("kind"))
 
 
