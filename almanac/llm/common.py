@@ -35,13 +35,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Work tables of this driver that cleared() has not dropped yet.
+_tables: list[str] = []
+
+
 def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: as checkpointed(), for rows with whole texts."""
+    """df as a Parquet table in the shared folder: as checkpointed(), for rows with whole texts. cleared() drops it."""
     path = f"{shared(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _tables.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def cleared(spark: SparkSession) -> None:
+    """Drop the tables of written(), once what was made from them has been written elsewhere."""
+    while _tables:
+        dropped(spark, _tables.pop())
+
+
 def spread_join(rows: DataFrame, key: str, salt, table: DataFrame) -> DataFrame:
     """rows joined to table, which has one row per key, so that a key of very many rows is no single task's load.
 

@@ -33,8 +33,8 @@ REACH = (1, 0, 0, 0)
 WORDS, VALUES = len(REACH), 1 << 16
 #: Mean fingerprints a shard aims at, and the most that one task compares at once.
 SHARD, CHUNK = 256, 8192
-#: Tasks over which the fingerprints of one component are dealt at most.
-SALTS = 256
+#: Tasks over which the fingerprints of one component are dealt at most, and ids up to which they are broadcast (8 bytes each).
+SALTS, FEW = 256, 2_000_000
 
 
 def shingle_hashes(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -216,14 +216,25 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """docs with one row of each component, that of its smallest id; all columns.
 
     Of repeated rows of that id the one least by its text stays. Rows without an id, which no component can be named by,
-    stay as they are.
+    stay as they are. Very long texts pass whole.
+
+    What is looked for are the ids that go and those that repeat. Up to FEW of them are broadcast, so no text is shuffled;
+    beyond that rows meet them in a join by id. Only rows of repeated ids are compared by their texts.
     """
-    kept = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col, width).where("id = component_id").select(F.col("id").alias("_kept")).distinct()
+    known = docs.where(F.col(id_col).isNotNull())
+    by_id = near_duplicates(known, id_col, text_col, width).groupBy("id").agg(F.count("*").alias("n"), F.bool_or(F.col("id") == F.col("component_id")).alias("again"))
+    odd = checkpointed(by_id.where("NOT again OR n > 1").select("id", "again"))
+    few = odd.count() <= FEW
+    meet = lambda table: F.broadcast(table) if few else table
     own = [F.col(f"_own.{c}") for c in docs.columns]
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.struct(*docs.columns).alias("_own"), F.col(id_col).cast("bigint").alias("_id")).join(kept, F.col("_id") == F.col("_kept"))
+    rows = known.select(F.struct(*docs.columns).alias("_own"), F.col(id_col).cast("bigint").alias("_id"))
+    single = rows.join(meet(odd.select(F.col("id").alias("_id"))), "_id", "left_anti").select(own)
+    single = single.unionByName(docs.where(F.col(id_col).isNull()))
+    again = odd.where("again").select(F.col("id").alias("_id"))
+    if again.isEmpty():
+        return single
     first = F.row_number().over(Window.partitionBy("_id").orderBy(F.asc_nulls_last(f"_own.{text_col}")))
-    rows = rows.withColumn("_nth", first).where("_nth = 1").select(own)
-    return rows.unionByName(docs.where(F.col(id_col).isNull()))
+    return single.unionByName(rows.join(meet(again), "_id", "left_semi").withColumn("_nth", first).where("_nth = 1").select(own))
 
 
 def fingerprint_text(fp):

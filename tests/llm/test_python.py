@@ -64,6 +64,21 @@ def test_simhash(spark):
     assert simhash.near_duplicates(data.empty(spark)).count() == 0 and simhash.deduplicated(data.empty(spark)).count() == 0
 
 
+def test_deduplicated_with_and_without_a_broadcast(spark, monkeypatch):
+    docs = data.documents(spark).unionByName(spark.read.parquet(f"{data.DATA}/documents.parquet").withColumns({"doc_id": F.col("doc_id") + 1000, "id": F.lit(""), "size": F.lit(""), "kept": F.lit(2)}).withColumn("n_chars", F.col("n_chars")))
+    docs = docs.unionByName(docs.where("doc_id = 9").withColumn("text", F.lit("a differing text of a repeated id, which is not the least")))
+    rows = docs.select("doc_id", "text").collect()
+    roots, least = brute_components([brute_fingerprint(r.text) for r in rows]), {}
+    for r, c in zip(rows, roots, strict=True):
+        if r.doc_id is not None:
+            least[c] = min(least.get(c, r.doc_id), r.doc_id)
+    ids = Counter(r.doc_id for r, c in zip(rows, roots, strict=True) if r.doc_id is None or least[c] == r.doc_id)
+    want = Counter({k: n if k is None else 1 for k, n in ids.items()})
+    assert Counter(r.doc_id for r in simhash.deduplicated(docs).collect()) == want
+    monkeypatch.setattr(simhash, "FEW", 0)
+    assert Counter(r.doc_id for r in simhash.deduplicated(docs).collect()) == want
+
+
 def test_simhash_links_near_values_in_crowded_shards(spark, monkeypatch):
     rng = random.Random(2)
     base = [rng.getrandbits(64) for _ in range(60)]
