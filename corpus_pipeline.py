@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from almanac.llm import bpe, langid, mixing, pii, quality, simhash
-from almanac.llm.common import dropped, fold, shared, table
+from almanac.llm.common import cleared, dropped, fold, shared, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The JVM of an executor still holds memory of the stages before, so the last one remembers less than it would alone.
@@ -48,7 +48,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's rows are a Parquet table in the session's shared folder,
-    which goes when the next stage has written its own; the last one's stays, as the result reads it.
+    which goes when the next stage has written its own, as do the work tables within a stage when it has written its rows;
+    the last stage's table stays, as the result reads it.
 
     Null and empty texts, which have no language, go in the first stage, rows without an id stay as they are in the second,
     and no documents give no rows. All columns of documents pass through the first four stages, whatever their names.
@@ -57,6 +58,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{where}/{name}")
         docs = spark.read.parquet(f"{where}/{name}")
+        cleared(spark)
         if before:
             dropped(spark, before)
         before = f"{where}/{name}"
