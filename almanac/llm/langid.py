@@ -22,7 +22,7 @@ SAMPLE, HELD_BACK = 250, 5
 #: Groups of tasks whose first rows are found apart.
 SALTS = 32
 UNKNOWN = "und"
-#: Letters from which the classes of length after the first begin; a class of fewer held-back texts takes the language's limit.
+#: Letters from which the classes of length after the first begin; and the texts that the language's limit counts for in a class's.
 CLASSES, FEW = (64, 256, 1024, 4096), 5
 
 
@@ -219,13 +219,15 @@ def _calibrate(models: Models, texts: DataFrame) -> None:
     for j in range(k):
         if (lang == j).any():
             models.usual[j] = np.median(own[lang == j])
-        # Twice what nine in ten held-back texts of the length needed, so that a few odd or mislabelled ones don't count.
-        for c in range(len(CLASSES) + 1):
-            near = own[(lang == j) & (_class(n) == c)]
-            near = near if len(near) >= FEW else own[lang == j]
-            if len(near) >= FEW:
-                models.slack[j, c] = max(0.0, 2 * (np.quantile(near, 0.9, method="lower") - models.usual[j]))
-        models.usual[j] += 1.5
+    # Twice what nine in ten held-back texts of the length needed, so that a few odd or mislabelled ones don't count. Few
+    # texts of a length say little: what they need is drawn towards what the language's do, and that towards all texts'.
+    over = own - models.usual[lang]
+    needed = lambda some: max(0.0, 2 * np.quantile(some, 0.9, method="lower")) if len(some) else 0.0
+    drawn = lambda some, towards: (len(some) * needed(some) + FEW * towards) / (len(some) + FEW)
+    for j in range(k):
+        usual = drawn(over[lang == j], needed(over))
+        models.slack[j] = [drawn(over[(lang == j) & (_class(n) == c)], usual) for c in range(len(CLASSES) + 1)]
+    models.usual += 1.5
     best = (-np.inf, 1.0)
     if len(rows):
         bits = np.array([r.bits for r in rows])
