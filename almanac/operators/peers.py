@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.operators.selection import quantiles
+
 
 def midrank_percentile(df: DataFrame, label: str, value: str, out: str, least: int = 10) -> DataFrame:
     """df with out: share of the label's other members below, ties counting half, in percent at two decimals.
@@ -26,9 +28,8 @@ def quartile(percentile: Column, cohort: Column | None = None, least: int = 10)
 
 
 def bands(df: DataFrame, label: str, value: str) -> DataFrame:
-    """(label, p25, p50, p75), linear."""
-    p = df.groupBy(label).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("p"))
-    return p.select(label, *(F.col("p")[k].alias(c) for k, c in enumerate(("p25", "p50", "p75"))))
+    """(label, p25, p50, p75), linear and exact; a label's members are never gathered, however many."""
+    return quantiles(df, [label], value, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
 
 
 def average_rank_share(df: DataFrame, by: list[str], value: str, out: str) -> DataFrame:

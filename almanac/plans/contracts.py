@@ -5,9 +5,6 @@ Payload queries first build the raw payload from a test table with Spark, then p
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -19,14 +16,7 @@ from almanac.registry import query
 from almanac.sources import payloads as P
 from almanac.sources import sinks
 from almanac.streaming import ticks as T
-
-
-def scratch(spark, name: str) -> str:
-    """A new path in the session's shared folder; only one machine can do without one."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where and spark.sparkContext.master.split("[")[0] != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{where or tempfile.mkdtemp(prefix='spark-')}/{name}-{uuid.uuid4().hex}"
+from almanac.work import scratch
 
 
 def _bars(spark, sf_dir):

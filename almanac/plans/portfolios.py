@@ -9,6 +9,7 @@ from almanac.functions import metrics as M
 from almanac.lens import oracle, view
 from almanac.operators import asof, holdings as H
 from almanac.plans.series import _r6
+from almanac.operators.selection import quantiles, weighted_quantile
 from almanac.registry import query
 
 
@@ -178,19 +179,17 @@ def horizon_blend(spark, sf_dir):
     SELECT axis, round(any_value(m), 4) AS median, round(sum(w * v) / sum(w), 4) AS mean, round(sum(w * greatest(m - 1.5 * s, least(m + 1.5 * s, v))) / sum(w), 4) AS huber FROM w JOIN d USING (axis) GROUP BY axis"""))
 def robust_mean(spark, sf_dir):
     o = view(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("axis"), F.col("o_totalprice").alias("v"), (F.col("o_custkey") % 5 + 1).alias("w"))
-    m = o.groupBy("axis").agg(F.median("v").alias("m"))
-    d = o.join(m, "axis").groupBy("axis").agg(F.first("m").alias("m"), (F.median(F.abs(F.col("v") - F.col("m"))) * 1.4826).alias("s"))
+    m = quantiles(o, ["axis"], "v", {"m": 0.5}).drop("n")
+    gaps = quantiles(o.join(m, "axis").select("axis", F.abs(F.col("v") - F.col("m")).alias("gap")), ["axis"], "gap", {"s": 0.5})
+    d = m.join(gaps.select("axis", (F.col("s") * 1.4826).alias("s")), "axis")
     held = F.greatest(F.col("m") - 1.5 * F.col("s"), F.least(F.col("m") + 1.5 * F.col("s"), F.col("v")))
     return o.join(d, "axis").groupBy("axis").agg(F.round(F.first("m"), 4).alias("median"), F.round(F.sum(F.col("w") * F.col("v")) / F.sum("w"), 4).alias("mean"), F.round(F.sum(F.col("w") * held) / F.sum("w"), 4).alias("huber"))
 
 
 @query("agg21_weighted_median", oracle(f"WITH {_W}, r AS (SELECT axis, v, sum(w) OVER (PARTITION BY axis ORDER BY v) AS c, sum(w) OVER (PARTITION BY axis) AS t FROM w) SELECT axis, min(v) AS median FROM r WHERE c >= t / 2.0 GROUP BY axis"))
 def weighted_median(spark, sf_dir):
-    """Weights are summed per value first, so the window holds distinct values only."""
-    o = view(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("axis"), F.col("o_totalprice").alias("v")).agg(F.sum(F.col("o_custkey") % 5 + 1).alias("w"))
-    g = Window.partitionBy("axis")
-    r = o.withColumn("c", F.sum("w").over(g.orderBy("v"))).withColumn("t", F.sum("w").over(g))
-    return r.where("c >= t / 2").groupBy("axis").agg(F.min("v").alias("median"))
+    o = view(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("axis"), "o_totalprice", (F.col("o_custkey") % 5 + 1).alias("w"))
+    return weighted_quantile(o, ["axis"], "o_totalprice", "w", "median")
 
 
 @query("agg22_agreement", oracle("""WITH s AS (SELECT o_orderpriority AS axis, o_custkey % 5 + 1 AS w, CASE WHEN o_totalprice > 200000 THEN o_totalprice / 200000 - 1 END AS z FROM orders)
@@ -205,9 +204,7 @@ def agreement(spark, sf_dir):
 
 @query("agg23_distribution", oracle("SELECT event_type, round(min(value), 6) AS low, round(quantile_cont(value, 0.1), 6) AS p10, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90, round(max(value), 6) AS high FROM events GROUP BY event_type"))
 def distribution(spark, sf_dir):
-    p = F.percentile("value", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    df = view(spark, sf_dir, "events").groupBy("event_type").agg(F.min("value").alias("low"), p.alias("p"), F.max("value").alias("high"))
-    return _r6(df.select("event_type", "low", *(F.col("p")[k].alias(c) for k, c in enumerate(("p10", "p50", "p90"))), "high"))
+    return _r6(quantiles(view(spark, sf_dir, "events"), ["event_type"], "value", {"low": 0.0, "p10": 0.1, "p50": 0.5, "p90": 0.9, "high": 1.0}).drop("n"))
 
 
 @query("agg24_agg25_confusion", oracle("""WITH a AS (SELECT obs_date, value > 3 AS x FROM macro WHERE series_id = '1-URGENT'), b AS (SELECT obs_date, value > 3 AS y FROM macro WHERE series_id = '2-HIGH')

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 import statistics
 from collections import Counter
@@ -10,7 +11,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from almanac.operators import asof, slices
+from almanac.operators import asof, selection, slices
 
 DAY = dt.date(2000, 1, 1)
 
@@ -57,3 +58,48 @@ def test_a_constant_key_is_dealt_evenly(spark):
     assert len(sizes) == 64 and max(sizes) < 3 * statistics.median(sizes)
     found = asof.asof_join(left, right, ["k"], "t", "t", ["v"], slices=64)
     assert found.where("v = t - t % 10").count() == n
+
+
+def plain_quantile(values, share, method):
+    s, at = sorted(values, key=lambda v: (v != v, v)), share * (len(values) - 1)
+    low, high = s[math.floor(at)], s[math.ceil(at)]
+    return low if method == "lower" else high if method == "higher" else low if low == high or low != low else low * (1 - (at - math.floor(at))) + high * (at - math.floor(at))
+
+
+@pytest.mark.parametrize("limit", [2, 50, 100_000])
+def test_exact_quantiles_by_refinement(spark, monkeypatch, limit):
+    monkeypatch.setattr(selection, "LIMIT", limit)
+    monkeypatch.setattr(selection, "BINS", 8)
+    rng = random.Random(limit)
+    groups = {
+        "even": [rng.uniform(-5, 9) for _ in range(300)], "ties": [float(rng.randrange(4)) for _ in range(300)], "wide": [math.ldexp(rng.random(), rng.randrange(-900, 900)) for _ in range(300)],
+        "below": [-math.ldexp(1 + rng.random(), rng.randrange(0, 700)) for _ in range(200)], "ends": [-1.7e308, 1.7e308, *[rng.gauss(0, 1) for _ in range(80)]], "odd": [float("inf"), float("-inf"), float("nan"), float("nan"), *map(float, range(60))],
+        "one": [3.5], "same": [2.5] * 120, None: [0.1 * k for k in range(77)],
+    }
+    rows = [(g, v, rng.randrange(1, 9)) for g, own in groups.items() for v in own] + [("even", None, 3), ("none", None, 2)]
+    df = spark.createDataFrame(rows, "g string, v double, w int").repartition(5)
+    shares = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.77, "e": 1.0}
+    for method in ("linear", "lower", "higher"):
+        for r in selection.quantiles(df, ["g"], "v", shares, method).collect():
+            own = groups.get(r.g, [])
+            assert r.n == len(own)
+            for name, share in shares.items():
+                want = plain_quantile(own, share, method) if own else None
+                assert r[name] == want or (want != want and r[name] != r[name]) or r[name] == pytest.approx(want, rel=1e-12), (r.g, name, method)
+    whole = selection.quantiles(df.where("g = 'even'"), [], "v", {"m": 0.5}).first()
+    assert whole.m == pytest.approx(plain_quantile(groups["even"], 0.5, "linear"))
+    for r in selection.weighted_quantile(df.where("g <> 'odd' OR g IS NULL"), ["g"], "v", "w", "m").collect():
+        own, run = sorted((v, w) for g, v, w in rows if g == r.g and v is not None), 0
+        for v, w in own:
+            run += w
+            if 2 * run >= sum(x[1] for x in own):
+                break
+        assert r.m == v, r.g
+    assert selection.quantiles(df.limit(0), ["g"], "v", shares).collect() == [] and selection.weighted_quantile(df.limit(0), ["g"], "v", "w", "m").collect() == []
+
+
+def test_one_group_of_millions_is_selected_from_by_all_tasks(spark):
+    n = 10_000_000
+    df = spark.range(0, n, 1, 16).select(F.lit("all").alias("g"), ((F.col("id") * 7919 + 13) % n).cast("double").alias("v"))
+    r = selection.quantiles(df, ["g"], "v", {"a": 0.25, "b": 0.5, "c": 0.999}).first()
+    assert (r.n, r.a, r.b, r.c) == (n, 0.25 * (n - 1), 0.5 * (n - 1), pytest.approx(0.999 * (n - 1), rel=1e-15))
