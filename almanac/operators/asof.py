@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.operators.slices import SLICES, carried, with_slices
+from almanac.operators.slices import SLICES, carried, filled, with_slices
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str, right_time: str, values: list[str], tie: list[str] | None = None, forward: bool = False, slices: int = 0) -> DataFrame:
@@ -46,20 +46,11 @@ def fill_onto_spine(spine: DataFrame, series: DataFrame, date: str, values: list
     by = by or []
     both = spine.select(*by, date, F.lit(1).alias("_s")).unionByName(series.select(*by, date, *values), allowMissingColumns=True)
     daily = both.groupBy(*by, date).agg(F.max("_s").alias("_s"), *(F.max(v).alias(v) for v in values))
-    heads = []
     if slices:
-        daily = with_slices(daily, date, slices)
-        heads = [f"_head_{k}" for k in range(len(values))]
-        before = carried(daily, by, {h: F.max_by(v, F.when(F.col(v).isNotNull(), F.struct(date))) for h, v in zip(heads, values, strict=True)})
-        before = before.withColumnsRenamed({c: f"_by_{k}" for k, c in enumerate(by)}).withColumnRenamed("_slice", "_at")
-        same = F.col("_slice") == F.col("_at")
-        for k, c in enumerate(by):
-            same &= F.col(c).eqNullSafe(F.col(f"_by_{k}"))
-        daily = daily.join(before, same, "left")
-    w = Window.partitionBy(*by, *(["_slice"] if slices else [])).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    filled = [F.last(v, ignorenulls=True).over(w) for v in values]
-    filled = [F.coalesce(f, h) for f, h in zip(filled, heads, strict=True)] if heads else filled
-    return daily.select(*by, date, "_s", *(f.alias(v) for f, v in zip(filled, values, strict=True))).where("_s = 1").drop("_s")
+        own = {v: f"_v{k}" for k, v in enumerate(values)}
+        return filled(daily.withColumnsRenamed(own), by, date, {v: F.col(o) for v, o in own.items()}, slices).where("_s = 1").select(*by, date, *values)
+    w = Window.partitionBy(*by).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
+    return daily.select(*by, date, "_s", *(F.last(v, ignorenulls=True).over(w).alias(v) for v in values)).where("_s = 1").drop("_s")
 
 
 def interval_slices(targets: DataFrame, series: DataFrame, key: str, as_of: str, date: str, months: int) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.operators.regimes import array_median, mad
+from almanac.operators.regimes import SCALE
+from almanac.operators.rolling import distinct_spread, rolled
 
 
 def economic_transforms(df: DataFrame, key: str, date: str, value: str, neutral: float) -> DataFrame:
@@ -35,10 +36,9 @@ def economic_transforms(df: DataFrame, key: str, date: str, value: str, neutral:
 
 def robust_z(df: DataFrame, key: str, date: str, value: str, rows: int, bound: float = 4.0) -> DataFrame:
     """df with z over the distinct values of the last rows: distance to their median in scaled median deviations."""
-    seen = F.collect_set(value).over(Window.partitionBy(key).orderBy(date).rowsBetween(-rows + 1, 0))
-    df = df.withColumn("_s", F.sort_array(seen)).withColumn("_d", mad(F.col("_s")))
-    z = F.greatest(F.lit(-bound), F.least(F.lit(bound), (F.col(value) - array_median(F.col("_s"))) / F.col("_d")))
-    return df.withColumn("z", F.when((F.size("_s") >= 2) & (F.col("_d") > 0), z)).drop("_s", "_d")
+    df = rolled(df, [key], date, value, rows, distinct_spread, "_seen bigint, _median double, _spread double")
+    z = F.greatest(F.lit(-bound), F.least(F.lit(bound), (F.col(value) - F.col("_median")) / F.nullif(SCALE * F.col("_spread"), F.lit(0.0))))
+    return df.withColumn("z", F.when((F.col("_seen") >= 2) & (F.col("_spread") > 0), z)).drop("_seen", "_median", "_spread")
 
 
 def weighted_components(weights: dict[str, float]) -> Column:

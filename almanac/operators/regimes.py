@@ -12,17 +12,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
+from almanac.operators.rolling import bands as rolling_bands
+from almanac.operators.rolling import distinct_spread, rolled
+from almanac.operators.slices import filled
+
+#: From a median deviation to a standard deviation of a normal distribution.
+SCALE = 1.4826
+
 
 def held(signal: Column, order: WindowSpec) -> Column:
     """The newest non-null signal so far."""
     return F.last(signal, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
 
 
-def floor_quantile(values: Column, q: float) -> Column:
-    """Element of an array at the floor of q (n - 1)."""
-    return F.try_element_at(F.sort_array(values), (F.floor(q * (F.size(values) - 1)) + 1).cast("int"))
-
-
 def array_median(values: Column) -> Column:
     s, n = F.sort_array(values), F.size(values)
     at = lambda k: F.try_element_at(s, k.cast("int"))
@@ -31,25 +33,25 @@ def array_median(values: Column) -> Column:
 
 def mad(values: Column) -> Column:
     """1.4826 times the median absolute deviation of an array."""
-    return 1.4826 * array_median(F.transform(values, lambda x: F.abs(x - array_median(values))))
+    return SCALE * array_median(F.transform(values, lambda x: F.abs(x - array_median(values))))
 
 
 def band_regime(df: DataFrame, by: list[str], date: str, x: str, window: int, least: int, entry: float, leave: float) -> DataFrame:
     """df with p_entry, p_exit, state ('off' below the entry band until at or above the exit band) and stress 0..100.
 
     Bands are floor-index quantiles of the ``window`` rows before; with less than ``least`` the state is 'on'. The state is
-    the last decisive signal only while entry <= leave, so anything else is refused.
+    the last decisive signal only while entry <= leave, so anything else is refused. One pass along each entity holds the
+    window's order, and entities of very many rows are cut into slices.
     """
     if entry > leave:
         raise ValueError("the entry band must not lie above the exit band")
-    order = Window.partitionBy(*by).orderBy(date)
-    df = df.withColumn("_w", F.sort_array(F.collect_list(x).over(order.rowsBetween(-window, -1))))
-    ready = F.size("_w") >= least
-    df = df.withColumn("p_entry", F.when(ready, floor_quantile(F.col("_w"), entry))).withColumn("p_exit", F.when(ready, floor_quantile(F.col("_w"), leave)))
+    df = rolled(df, by, date, x, window, rolling_bands((entry, leave)), "_n bigint, p_entry double, p_exit double, _below bigint")
+    ready = F.col("_n") >= least
+    df = df.withColumn("p_entry", F.when(ready, F.col("p_entry"))).withColumn("p_exit", F.when(ready, F.col("p_exit")))
     signal = F.when(~ready | (F.col(x) >= F.col("p_exit")), "on").when(F.col(x) < F.col("p_entry"), "off")
-    rank = F.size(F.filter("_w", lambda v: v <= F.col(x))) / F.size("_w")
-    stress = 100 * F.least(F.lit(1.0), F.greatest(F.lit(0.0), (0.5 - rank) / 0.45))
-    return df.withColumn("state", F.coalesce(held(signal, order), F.lit("on"))).withColumn("stress", F.when(ready, stress)).drop("_w")
+    stress = 100 * F.least(F.lit(1.0), F.greatest(F.lit(0.0), (0.5 - F.col("_below") / F.col("_n")) / 0.45))
+    df = filled(df.withColumn("stress", F.when(ready, stress)), by, date, {"state": signal})
+    return df.withColumn("state", F.coalesce("state", F.lit("on"))).drop("_n", "_below")
 
 
 def fixed_band(x: Column, enter: float, leave: float, order: WindowSpec) -> Column:
@@ -104,11 +106,19 @@ def contributions(df: DataFrame, by: list[str], z: str = "z", weight: str = "w")
 
 
 def uncertainty(score: str, order: WindowSpec, rows: int, least: int, floor: float) -> Column:
-    """Scaled median deviation of the distinct scores of the last rows, floored; null below ``least`` distinct ones."""
+    """Scaled median deviation of the distinct scores of the last rows, floored; null below ``least`` distinct ones.
+
+    A column, which gathers the rows anew at each row: for short windows. ``rolling_uncertainty`` is for others."""
     seen = F.collect_set(score).over(order.rowsBetween(-rows + 1, 0))
     return F.when(F.size(seen) >= least, F.greatest(mad(seen), F.lit(floor)))
 
 
+def rolling_uncertainty(df: DataFrame, by: list[str], date: str, score: str, rows: int, least: int, floor: float, out: str) -> DataFrame:
+    """df with the scaled median deviation of the distinct scores of the last rows, floored; null below ``least`` distinct ones."""
+    df = rolled(df, by, date, score, rows, distinct_spread, "_seen bigint, _median double, _spread double")
+    return df.withColumn(out, F.when(F.col("_seen") >= least, F.greatest(SCALE * F.col("_spread"), F.lit(floor)))).drop("_seen", "_median", "_spread")
+
+
 def status(failed: Column, coverage: Column, expired: Column, health: Column, confidence: Column, pending: Column) -> Column:
     """The first reason in a fixed order; valid if none holds."""
     return (

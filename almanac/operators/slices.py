@@ -33,3 +33,19 @@ def carried(df: DataFrame, keys: list[str], values: dict[str, Column], forward:
     own = df.groupBy(*keys, slice_col).agg(*(c.alias(name) for name, c in values.items()))
     order = Window.partitionBy(*keys).orderBy(F.desc(slice_col) if forward else F.asc(slice_col)).rowsBetween(Window.unboundedPreceding, -1)
     return own.select(*keys, slice_col, *(F.last(name, ignorenulls=True).over(order).alias(name) for name in values))
+
+
+def filled(df: DataFrame, keys: list[str], time: str, signals: dict[str, Column], n: int = SLICES) -> DataFrame:
+    """df with each signal's newest value that isn't null so far, by name; a key's rows are dealt over slices of time.
+
+    Times of a key should differ. The slice's own newest comes first, else what is carried into it."""
+    names = list(signals)
+    df = with_slices(df.withColumns({f"_own_{k}": c for k, c in enumerate(signals.values())}), time, n)
+    heads = carried(df, keys, {f"_head_{k}": F.max_by(f"_own_{k}", F.when(F.col(f"_own_{k}").isNotNull(), F.struct(time))) for k in range(len(names))})
+    heads = heads.withColumnsRenamed({c: f"_by_{k}" for k, c in enumerate(keys)}).withColumnRenamed("_slice", "_at")
+    same = F.col("_slice") == F.col("_at")
+    for k, c in enumerate(keys):
+        same &= F.col(c).eqNullSafe(F.col(f"_by_{k}"))
+    w = Window.partitionBy(*keys, "_slice").orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
+    df = df.join(heads, same, "left").withColumns({name: F.coalesce(F.last(f"_own_{k}", ignorenulls=True).over(w), F.col(f"_head_{k}")) for k, name in enumerate(names)})
+    return df.drop("_slice", "_at", *(f"_own_{k}" for k in range(len(names))), *(f"_head_{k}" for k in range(len(names))), *(f"_by_{k}" for k in range(len(keys))))

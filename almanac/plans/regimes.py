@@ -130,8 +130,7 @@ def contributions(spark, sf_dir):
     t AS (SELECT *, abs(score) / u AS z, 1 / (1 + 0.2316419 * abs(score) / u) AS t FROM u)
     SELECT axis, d, round(u, 6) AS u, round(1 - exp(-z * z / 2) / 2.5066282746310002 * t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429)))), 6) AS confidence FROM t""", "macro"))
 def confidence(spark, sf_dir):
-    u = S.uncertainty("score", Window.partitionBy("axis").orderBy("d"), 36, 24, 0.25)
-    df = _scores(spark, sf_dir).withColumn("u", u)
+    df = S.rolling_uncertainty(_scores(spark, sf_dir), ["axis"], "d", "score", 36, 24, 0.25, "u")
     return _r6(df.select("axis", "d", "u", normal_cdf(F.abs("score") / F.col("u")).alias("confidence")))
 
 

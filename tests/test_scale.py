@@ -6,12 +6,14 @@ import datetime as dt
 import math
 import random
 import statistics
+import time
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from almanac.operators import asof, selection, slices
+from almanac.operators import asof, regimes, rolling, selection, slices
 
 DAY = dt.date(2000, 1, 1)
 
@@ -103,3 +105,64 @@ def test_one_group_of_millions_is_selected_from_by_all_tasks(spark):
     df = spark.range(0, n, 1, 16).select(F.lit("all").alias("g"), ((F.col("id") * 7919 + 13) % n).cast("double").alias("v"))
     r = selection.quantiles(df, ["g"], "v", {"a": 0.25, "b": 0.5, "c": 0.999}).first()
     assert (r.n, r.a, r.b, r.c) == (n, 0.25 * (n - 1), 0.5 * (n - 1), pytest.approx(0.999 * (n - 1), rel=1e-15))
+
+
+def plain_bands(values, window, shares):
+    out = []
+    for k, x in enumerate(values):
+        before = sorted(v for v in values[max(0, k - window) : k] if v is not None)
+        out.append((len(before), *(before[int(q * (len(before) - 1))] if before else None for q in shares), sum(v <= x for v in before) if x is not None else 0))
+    return out
+
+
+def plain_spread(values, window):
+    out = []
+    for k in range(len(values)):
+        seen = {v for v in values[max(0, k - window + 1) : k + 1] if v is not None}
+        m = statistics.median(seen) if seen else None
+        out.append((len(seen), m, statistics.median(abs(v - m) for v in seen) if seen else None))
+    return out
+
+
+@pytest.mark.parametrize("whole", [30, 100_000])
+def test_rolling_order_statistics(spark, monkeypatch, whole):
+    """Entities in one piece and in slices that are shorter than the window, with ties and nulls."""
+    monkeypatch.setattr(rolling, "WHOLE", whole)
+    monkeypatch.setattr(rolling, "SLICE_ROWS", 10)
+    rng, rows = random.Random(9), []
+    for key, n in (("a", 900), ("b", 90), (None, 400), ("c", 1)):
+        rows += [(key, DAY + dt.timedelta(k), None if rng.random() < 0.1 else rng.choice([rng.gauss(0, 1), float(rng.randrange(4))]), "clash") for k in range(n)]
+    df = spark.createDataFrame(rows, "key string, d date, x double, _n string").repartition(6)
+    own = {k: [r[2] for r in rows if r[0] == k] for k in ("a", "b", None, "c")}
+    for window in (1, 2, 25):
+        got = rolling.rolled(df, ["key"], "d", "x", window, rolling.bands((0.2, 0.75)), "n bigint, low double, high double, below bigint")
+        assert got.columns == [*df.columns, "n", "low", "high", "below"]
+        found = {(r.key, r.d): (r.n, r.low, r.high, r.below) for r in got.collect()}
+        assert len(found) == len(rows)
+        for key, values in own.items():
+            assert [found[key, DAY + dt.timedelta(k)] for k in range(len(values))] == plain_bands(values, window, (0.2, 0.75))
+        found = {(r.key, r.d): (r.n, r.m, r.s) for r in rolling.rolled(df, ["key"], "d", "x", window, rolling.distinct_spread, "n bigint, m double, s double").collect()}
+        for key, values in own.items():
+            for k, want in enumerate(plain_spread(values, window)):
+                assert found[key, DAY + dt.timedelta(k)] == pytest.approx(want, abs=1e-12)
+    assert rolling.rolled(df.limit(0), ["key"], "d", "x", 5, rolling.distinct_spread, "n bigint, m double, s double").collect() == []
+
+
+def test_rolling_work_does_not_follow_the_window():
+    """Ten times the window takes far less than ten times as long."""
+    values, seconds = np.random.default_rng(1).normal(size=40_000), []
+    for window in (1_000, 10_000):
+        began = time.process_time()
+        rolling.bands((0.2, 0.25))(values, window, 0)
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 2.5 * seconds[0]
+
+
+def test_band_regime_of_a_hot_entity(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [("hot" if k % 10 else "b", DAY + dt.timedelta(k // 10 * 10 + (k % 10)), rng.gauss(0, 1) if rng.random() < 0.97 else None) for k in range(3000)]
+    df = spark.createDataFrame(rows, "k string, d date, x double")
+    plain = regimes.band_regime(df, ["k"], "d", "x", 40, 20, 0.2, 0.3).collect()
+    monkeypatch.setattr(rolling, "WHOLE", 100)
+    monkeypatch.setattr(rolling, "SLICE_ROWS", 50)
+    assert Counter(plain) == Counter(regimes.band_regime(df, ["k"], "d", "x", 40, 20, 0.2, 0.3).collect())
