@@ -379,19 +379,23 @@ def entity_fits(spark, sf_dir):
 
 
 def _frames(spark, sf_dir):
-    """Frames in both layouts, with another number in every field, times at an offset, quotes and heartbeats."""
+    """Frames in both layouts as they come over the wire, numbers as numbers and another one in every field, times at an
+    offset and with a blank or a T; besides quotes and heartbeats, prices sent as text and slim frames of a number's symbol."""
     t, k = view(spark, sf_dir, "ticks"), F.col("event_id")
-    text = lambda n: (k % n + n).cast("string")
-    kind = F.when(k % 6 == 4, "Q").otherwise("T")
-    far = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("789-05:00"))
-    wide = F.array(kind, far, F.lit("1700000000000000000"), F.lower("symbol"), text(30), text(31), text(32), text(33), text(34), F.col("price").cast("string"), text(900), text(3))
-    slim = F.array(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z")), F.col("symbol"), F.col("price").cast("string"))
-    message = F.when(k % 5 == 0, "H").otherwise("A")
-    return t.select("event_id", F.to_json(F.struct(message.alias("messageType"), F.when(k % 2 == 0, wide).otherwise(slim).alias("data"))).alias("value"))
+    number = lambda n: (k % n + n).cast("string")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    time = lambda form, tail: quoted(F.concat(F.date_format("ts", f"yyyy-MM-dd'{form}'HH:mm:ss.SSSSSS"), F.lit(tail)))
+    price = F.when(k % 7 == 6, quoted(F.col("price").cast("string"))).when(k % 13 == 12, F.lit('"NaN"')).otherwise(F.col("price").cast("string"))
+    kind = quoted(F.when(k % 6 == 4, "Q").otherwise("T"))
+    wide = [kind, time("T", "789-05:00"), F.lit("1700000000000000000"), quoted(F.lower("symbol")), *(number(n) for n in range(30, 35)), price, number(900), number(3), F.lit("null")]
+    slim = [F.when(k % 3 == 0, time(" ", "+0000")).otherwise(time("T", "Z")), F.when(k % 11 == 10, number(70)).otherwise(quoted(F.col("symbol"))), price]
+    message = quoted(F.when(k % 5 == 0, "H").otherwise("A"))
+    data = F.when(k % 2 == 0, F.concat_ws(",", *wide)).otherwise(F.concat_ws(",", *slim))
+    return t.select("event_id", F.concat(F.lit('{"messageType":'), message, F.lit(',"service":"iex","data":['), data, F.lit("]}")).alias("value"))
 
 
 @query("str01_ticks", oracle("""SELECT upper(symbol) AS symbol, date_trunc('second', ts) + CASE WHEN event_id % 2 = 0 THEN INTERVAL 5 HOUR ELSE INTERVAL 0 HOUR END AS ts, price, CASE WHEN event_id % 2 = 0 THEN event_id % 900 + 900 ELSE 0 END AS size
-    FROM ticks WHERE event_id % 5 <> 0 AND NOT (event_id % 2 = 0 AND event_id % 6 = 4)""", "ticks"))
+    FROM ticks WHERE event_id % 5 <> 0 AND NOT (event_id % 2 = 0 AND event_id % 6 = 4) AND event_id % 7 <> 6 AND event_id % 13 <> 12 AND NOT (event_id % 2 = 1 AND event_id % 11 = 10)""", "ticks"))
 def tick_rows(spark, sf_dir):
     return T.parsed(_frames(spark, sf_dir)).withColumn("ts", F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("ts").cast("timestamp_ntz")))
 

@@ -9,6 +9,7 @@ from almanac.functions import metrics as M
 from almanac.lens import oracle, view
 from almanac.operators import asof, holdings as H
 from almanac.plans.series import _r6
+from almanac.operators import fundamentals
 from almanac.operators.selection import quantiles, weighted_quantile
 from almanac.registry import query
 
@@ -217,23 +218,23 @@ def confusion(spark, sf_dir):
 
 
 _CONCEPTS = {"income": ("1-URGENT", 0.0), "equity": ("2-HIGH", 100000.0), "assets": ("3-MEDIUM", 0.0), "revenue": ("4-NOT SPECIFIED", 0.0), "gross": ("5-LOW", 120000.0)}
-_FILED = ", ".join(f"max(val - {shift}) FILTER (concept = '{concept}') AS {name}" for name, (concept, shift) in _CONCEPTS.items())
-_KNOWN = ", ".join(f"last_value({name} IGNORE NULLS) OVER (PARTITION BY cik ORDER BY filed) AS {name}" for name in _CONCEPTS)
+_ROW = ", ".join(f"max(val - {shift}) FILTER (concept = '{concept}') AS {name}" for name, (concept, shift) in _CONCEPTS.items())
 
 
-@query("hld10_fundamental_ratios", oracle(f"""WITH f AS (SELECT cik, filed, {_FILED} FROM facts GROUP BY cik, filed), k AS (SELECT cik, filed, {_KNOWN} FROM f), p AS (SELECT CAST(ticker AS BIGINT) AS cik, date, close, volume FROM prices)
-    SELECT p.cik, date, round(close * volume, 4) AS cap, round(CASE WHEN income > 0 THEN close * volume / income END, 6) AS pe, round(CASE WHEN equity > 0 THEN income / equity END, 6) AS roe, round(CASE WHEN equity > 0 THEN (assets - equity) / equity END, 6) AS de,
-        round(CASE WHEN revenue > 0 THEN gross / revenue END, 6) AS margin, filed FROM p ASOF LEFT JOIN k ON p.cik = k.cik AND p.date >= k.filed""", "facts", "prices"))
+@query("hld10_fundamental_ratios", oracle(f"""WITH c AS (SELECT cik, period_end, {_ROW} FROM facts GROUP BY cik, period_end), sh AS (SELECT cik, period_end AS s_end, max(val) - 60000 AS shares FROM facts WHERE fp = 'P' GROUP BY cik, period_end),
+    y AS (SELECT cik, CAST(period_end + INTERVAL 12 MONTH AS DATE) AS due, assets AS year_before FROM c), k AS (SELECT c.*, shares, year_before FROM c ASOF LEFT JOIN sh ON c.cik = sh.cik AND c.period_end >= sh.s_end ASOF LEFT JOIN y ON c.cik = y.cik AND c.period_end >= y.due),
+    p AS (SELECT CAST(ticker AS BIGINT) AS cik, date, close FROM prices), r AS (SELECT p.cik, date, period_end, income, equity, assets, revenue, gross, year_before, CASE WHEN shares > 0 THEN shares * close END AS cap FROM p ASOF LEFT JOIN k ON p.cik = k.cik AND p.date >= k.period_end),
+    x AS (SELECT *, CASE WHEN assets > 0 THEN income / assets END AS roa, CASE WHEN year_before > 0 THEN assets / year_before - 1 END AS growth, CASE WHEN revenue > 0 THEN gross / revenue END AS margin FROM r)
+    SELECT cik, date, round(cap, 0) AS cap, round(CASE WHEN income > 0 THEN cap / income END, 6) AS pe, round(CASE WHEN equity > 0 THEN income / equity END, 6) AS roe, round(CASE WHEN equity > 0 THEN (assets - equity) / equity END, 6) AS de, round(margin, 6) AS margin,
+        round(CASE WHEN abs(roa) <= 100 THEN roa END, 6) AS roa, round(CASE WHEN abs(growth) <= 100 THEN growth END, 6) AS investment_growth, round(CASE WHEN abs(margin) <= 100 THEN margin END, 6) AS gross_profitability, period_end FROM x""", "facts", "prices"))
 def fundamental_ratios(spark, sf_dir):
-    """Ratios of each price by the facts filed until then, each concept's newest; none by a denominator of zero or less."""
     value = lambda concept, shift: F.max(F.when(F.col("concept") == concept, F.col("val") - shift))
-    f = view(spark, sf_dir, "facts").groupBy("cik", "filed").agg(*(value(*of).alias(name) for name, of in _CONCEPTS.items()))
-    w = Window.partitionBy("cik").orderBy("filed").rowsBetween(Window.unboundedPreceding, 0)
-    f = f.select("cik", "filed", *(F.last(name, ignorenulls=True).over(w).alias(name) for name in _CONCEPTS))
-    p = view(spark, sf_dir, "prices").select(F.col("ticker").cast("bigint").alias("cik"), "date", "close", "volume")
-    p = asof.asof_join(p.withColumn("cap", F.col("close") * F.col("volume")), f, ["cik"], "date", "filed", [*_CONCEPTS, "filed"])
-    by = lambda a, b: F.round(M.ratio(a, F.col(b)), 6)
-    return p.select("cik", "date", F.round("cap", 4).alias("cap"), by(F.col("cap"), "income").alias("pe"), by(F.col("income"), "equity").alias("roe"), by(F.col("assets") - F.col("equity"), "equity").alias("de"), by(F.col("gross"), "revenue").alias("margin"), "filed")
+    facts = view(spark, sf_dir, "facts")
+    rows = facts.groupBy("cik", "period_end").agg(*(value(*of).alias(name) for name, of in _CONCEPTS.items()))
+    shares = facts.where("fp = 'P'").groupBy("cik", "period_end").agg((F.max("val") - 60000).alias("shares"))
+    prices = view(spark, sf_dir, "prices").select(F.col("ticker").cast("bigint").alias("cik"), "date", "close")
+    df = fundamentals.ratios(prices, fundamentals.company_rows(rows, shares), "cik", "date", "close")
+    return df.select("cik", "date", F.round("cap", 0).alias("cap"), *(F.round(c, 6).alias(c) for c in ("pe", "roe", "de", "margin", "roa", "investment_growth", "gross_profitability")), "period_end")
 
 
 @query("hld11_universe_features", oracle("""WITH s AS (SELECT o_custkey, arg_max(o_orderpriority, (CAST(o_orderdate AS DATE), o_orderpriority)) AS label FROM orders WHERE o_orderkey % 3 = 0 GROUP BY o_custkey), u AS (SELECT c_custkey, c_name AS ticker, c_nationkey, CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS own, c_acctbal > -500 AS is_active FROM customer),

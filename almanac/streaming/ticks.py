@@ -2,26 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: A time with its offset from UTC; T or one blank may stand between day and time.
+STAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
+NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
+
+
+def _number(cell: Column) -> Column:
+    """A cell that is a JSON number as a double; text that reads like one is none, true and false are one and zero."""
+    return F.when(cell["kind"] == "BOOLEAN", (cell["text"] == "true").cast("double")).when(cell["kind"].rlike(NUMBER), cell["text"].try_cast("double"))
+
+
 def parsed(frames: DataFrame, payload: str = "value") -> DataFrame:
     """(symbol, ts, price, size) of trade frames {messageType: 'A', data: [...]}; ts to the second.
 
     A full trade array is [T, time, nanoseconds, symbol, ...] with the last price tenth and its size eleventh; a slim one is
-    [time, symbol, price] and has size 0, as has a trade without a readable one. A time that can't be read, or names no
-    offset from UTC, is the time of arrival. Quotes, heartbeats, unreadable frames and trades without a price go.
+    [time, symbol, price], its symbol a text, and has size 0, as has a trade without a readable one. Values keep their JSON
+    kind: a price is a number, one that is sent as text goes. A time that can't be read, or names no offset from UTC, is the
+    time of arrival. Quotes, heartbeats, unreadable frames and trades without a price or symbol go.
     """
-    f = frames.select(F.from_json(payload, "messageType string, data array<string>").alias("f")).where("f.messageType = 'A'").select("f.data")
-    slim = F.size("data") == 3
-    keep = slim | ((F.size("data") >= 11) & (F.get("data", F.lit(0)) == "T"))
-    pick = lambda a, b: F.when(slim, F.get("data", F.lit(a))).otherwise(F.get("data", F.lit(b)))
-    stamp = pick(0, 1)
-    # Digits beyond microseconds are cut.
-    read = F.when(stamp.rlike(r"T.*(?:Z|[+-]\d{2}:?\d{2})$"), F.regexp_replace(stamp, r"(\.\d{6})\d+", "$1").try_cast("timestamp"))
-    size = F.when(slim, F.lit(0)).otherwise(F.coalesce(F.get("data", F.lit(10)).try_cast("double"), F.lit(0)))
-    rows = f.where(keep).select(F.upper(pick(1, 3)).alias("symbol"), F.date_trunc("second", F.coalesce(read, F.current_timestamp())).alias("ts"), pick(2, 9).try_cast("double").alias("price"), size.cast("bigint").alias("size"))
+    # Kind and text of each value are made once; all else is said of these.
+    cell = lambda v: F.struct(F.schema_of_variant(v).alias("kind"), F.try_variant_get(v, "$", "string").alias("text"))
+    doc = frames.select(F.try_parse_json(F.col(payload).cast("string")).alias("doc")).where(F.try_variant_get("doc", "$.messageType", "string") == "A")
+    f = doc.select(F.transform(F.try_variant_get("doc", "$.data", "array<variant>"), cell).alias("data"))
+    at = lambda k: F.get("data", F.lit(k))
+    slim = (F.size("data") == 3) & (at(1)["kind"] == "STRING")
+    full = (F.size("data") >= 11) & (at(0)["text"] == "T")
+    trade = lambda *places: F.struct(*(at(k).alias(name) if k is not None else F.lit(None).cast("struct<kind:string,text:string>").alias(name) for k, name in zip(places, ("time", "symbol", "price", "size"), strict=True)))
+    f = f.select(F.when(slim, trade(0, 1, 2, None)).when(full, trade(1, 3, 9, 10)).alias("t")).where("t IS NOT NULL")
+    stamp = F.col("t.time.text")
+    offset = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.replace(stamp, F.lit(","), F.lit(".")), r"^(.{16})(?=Z|[+-])", "$1:00"), r"([+-]\d{2})$", "$1:00"), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    read = F.when(stamp.rlike(STAMP), offset.try_cast("timestamp"))
+    size = F.coalesce(_number(F.col("t.size")), F.col("t.size.text").try_cast("bigint").cast("double"), F.lit(0.0))
+    symbol = F.when(_number(F.col("t.symbol")) == 0, "").otherwise(F.upper(F.col("t.symbol.text")))
+    rows = f.select(symbol.alias("symbol"), F.date_trunc("second", F.coalesce(read, F.current_timestamp())).alias("ts"), _number(F.col("t.price")).alias("price"), size.cast("bigint").alias("size"))
     return rows.where("symbol <> '' AND price IS NOT NULL")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from almanac.functions import metrics as M
-from almanac.operators import asof, factors, fits, holdings, peers, pit, quality, regimes, regress, returns
+from almanac.operators import asof, factors, fits, fundamentals, holdings, peers, pit, quality, regimes, regress, returns
 from almanac.sources import payloads
 from almanac.streaming import ticks
 
@@ -303,3 +303,33 @@ def test_the_first_batch_of_a_key_stays(spark, tmp_path):
         for again in range(2):
             ticks.append_new(spark.readStream.schema("k string, v double").parquet(src), out, ["k"], str(tmp_path / f"state{k}{again}")).awaitTermination()
     assert sorted((r.k, r.v) for r in spark.read.parquet(out).collect()) == [("a", 1.0), ("b", 5.0)]
+
+
+def test_ticks_keep_the_kind_of_their_values(spark):
+    """A price is a JSON number, never text; a slim frame's symbol is text; any offset and a blank for the T are read."""
+    slim = lambda time, symbol, price: f'{{"messageType":"A","data":[{time},{symbol},{price}]}}'
+    wide = lambda symbol, price, size: f'{{"messageType":"A","data":["T","2024-01-01T05:00:00.1Z",1,{symbol},1,2,3,4,5,{price},{size}]}}'
+    good = '"2024-01-01T05:00:00Z"'
+    kept = {
+        slim('"2024-01-01 05:00:00+00:00"', '"a"', 1): 1.0, slim('"2024-01-01 10:30:00.123456789+0530"', '"a"', 2): 2.0, slim('"2024-01-01T03:00:00-02"', '"a"', 3.5): 3.5, slim('"2024-01-01T05:00Z"', '"a"', 4): 4.0,
+        slim(good, '"a"', "5e0"): 5.0, slim(good, '"a"', "true"): 1.0, wide('"a"', 6, '"70"'): 6.0, wide('"a"', 7, 70.9): 7.0, wide('"a"', 123456789012345678901234567890, "{}"): 1.2345678901234568e29,
+    }
+    gone = [slim(good, '"a"', '"1.5"'), slim(good, '"a"', '"NaN"'), slim(good, 5, 1), slim(good, '""', 1), slim(good, '"a"', "[1]"), wide("null", 1, 1), wide('""', 1, 1), wide("0", 1, 1), '{"messageType":"A","data":{"a":1}}', '{"messageType":5}', "[1]", "", None]
+    got = ticks.parsed(spark.createDataFrame([(f,) for f in [*kept, *gone]], "value string")).collect()
+    assert sorted(r.price for r in got) == sorted(kept.values())
+    assert {r.ts for r in got} == {dt.datetime(2024, 1, 1, 5)} and {r.symbol for r in got} == {"A"}
+    assert sorted(r["size"] for r in got if r.price in (6.0, 7.0)) == [70, 70]
+    assert [r.symbol for r in ticks.parsed(spark.createDataFrame([(wide("55", 1, 1),)], "value string")).collect()] == ["55"]
+
+
+def test_ratios_are_of_one_period(spark):
+    d = lambda m: dt.date(2020, m, 28)
+    periods = [(1, d(1), 10.0, 50.0, 100.0, 20.0, 5.0), (1, d(3), None, 60.0, None, 0.0, 7.0), (2, d(2), 5.0, -1.0, 10.0, 10.0, 2000.0), (1, dt.date(2019, 1, 1), 1.0, 1.0, 80.0, 1.0, 1.0)]
+    rows = fundamentals.company_rows(spark.createDataFrame(periods, "cik int, period_end date, income double, equity double, assets double, revenue double, gross double"), spark.createDataFrame([(1, d(1), 4.0), (2, d(1), 0.0)], "cik int, period_end date, shares double"))
+    prices = spark.createDataFrame([(1, d(2), 3.0), (1, d(4), 2.0), (2, d(4), 1.0), (3, d(4), 1.0), (1, d(3), None)], "cik int, date date, close double")
+    got = {(r.cik, r.date): r for r in fundamentals.ratios(prices, rows, "cik", "date", "close").collect()}
+    a, b, c, none, e = (got[k] for k in ((1, d(2)), (1, d(4)), (2, d(4)), (3, d(4)), (1, d(3))))
+    assert (a.cap, a.pe, a.roe, a.de, a.margin, a.roa, a.investment_growth) == (12.0, 1.2, 0.2, 1.0, 0.25, 0.1, 0.25) and a.period_end == d(1)
+    # The newest row lacks income and assets: they aren't taken from the row before.
+    assert (b.cap, b.pe, b.roe, b.de, b.margin, b.roa, b.period_end) == (8.0, None, None, None, None, None, d(3))
+    assert (c.cap, c.roe, c.margin, c.gross_profitability) == (None, None, 200.0, None) and none.period_end is None and e.cap is None
