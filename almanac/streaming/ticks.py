@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from almanac.sources.sinks import merge_into, one_a_key
+
 
 #: A time with its offset from UTC; T or one blank may stand between day and time.
 STAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
@@ -61,16 +63,18 @@ def bars(ticks: DataFrame, width: str = "1 hour", late: str = "2 hours") -> Data
     return b.select("symbol", F.col("w.start").alias("start"), "open", "high", "low", "close", "n")
 
 
-def append_new(stream: DataFrame, path: str, key: list[str], checkpoint: str):
+def append_new(stream: DataFrame, path: str, key: list[str], checkpoint: str, by: str | None = None):
     """Start a query that appends each batch's rows whose key the table at path lacks; a repeated batch adds nothing.
 
-    Of rows of one key in a batch the least by its other columns stays. Of the table only the key columns are read.
+    Of rows of one key in a batch the least by its other columns stays. Of the table only the key columns are read; with
+    ``by``, a column of the key that partitions the table, only those of the partitions that the batch touches.
     """
-    rest = [c for c in stream.columns if c not in key]
 
     def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_rest")).select(*key, "_rest.*")
+        if by:
+            merge_into(path, batch, key, by, update=False)
+            return
+        spark, fresh = batch.sparkSession, one_a_key(batch, key)
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         if where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
             fresh = fresh.join(spark.read.schema(fresh.schema).parquet(path).select(key), key, "left_anti")
