@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -89,6 +91,8 @@ def release() -> None:
     _kept.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def sliced(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
