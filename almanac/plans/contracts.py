@@ -15,6 +15,7 @@ from almanac.plans.series import _r6, _ret
 from almanac.registry import query
 from almanac.sources import payloads as P
 from almanac.sources import sinks
+from almanac.streaming import sessions
 from almanac.streaming import ticks as T
 from almanac.work import scratch
 
@@ -404,10 +405,28 @@ def tick_rows(spark, sf_dir):
     return T.parsed(_frames(spark, sf_dir)).withColumn("ts", F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("ts").cast("timestamp_ntz")))
 
 
-@query("str02_routing", oracle("SELECT session, count(*) AS n FROM ticks JOIN (SELECT c_name AS session, CAST(c_custkey % 50 AS VARCHAR) AS symbol FROM customer WHERE c_acctbal > 5000) USING (symbol) GROUP BY session", "ticks"))
+#: Sessions ask for a symbol from their own day on, a third of them for five days; a subscription lasts twelve days.
+_ASKED = "asked AS (SELECT c_name AS session, CAST(c_custkey % 50 AS VARCHAR) AS symbol, start + c_custkey % 20 * INTERVAL 1 DAY AS since, c_custkey % 3 = 0 AS leaves FROM customer, (SELECT date_trunc('day', min(ts)) AS start FROM ticks) WHERE c_acctbal > 5000)"
+_DAY = 86_400_000
+
+
+@query("str02_routing", oracle(f"""WITH {_ASKED} SELECT session, symbol, count(*) AS n, round(sum(price), 4) AS total FROM asked JOIN ticks t USING (symbol)
+    WHERE t.ts >= since AND t.ts < since + INTERVAL 12 DAY AND NOT (leaves AND t.ts >= since + INTERVAL 5 DAY) GROUP BY session, symbol""", "ticks"))
 def routing(spark, sf_dir):
-    subs = view(spark, sf_dir, "customer").where("c_acctbal > 5000").select(F.col("c_name").alias("session"), (F.col("c_custkey") % 50).cast("string").alias("symbol"))
-    return T.routed(view(spark, sf_dir, "ticks"), subs).groupBy("session").agg(F.count("*").alias("n"))
+    """Ticks and messages as two streams; who is subscribed is state, and who asked too long ago gets no more."""
+    ticks, messages, out = scratch(spark, "ticks"), scratch(spark, "messages"), scratch(spark, "out")
+    t = view(spark, sf_dir, "ticks").select("symbol", "ts", "price", F.lit(1).cast("bigint").alias("size"))
+    start = F.broadcast(t.agg(F.date_trunc("day", F.min("ts")).alias("start")))
+    asked = view(spark, sf_dir, "customer").where("c_acctbal > 5000").crossJoin(start)
+    asked = asked.select(F.col("c_name").alias("session"), F.array((F.col("c_custkey") % 50).cast("string")).alias("symbols"), (F.col("c_custkey") % 3 == 0).alias("leaves"), F.expr("start + make_interval(0, 0, 0, cast(c_custkey % 20 AS int))").alias("ts"))
+    left = asked.where("leaves").select(F.expr("ts + INTERVAL 5 DAY").alias("ts"), "session", F.lit("unsubscribe").alias("action"), "symbols")
+    t.write.parquet(ticks)
+    asked.select("ts", "session", F.lit("subscribe").alias("action"), "symbols").unionByName(left).write.parquet(messages)
+    sessions.keyed_state(spark)
+    found = sessions.deliveries(spark.readStream.schema("symbol string, ts timestamp, price double, size bigint").parquet(ticks), spark.readStream.schema("ts timestamp, session string, action string, symbols array<string>").parquet(messages), 12 * _DAY)
+    found.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(sessions.DELIVERED).parquet(out).where("kind = 'tick'")
+    return rows.groupBy("session", "symbol").agg(F.count("*").alias("n"), F.round(F.sum("price"), 4).alias("total"))
 
 
 def _streamed(spark, sf_dir, build, mode: str):
@@ -418,14 +437,17 @@ def _streamed(spark, sf_dir, build, mode: str):
     if mode == "append":
         q = stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start()
     else:
-        q = stream.writeStream.outputMode(mode).foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start()
+        q = stream.writeStream.outputMode(mode).foreachBatch(lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
 @query("str03_last_prices", oracle("SELECT symbol, max(ts) AS ts, arg_max(price, (ts, price)) AS price FROM ticks GROUP BY symbol", "ticks"))
 def last_prices(spark, sf_dir):
-    return _streamed(spark, sf_dir, T.last_prices, "complete").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    """Each batch tells the symbols it has ticks of; of what was told the newest holds."""
+    sessions.keyed_state(spark)
+    told = _streamed(spark, sf_dir, lambda t: sessions.aging_prices(t, 400 * _DAY), "update").where("NOT expired")
+    return told.groupBy("symbol").agg(F.max("ts").cast("timestamp_ntz").alias("ts"), F.max_by("price", F.struct("ts", "price")).alias("price"))
 
 
 @query("str04_bars", oracle("""WITH t AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS start, max(ts) OVER () AS top FROM ticks)
