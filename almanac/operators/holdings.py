@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.work import checkpointed
+
 
 def overlap(fund: DataFrame, benchmark: DataFrame, key: str = "series_id", item: str = "cusip", weight: str = "w") -> DataFrame:
     """One row per fund against one benchmark (item, weight): active share, overlap, jaccard and counts.
@@ -27,29 +29,45 @@ def overlap(fund: DataFrame, benchmark: DataFrame, key: str = "series_id", item:
     )
 
 
-def look_through(holdings: DataFrame, edges: DataFrame, depth: int = 2) -> DataFrame:
-    """Leaves (root, level, pct, child, report_date and the holding's own columns) after expanding funds held by funds.
+def look_through(holdings: DataFrame, edges: DataFrame, depth: int | None = 2) -> DataFrame:
+    """Leaves (root, level, pct, gross, paths, child, report_date and the holding's own columns) after expanding funds held by funds.
 
     holdings: (series_id, report_date, cusip, pct, ...), latest report per series. edges: (cusip, child). A holding whose
-    child has holdings, is no ancestor and lies above ``depth`` is replaced by the child's holdings at the compounded
-    weight. The ancestors of a level are the root and the funds walked before it, not the fund walked at it. Rows without a
-    weight are left out. Each level is one equi-join.
+    child has holdings, is no ancestor and lies above ``depth`` (None: at any level) is replaced by the child's holdings at
+    the compounded weight. The ancestors of a level are the root and the funds walked before it, not the fund walked at it.
+    Rows without a weight are left out.
+
+    The holdings are read once. A frontier of (root, fund, ancestors) goes down level by level, until none of its funds
+    holds another one to expand: it meets only the rows that can be expanded, few among all, and ways that lead to the same
+    fund over the same ancestors are one from there on. A leaf is a holding of a fund of the frontier: paths says by how
+    many ways it was reached, pct is their sum and gross that of their sizes.
     """
     holdings = holdings.where("pct IS NOT NULL")
     known = holdings.select(F.col("series_id").alias("child")).distinct().withColumn("has", F.lit(True))
     cols = [c for c in holdings.columns if c not in ("series_id", "pct")]
     tagged = holdings.join(edges, "cusip", "left").join(known, "child", "left")
-    level = tagged.select(F.col("series_id").alias("root"), F.col("series_id").alias("walked"), F.array("series_id").alias("ancestors"), F.lit(1.0).alias("weight"), *cols, F.col("pct").alias("raw"), "child", "has")
-    leaves = None
-    for k in range(depth + 1):
-        expand = F.coalesce(F.col("has"), F.lit(False)) & ~F.array_contains("ancestors", F.coalesce("child", F.lit(""))) & F.lit(k < depth)
-        done = level.where(~expand).select("root", F.lit(k).alias("level"), (F.col("raw") * F.col("weight")).alias("pct"), "child", *cols)
+    tagged = checkpointed(tagged.select(F.col("series_id").alias("walked"), *cols, F.col("pct").alias("raw"), "child", F.coalesce("has", F.lit(False)).alias("has")))
+    # Few rows hold a fund, so these are their own small table.
+    funds = checkpointed(tagged.where("has").groupBy("walked", "child").agg(F.sum("raw").alias("raw"), F.sum(F.abs("raw")).alias("size"), F.count("*").alias("ways")))
+    own = F.array("walked").alias("ancestors")
+    frontier = tagged.select("walked").distinct().select(F.col("walked").alias("root"), "walked", own, F.lit(1.0).alias("weight"), F.lit(1.0).alias("size"), F.lit(1).cast("bigint").alias("paths"))
+    leaves, level = None, 0
+    while True:
+        last = depth is not None and level == depth
+        opens = F.col("has") & ~F.array_contains("ancestors", F.coalesce("child", F.lit(""))) & F.lit(not last)
+        below = tagged.withColumns({"root": F.col("walked"), "ancestors": own, "weight": F.lit(1.0), "size": F.lit(1.0), "paths": F.lit(1).cast("bigint")}) if level == 0 else frontier.join(tagged, "walked")
+        pct, gross = F.col("raw") * F.col("weight"), F.abs("raw") * F.col("size")
+        done = below.where(~opens).select("root", F.lit(level).alias("level"), pct.alias("pct"), gross.alias("gross"), "paths", "child", *cols)
         leaves = done if leaves is None else leaves.unionByName(done)
-        if k == depth:
+        if last:
+            return leaves
+        f = funds.withColumnsRenamed({"raw": "_raw", "size": "_size"})
+        deeper = frontier.join(f, "walked").where(~F.array_contains("ancestors", F.col("child")))
+        deeper = deeper.select("root", F.col("child").alias("walked"), F.array_sort(F.array_union("ancestors", F.array("walked"))).alias("ancestors"), (F.col("weight") * F.col("_raw") / 100).alias("weight"), (F.col("size") * F.col("_size") / 100).alias("size"), (F.col("paths") * F.col("ways")).alias("paths"))
+        frontier = checkpointed(deeper.groupBy("root", "walked", "ancestors").agg(*(F.sum(c).alias(c) for c in ("weight", "size", "paths"))))
+        if frontier.isEmpty():
             return leaves
-        up = level.where(expand).select("root", F.col("child").alias("walked"), F.array_union("ancestors", F.array("walked")).alias("ancestors"), (F.col("weight") * F.col("raw") / 100).alias("weight"))
-        below = tagged.select(F.col("series_id").alias("walked"), *cols, F.col("pct").alias("raw"), "child", "has")
-        level = up.join(below, "walked")
+        level += 1
 
 
 def exposures(leaves: DataFrame, dimensions: list[str]) -> DataFrame:
@@ -63,8 +81,8 @@ def residuals(leaves: DataFrame, derivative: list[str]) -> DataFrame:
     """Per root: what could not be decomposed, derivatives gross and net, the oldest report in the chain."""
     is_derivative = F.col("asset_class").isin(derivative)
     return leaves.groupBy("root").agg(
-        F.sum(F.when(F.col("child").isNotNull(), F.abs("pct")).otherwise(0.0)).alias("nondecomposable"), F.sum(F.when(is_derivative, F.abs("pct")).otherwise(0.0)).alias("derivatives_gross"),
-        F.sum(F.when(is_derivative, F.col("pct")).otherwise(0.0)).alias("derivatives_net"), F.sum("pct").alias("total"), F.min("report_date").alias("oldest"), F.count("*").alias("n"),
+        F.sum(F.when(F.col("child").isNotNull(), F.col("gross")).otherwise(0.0)).alias("nondecomposable"), F.sum(F.when(is_derivative, F.col("gross")).otherwise(0.0)).alias("derivatives_gross"),
+        F.sum(F.when(is_derivative, F.col("pct")).otherwise(0.0)).alias("derivatives_net"), F.sum("pct").alias("total"), F.min("report_date").alias("oldest"), F.sum("paths").alias("n"),
     )
 
 

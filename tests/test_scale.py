@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from almanac.operators import asof, regimes, rolling, selection, slices
+from almanac.operators import asof, holdings, regimes, rolling, selection, slices
 
 DAY = dt.date(2000, 1, 1)
 
@@ -166,3 +166,38 @@ def test_band_regime_of_a_hot_entity(spark, monkeypatch):
     monkeypatch.setattr(rolling, "WHOLE", 100)
     monkeypatch.setattr(rolling, "SLICE_ROWS", 50)
     assert Counter(plain) == Counter(regimes.band_regime(df, ["k"], "d", "x", 40, 20, 0.2, 0.3).collect())
+
+
+def plain_leaves(rows, child_of, depth):
+    """The walk as a recursion: (root, level, item) to (paths, pct, gross)."""
+    out, held = {}, {}
+    for fund, item, pct in rows:
+        held.setdefault(fund, []).append((item, pct))
+
+    def walk(root, fund, ancestors, weight, level):
+        for item, pct in held[fund]:
+            child = child_of.get(item)
+            if child in held and child not in ancestors and (depth is None or level < depth):
+                walk(root, child, ancestors | {fund}, weight * pct / 100, level + 1)
+            else:
+                n, a, b = out.get((root, level, item), (0, 0.0, 0.0))
+                out[root, level, item] = n + 1, a + pct * weight, b + abs(pct * weight)
+
+    for fund in held:
+        walk(fund, fund, {fund}, 1.0, 0)
+    return out
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 4, None])
+def test_look_through_of_any_depth(spark, depth):
+    """Chains, cycles, self-holders, two ways to one fund, short positions, one fund held twice by another."""
+    rng, funds = random.Random(8), [f"f{k}" for k in range(7)]
+    rows = [(f, f"stock{k}", rng.uniform(-10, 40)) for f in funds for k in rng.sample(range(6), 3)]
+    rows += [(f, f"i{g}", rng.uniform(-20, 30)) for f in funds for g in rng.sample(funds, 3)] + [("f0", "other-f1", 5.0), ("f2", "i-unknown", 1.0), ("f3", "stock1", None)]
+    child_of = {f"i{f}": f for f in funds} | {"other-f1": "f1", "i-unknown": "nobody"}
+    want = plain_leaves([r for r in rows if r[2] is not None], child_of, depth)
+    held = spark.createDataFrame([(f, DAY, i, "EQ", p) for f, i, p in rows], "series_id string, report_date date, cusip string, asset_class string, pct double")
+    leaves = holdings.look_through(held, spark.createDataFrame(list(child_of.items()), "cusip string, child string"), depth)
+    got = {(r.root, r.level, r.cusip): (r.n, r.pct, r.gross) for r in leaves.groupBy("root", "level", "cusip").agg(F.sum("paths").alias("n"), F.sum("pct").alias("pct"), F.sum("gross").alias("gross")).collect()}
+    assert set(got) == set(want) and all(got[k][0] == want[k][0] and got[k][1:] == pytest.approx(want[k][1:], abs=1e-9) for k in want)
+    assert holdings.look_through(held.limit(0), held.select("cusip", F.col("series_id").alias("child")).limit(0), depth).collect() == []
