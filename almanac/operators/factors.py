@@ -13,15 +13,12 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.operators.peers import average_rank_share
+from almanac.operators.peers import rank_shares
 
 
 def panel(characteristics: DataFrame, returns: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
-    """Complete rows of both sides by key, each characteristic ranked within its month to [-1/2, 1/2]."""
-    df = characteristics.join(returns, key).dropna()
-    for c in cols:
-        df = average_rank_share(df, [key[1]], c, f"_{c}").drop(c).withColumnRenamed(f"_{c}", c)
-    return df
+    """Complete rows of both sides by key (entity, month), each characteristic ranked within its month to [-1/2, 1/2]."""
+    return rank_shares(characteristics.join(returns, key).dropna(), [key[1]], cols)
 
 
 def month_sums(df: DataFrame, month: str, cols: list[str], r: str, *by: str) -> DataFrame:

@@ -317,4 +317,4 @@ def multi_factor(spark, sf_dir):
     SELECT instrument_id, month, round((rank() OVER (PARTITION BY month ORDER BY x) + (count(*) OVER (PARTITION BY month, x) - 1) / 2.0) / count(*) OVER (PARTITION BY month) - 0.5, 6) AS rank_share FROM m""", "nav"))
 def rank_panel(spark, sf_dir):
     m = view(spark, sf_dir, "nav").groupBy("instrument_id", F.trunc("nav_date", "month").alias("month")).agg(F.round(F.max_by("nav", "nav_date") / F.min_by("nav", "nav_date") - 1, 9).alias("x"))
-    return _r6(peers.average_rank_share(m, ["month"], "x", "rank_share").select("instrument_id", "month", "rank_share"))
+    return _r6(peers.rank_shares(m.select("instrument_id", "month", F.col("x").alias("rank_share")), ["month"], ["rank_share"]))

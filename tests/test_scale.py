@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from almanac.operators import asof, holdings, regimes, rolling, selection, slices
+from almanac.operators import asof, holdings, peers, regimes, rolling, selection, slices
 
 DAY = dt.date(2000, 1, 1)
 
@@ -201,3 +201,28 @@ def test_look_through_of_any_depth(spark, depth):
     got = {(r.root, r.level, r.cusip): (r.n, r.pct, r.gross) for r in leaves.groupBy("root", "level", "cusip").agg(F.sum("paths").alias("n"), F.sum("pct").alias("pct"), F.sum("gross").alias("gross")).collect()}
     assert set(got) == set(want) and all(got[k][0] == want[k][0] and got[k][1:] == pytest.approx(want[k][1:], abs=1e-9) for k in want)
     assert holdings.look_through(held.limit(0), held.select("cusip", F.col("series_id").alias("child")).limit(0), depth).collect() == []
+
+
+def test_rank_shares_of_many_columns(spark):
+    rng = random.Random(6)
+    cell = lambda: None if rng.random() < 0.1 else rng.choice([rng.gauss(0, 1), 0.0, float(rng.randrange(3))])
+    rows = [(f"e{k}", DAY + dt.timedelta(31 * (k % 3)), cell(), cell(), cell(), float(k)) for k in range(400)]
+    df = spark.createDataFrame(rows, "e string, m date, a double, b double, c double, r double")
+    want = df
+    for c in "abc":
+        want = peers.average_rank_share(want, ["m"], c, f"_{c}").drop(c).withColumnRenamed(f"_{c}", c)
+    plain = {r.e: (r.m, r.a, r.b, r.c, r.r) for r in want.collect()}
+    for buckets in (2, 256):
+        got = peers.rank_shares(df, ["m"], ["a", "b", "c"], buckets)
+        assert got.columns == df.columns and {r.e: (r.m, r.a, r.b, r.c, r.r) for r in got.collect()} == plain
+    shuffles = lambda cols: peers.rank_shares(df, ["m"], cols)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles(["a"]) == shuffles(["a", "b", "c"])
+
+
+def test_one_month_of_very_many_entities(spark):
+    """Half of a million entities share one value, the others differ: the ranks are right and no window holds more than its part."""
+    n = 1_000_000
+    value = F.when(F.col("id") % 2 == 0, 0.0).otherwise(F.col("id").cast("double"))
+    df = spark.range(n).select("id", F.lit(DAY).alias("m"), value.alias("x"))
+    r = peers.rank_shares(df, ["m"], ["x"]).agg(F.sum("x").alias("s"), F.min("x").alias("low"), F.max("x").alias("high"), F.count_if(F.col("x") == (n / 2 + 1) / 2 / n - 0.5).alias("ties")).first()
+    assert (r.high, r.ties) == (0.5, n // 2) and r.low == (n / 2 + 1) / 2 / n - 0.5 and r.s == pytest.approx(0.5, abs=1e-6)
