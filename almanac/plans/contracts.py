@@ -15,6 +15,7 @@ from almanac.plans.series import _r6, _ret
 from almanac.registry import query
 from almanac.sources import payloads as P
 from almanac.sources import sinks
+from almanac.sources.archives import archive, archived
 from almanac.streaming import sessions
 from almanac.streaming import ticks as T
 from almanac.work import scratch
@@ -95,9 +96,8 @@ def insider_transactions(spark, sf_dir):
         "owner": o.select(acc, F.explode(F.array(F.col("o_custkey"), F.col("o_custkey") + 500000)).alias("owner")).select("ACCESSION_NUMBER", F.lpad(F.col("owner").cast("string"), 8, "0").alias("RPTOWNERCIK")),
         "transaction": o.select(acc, acc.alias("TRANS_SK"), F.date_format("o_orderdate", "dd-MMM-yyyy").alias("TRANSACTION_DATE"), code.alias("TRANSACTION_CODE"), F.col("o_custkey").alias("TRANSACTION_SHARES"), F.lit("2.5").alias("TRANSACTION_PRICEPERSHARE"), F.lit(None).cast("string").alias("SIDE")),
     }
-    for name, df in tables.items():
-        df.write.option("header", True).option("sep", "\t").csv(f"{path}/{name}")
-    df = P.insider_transactions(*(P.tsv(spark, f"{path}/{n}") for n in tables))
+    archive({f"{name}.tsv": df for name, df in tables.items()}, "ACCESSION_NUMBER", 8, path)
+    df = P.insider_transactions(*(archived(spark, path, f"{name.upper()}.TSV", df.columns) for name, df in tables.items()))
     return df.select(F.col("ACCESSION_NUMBER").alias("accession"), F.col("TRANS_SK").alias("trans_sk"), F.col("ISSUERCIK").alias("issuer"), F.ltrim("RPTOWNERCIK", F.lit("0")).alias("owner"), "transaction_date", F.col("value_usd").cast("double").alias("value_usd"), "buy_sell")
 
 
@@ -108,7 +108,9 @@ def reported_flows(spark, sf_dir):
     money = lambda c: F.format_number(c, 2)
     sub = f.select("ACCESSION_NUMBER", F.initcap(day).alias("REPORT_DATE"), F.initcap(day).alias("FILING_DATE"))
     info = f.select("ACCESSION_NUMBER", F.col("series_id").alias("SERIES_ID"), money("sales").alias("SALES"), money("net_assets").alias("NET_ASSETS"))
-    df = P.reported_flows(sub, info)
+    path = scratch(spark, "zip")
+    archive({"SUBMISSION.tsv": sub, "INFO.tsv": info.withColumn("NOTE", F.lit("not read"))}, "ACCESSION_NUMBER", 4, path)
+    df = P.reported_flows(archived(spark, path, "SUBMISSION.tsv", sub.columns), archived(spark, path, "INFO.tsv", info.columns))
     return df.select(F.col("ACCESSION_NUMBER").alias("accession"), F.col("SERIES_ID").alias("series_id"), "report_date", F.col("sales").cast("double").alias("sales"), F.col("net_assets").cast("double").alias("net_assets"))
 
 
