@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,33 +68,92 @@ def grid_metrics(replay: DataFrame, date: str) -> DataFrame:
     )
 
 
+def two_set_replay(scores: DataFrame, config: list[str], mode: str, date: str, axis: str, first_axis: str, enter: str, leave: str) -> DataFrame:
+    """(config, date, changed, sign_changed, valid): every configuration of a grid over two information sets in one pass.
+
+    scores: (config, mode, date, axis, score, enter, leave), modes ``latest`` and ``first``: what was known then with later
+    revisions, and as first released. Each axis latches the sign of a score that reaches ``enter``. changed: the candidate
+    (all axes' signs together) differs between the sets; sign_changed: the raw score of ``first_axis`` changes its sign;
+    valid: in the latest set every axis has latched and holds ``leave``. Dates that one set lacks are left out.
+    """
+    order = Window.partitionBy(*config, mode, axis).orderBy(date)
+    df = scores.withColumn("_sign", held(F.when(F.abs("score") >= F.col(enter), F.signum("score").cast("int")), order))
+    df = df.withColumn("_ok", F.coalesce(F.col("_sign") * F.col("score") >= F.col(leave), F.lit(False)))
+    of = lambda m, c: F.max(F.when(F.col(mode) == m, F.col(c)))
+    each = df.groupBy(*config, date, axis).agg(*(of(m, c).alias(f"{m}_{n}") for m in ("latest", "first") for c, n in (("score", "score"), ("_sign", "sign"), ("_ok", "ok"))), F.count_distinct(mode).alias("_sets")).where("_sets = 2")
+    named = lambda c: F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", axis, F.coalesce(c, F.lit(0))))), "|")
+    sign = F.bool_or((F.col(axis) == first_axis) & (F.signum("latest_score") != F.signum("first_score")))
+    return each.groupBy(*config, date).agg((named("latest_sign") != named("first_sign")).alias("changed"), F.coalesce(sign, F.lit(False)).alias("sign_changed"), F.bool_and("latest_ok").alias("valid"))
+
+
+def halves(days: DataFrame, date: str) -> DataFrame:
+    """(fold, lo, hi): the whole period of days, and its two halves by the calendar."""
+    r = days.agg(F.min(date).alias("a"), F.max(date).alias("b")).withColumn("m", F.expr("date_add(a, cast(floor(datediff(b, a) / 2) AS int))"))
+    fold = lambda name, lo, hi: F.struct(F.lit(name).alias("fold"), lo.alias("lo"), hi.alias("hi"))
+    every = F.array(fold("full", F.col("a"), F.col("b")), fold("early", F.col("a"), F.col("m")), fold("late", F.date_add("m", 1), F.col("b")))
+    return r.select(F.explode(every).alias("f")).select("f.*")
+
+
 def gate_levels(folds: DataFrame, config: list[str], control: Column, target: float, conditional: float, improvement: float) -> DataFrame:
-    """Gate per configuration from rows (config, fold, n, valid, flips); the fold 'full' is the whole, the others are compared.
+    """Gate per configuration from rows (config, fold, n, valid, changed, sign_days); the fold 'full' is the whole, the others
+    are compared.
 
-    The revision rate is flips by days. A configuration passes at ``target`` or less. It passes on condition at
-    ``conditional`` or less if the rate lies ``improvement`` below the control's, relatively, and neither the flips nor the
-    share of valid days are worse than the control's. Folds improve or worsen by their rate against the control's.
+    The revision rate is the share of dates on which the candidate differs between two information sets. A configuration
+    passes at ``target`` or less. It passes on condition at ``conditional`` or less if the rate lies ``improvement`` below
+    the control's, relatively, the sign of the first axis changes on no more days, and no smaller share of days is valid.
+    Folds improve or worsen by their rate against the control's.
     """
-    df = folds.withColumn("rate", F.col("flips") / F.col("n")).withColumn("share", F.col("valid") / F.col("n"))
+    df = folds.withColumn("rate", F.col("changed") / F.col("n")).withColumn("share", F.col("valid") / F.col("n"))
     # One row a fold.
-    base = F.broadcast(df.where(control).select("fold", F.col("rate").alias("b_rate"), F.col("flips").alias("b_flips"), F.col("share").alias("b_share")))
+    base = F.broadcast(df.where(control).select("fold", F.col("rate").alias("b_rate"), F.col("sign_days").alias("b_signs"), F.col("share").alias("b_share")))
     df, whole = df.join(base, "fold"), F.col("fold") == "full"
     one = lambda c: F.max(F.when(whole, c))
     df = df.groupBy(*config).agg(
-        one(F.col("rate")).alias("rate"), one((F.col("b_rate") - F.col("rate")) / F.col("b_rate")).alias("relative_improvement"), one(F.col("flips") <= F.col("b_flips")).alias("flips_ok"), one(F.col("share") >= F.col("b_share")).alias("valid_ok"),
+        one(F.col("rate")).alias("rate"), one(F.col("share")).alias("valid_share"), one(F.col("sign_days")).alias("sign_days"), one((F.col("b_rate") - F.col("rate")) / F.nullif(F.col("b_rate"), F.lit(0.0))).alias("relative_improvement"),
+        one(F.col("sign_days") <= F.col("b_signs")).alias("signs_ok"), one(F.col("share") >= F.col("b_share")).alias("valid_ok"),
         F.count_if(~whole & (F.col("rate") < F.col("b_rate"))).alias("folds_improved"), F.count_if(~whole & (F.col("rate") > F.col("b_rate"))).alias("folds_worsened"),
     )
-    held_back = (F.col("rate") <= conditional) & (F.col("relative_improvement") >= improvement) & F.col("flips_ok") & F.col("valid_ok")
+    held_back = (F.col("rate") <= conditional) & (F.col("relative_improvement") >= improvement) & F.col("signs_ok") & F.col("valid_ok")
     return df.withColumn("level", F.when(F.col("rate") <= target, "pass").when(held_back, "conditional_pass").otherwise("fail"))
 
 
-def candidate_sets(scored: DataFrame, config: list[str], most: int, least_rate: float) -> DataFrame:
-    """Candidates (config, rate, distance) with rank and set: the ``most`` best of those that reach the rate are selected, the
-    others rejected with a reason. The grid is small, so one order holds all of it."""
-    fits = F.col("rate") >= least_rate
-    place = F.row_number().over(Window.partitionBy(fits).orderBy(F.desc("rate"), "distance", *config))
-    df = scored.withColumn("rank", F.when(fits, place))
-    return df.withColumn("set", F.when(F.col("rank") <= most, "selected").otherwise("rejected")).withColumn("reason", F.when(F.col("rank").isNull(), "rate").when(F.col("rank") > most, "rank"))
+def candidate_sets(grid: DataFrame, metrics: DataFrame, baseline: Column, limit: float | None = None) -> DataFrame:
+    """Candidates of a small grid with distance, objective, rank, set and reason.
+
+    grid: (candidate, growth_weight, inflation_weight, risk_tilt, floor_delta, cap_delta), deltas in points. metrics: one row
+    (fund_mean, market_mean, delta_mean) of the tables that the candidates are scored on. The distance is how far a candidate
+    lies from equal weights without tilt or deltas; the objective is the gap of the means, plus the balance of the weights by
+    the mean delta, plus a thousandth of the distance. Ranks go by objective, distance and name. Without a limit on the
+    objective nothing but the baseline may be selected; with one, what reaches it is. Both are numbers to twelve digits.
+    """
+    near = F.abs(F.col("growth_weight") - 0.5) + F.abs(F.col("inflation_weight") - 0.5) + F.abs("risk_tilt") + F.abs("floor_delta") / 100 + F.abs("cap_delta") / 100
+    # One row of metrics.
+    df = grid.crossJoin(F.broadcast(metrics)).withColumn("distance", F.round(near, 12))
+    value = F.abs(F.col("fund_mean") - F.col("market_mean")) + F.abs((F.col("growth_weight") - F.col("inflation_weight")) * F.col("delta_mean")) + F.col("distance") * 0.001
+    df = df.withColumn("objective", F.round(value, 12)).withColumn("rank", F.row_number().over(Window.orderBy("objective", "distance", "candidate")))
+    chosen = baseline if limit is None else F.col("objective") <= limit
+    return df.select(*grid.columns, "distance", "objective", "rank", F.when(chosen, "selected").otherwise("rejected").alias("set"), F.when(~chosen, "no_limits" if limit is None else "objective").alias("reason"))
+
+
+def fold_metrics(rows: DataFrame, folds: DataFrame, key: str, date: str, r: str, turnover: str, year: int = 252) -> DataFrame:
+    """(key, k, n, return_annualised, volatility, drawdown, turnover, turnover_mean) of each fold's test window.
+
+    rows: (key, date, r, turnover), daily returns and one-way turnovers (null: none). The return is compounded and brought
+    to a year of ``year`` rows, volatility is that of log returns, the drawdown is from the window's own peak, its start
+    included, and the turnover is the largest sum of ``year`` rows in a row; turnover_mean is its yearly mean.
+    """
+    # Folds are a few rows.
+    df = rows.join(F.broadcast(folds), (F.col(date) >= F.col("test_from")) & (F.col(date) < F.col("test_to")))
+    order = Window.partitionBy(key, "k").orderBy(date)
+    path = F.sum(F.ln(1 + F.col(r))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumn("_l", F.ln(1 + F.col(r))).withColumn("_p", path).withColumn("_t", F.coalesce(turnover, F.lit(0.0)))
+    peak = F.greatest(F.lit(0.0), F.max("_p").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    df = df.withColumn("_down", 1 - F.exp(F.col("_p") - peak)).withColumn("_run", F.sum("_t").over(order.rowsBetween(1 - year, 0)))
+    n = F.count("*")
+    return df.groupBy(key, "k").agg(
+        n.alias("n"), (F.exp(F.sum("_l") * year / n) - 1).alias("return_annualised"), (F.stddev_samp("_l") * math.sqrt(year)).alias("volatility"), F.max("_down").alias("drawdown"),
+        F.max("_run").alias("turnover"), (F.sum("_t") * year / n).alias("turnover_mean"),
+    )
 
 
 def fold_bounds(spark, first: str, last: str, train: int, test: int, step: int) -> DataFrame:

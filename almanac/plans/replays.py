@@ -6,21 +6,23 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from almanac.lens import oracle, view
-from almanac.operators import regimes as S
+from almanac.operators import pit
 from almanac.operators import replays as R
-from almanac.plans.regimes import _EVAL, _FOLDS, _SC, _configs, _evaluated, _fold_table, _scores
+from almanac.operators.positions import turnover
+from almanac.plans.joins import _CAL, _bret, _calendar
+from almanac.plans.regimes import _SC, _scores
 from almanac.plans.series import _r6, _ret
 from almanac.registry import query
 
 # The revised replay is that of scores smoothed over three days; both have the same states' thresholds.
-_BOTH = f"""{_SC}, two AS (SELECT axis, d, score AS latest, avg(score) OVER (PARTITION BY axis ORDER BY d ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS revised FROM sc WHERE axis IN ('1-URGENT', '2-HIGH')),
+_BOTH = f"""{_SC}, two AS (SELECT axis, d, score AS latest, avg(score) OVER (PARTITION BY axis ORDER BY d ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS revised FROM sc),
     rounded AS (SELECT axis, d, round(latest, 9) AS latest, round(revised, 9) AS revised FROM two),
     stated AS (SELECT *, CASE WHEN latest > 0.5 THEN 'up' WHEN latest < -0.5 THEN 'down' END AS ls, CASE WHEN revised > 0.5 THEN 'up' WHEN revised < -0.5 THEN 'down' END AS rs FROM rounded)"""
 
 
 def _both(spark, sf_dir):
     w = Window.partitionBy("axis").orderBy("d").rowsBetween(-2, 0)
-    df = _scores(spark, sf_dir).where("axis IN ('1-URGENT', '2-HIGH')").select("axis", "d", F.round("score", 9).alias("latest"), F.round(F.avg("score").over(w), 9).alias("revised"))
+    df = _scores(spark, sf_dir).select("axis", "d", F.round("score", 9).alias("latest"), F.round(F.avg("score").over(w), 9).alias("revised"))
     state = lambda c: F.when(F.col(c) > 0.5, "up").when(F.col(c) < -0.5, "down")
     return df.withColumn("latest_state", state("latest")).withColumn("revised_state", state("revised"))
 
@@ -57,27 +59,61 @@ def market_grid(spark, sf_dir):
     return _r6(R.grid_metrics(R.grid_replay(pair, grid, "d", "x", "y"), "d"))
 
 
-@query("rp12_gate_levels", oracle(f"""WITH {_SC}, {_EVAL.split(', l AS')[0]}, {_FOLDS}, l AS (SELECT enter, leave, distance, axis, d, score, last_value(CASE WHEN abs(score) >= enter THEN sign(score)::INTEGER END IGNORE NULLS) OVER (PARTITION BY enter, leave, axis ORDER BY d) AS internal FROM sc, cfg),
-    k AS (SELECT *, coalesce(internal <> lag(internal) OVER (PARTITION BY enter, leave, axis ORDER BY d), false) AS flip FROM l), m AS (SELECT enter, leave, any_value(distance) AS distance, fold, count(*) AS n, count(*) FILTER (internal * score >= leave) AS valid, count(*) FILTER (flip) AS flips FROM k JOIN folds ON d BETWEEN lo AND hi GROUP BY enter, leave, fold),
-    b AS (SELECT m.*, m.flips / m.n AS rate, c.flips / c.n AS b_rate, m.valid / m.n >= c.valid / c.n AS valid_ok, m.flips <= c.flips AS flips_ok FROM m JOIN m c ON m.fold = c.fold AND c.distance = 0),
-    g AS (SELECT enter, leave, max(rate) FILTER (fold = 'full') AS rate, max((b_rate - rate) / b_rate) FILTER (fold = 'full') AS relative_improvement, bool_or(flips_ok) FILTER (fold = 'full') AS flips_ok, bool_or(valid_ok) FILTER (fold = 'full') AS valid_ok,
-        count(*) FILTER (fold <> 'full' AND rate < b_rate) AS folds_improved, count(*) FILTER (fold <> 'full' AND rate > b_rate) AS folds_worsened FROM b GROUP BY enter, leave)
-    SELECT enter, leave, round(rate, 6) AS rate, round(relative_improvement, 6) AS relative_improvement, flips_ok, valid_ok, folds_improved, folds_worsened, CASE WHEN rate <= 0.1 THEN 'pass' WHEN rate <= 0.3 AND relative_improvement >= 0.1 AND flips_ok AND valid_ok THEN 'conditional_pass' ELSE 'fail' END AS level FROM g""", "macro"))
+#: Series of each axis, the first with the configuration's weight and the second with the rest.
+_AXES = {"1-URGENT": ("growth", True), "2-HIGH": ("growth", False), "3-MEDIUM": ("inflation", True), "5-LOW": ("inflation", False), "4-NOT SPECIFIED": ("credit", True)}
+_AXIS = "(VALUES " + ", ".join(f"('{s}', '{a}', {str(b).lower()})" for s, (a, b) in _AXES.items()) + ") x(series_id, axis, lead)"
+
+
+@query("rp12_gate_levels", oracle(f"""WITH {_CAL}, mode AS (SELECT * FROM (VALUES ('latest'), ('first')) m(mode)), cfg AS (SELECT a / 4.0 AS w, e / 4.0 AS enter, abs(a / 4.0 - 0.5) + abs(e / 4.0 - 0.5) AS distance FROM range(1, 4) t(a), range(1, 4) u(e)),
+    r AS (SELECT mode, cut, series_id, observation_period, value, row_number() OVER (PARTITION BY mode, cut, series_id, observation_period ORDER BY CASE WHEN mode = 'latest' THEN -revision_number ELSE revision_number END) AS n FROM cal, mode, vintages WHERE available_at <= CAST(cut AS TIMESTAMP)),
+    z AS (SELECT mode, cut, series_id, round(max_by(value, observation_period) / avg(value) - 1, 9) AS z FROM r WHERE n = 1 GROUP BY ALL),
+    sc AS (SELECT w, enter, distance, mode, cut, axis, round(sum(z * CASE WHEN lead THEN w ELSE 1 - w END) / sum(CASE WHEN lead THEN w ELSE 1 - w END), 9) AS score FROM z JOIN {_AXIS} USING (series_id), cfg GROUP BY ALL),
+    l AS (SELECT *, last_value(CASE WHEN abs(score) >= enter THEN sign(score)::INTEGER END IGNORE NULLS) OVER (PARTITION BY w, enter, mode, axis ORDER BY cut) AS i FROM sc),
+    p AS (SELECT w, enter, distance, cut, axis, max(score) FILTER (mode = 'latest') AS ls, max(score) FILTER (mode = 'first') AS fs, coalesce(max(i) FILTER (mode = 'latest'), 0) AS li, coalesce(max(i) FILTER (mode = 'first'), 0) AS fi FROM l GROUP BY ALL HAVING count(DISTINCT mode) = 2),
+    day AS (SELECT w, enter, distance, cut, string_agg(axis || li, '|' ORDER BY axis) <> string_agg(axis || fi, '|' ORDER BY axis) AS changed, coalesce(bool_or(sign(ls) <> sign(fs)) FILTER (axis = 'growth'), false) AS sg, bool_and(li <> 0 AND li * ls >= enter / 2) AS valid FROM p GROUP BY ALL),
+    span AS (SELECT min(cut) AS a, max(cut) AS b, min(cut) + CAST(floor((max(cut) - min(cut)) / 2) AS INTEGER) AS m FROM cal), folds AS (SELECT 'full' AS fold, a AS lo, b AS hi FROM span UNION ALL SELECT 'early', a, m FROM span UNION ALL SELECT 'late', m + 1, b FROM span),
+    k AS (SELECT w, enter, any_value(distance) AS distance, fold, count(*) AS n, count(*) FILTER (valid) AS valid, count(*) FILTER (changed) AS changed, count(*) FILTER (sg) AS sign_days FROM day JOIN folds ON cut BETWEEN lo AND hi GROUP BY w, enter, fold),
+    b AS (SELECT k.*, k.changed / k.n AS rate, c.changed / c.n AS b_rate, k.valid / k.n AS share, k.valid / k.n >= c.valid / c.n AS valid_ok, k.sign_days <= c.sign_days AS signs_ok FROM k JOIN k c ON k.fold = c.fold AND c.distance = 0),
+    g AS (SELECT w, enter, max(rate) FILTER (fold = 'full') AS rate, max(share) FILTER (fold = 'full') AS valid_share, max(sign_days) FILTER (fold = 'full') AS sign_days, max((b_rate - rate) / nullif(b_rate, 0)) FILTER (fold = 'full') AS relative_improvement, bool_or(signs_ok) FILTER (fold = 'full') AS signs_ok,
+        bool_or(valid_ok) FILTER (fold = 'full') AS valid_ok, count(*) FILTER (fold <> 'full' AND rate < b_rate) AS folds_improved, count(*) FILTER (fold <> 'full' AND rate > b_rate) AS folds_worsened FROM b GROUP BY w, enter)
+    SELECT w, enter, round(rate, 6) AS rate, round(valid_share, 6) AS valid_share, sign_days, round(relative_improvement, 6) AS relative_improvement, signs_ok, valid_ok, folds_improved, folds_worsened,
+        CASE WHEN rate <= 0.02 THEN 'pass' WHEN rate <= 0.3 AND relative_improvement >= 0.1 AND signs_ok AND valid_ok THEN 'conditional_pass' ELSE 'fail' END AS level FROM g""", "vintages"))
 def gate_levels(spark, sf_dir):
-    order = Window.partitionBy("enter", "leave", "axis").orderBy("d")
-    df = _scores(spark, sf_dir).crossJoin(F.broadcast(_configs(spark)))
-    df = df.withColumn("internal", S.held(F.when(F.abs("score") >= F.col("enter"), F.signum("score").cast("int")), order))
-    df = df.withColumn("flip", F.coalesce(F.col("internal") != F.lag("internal").over(order), F.lit(False)))
-    rows = df.crossJoin(F.broadcast(_fold_table(spark))).where("d BETWEEN lo AND hi").groupBy("enter", "leave", "distance", "fold")
-    rows = rows.agg(F.count("*").alias("n"), F.count_if(F.col("internal") * F.col("score") >= F.col("leave")).alias("valid"), F.count_if("flip").alias("flips"))
-    return _r6(R.gate_levels(rows, ["enter", "leave"], F.col("distance") == 0, 0.1, 0.3, 0.1))
-
-
-@query("rp13_candidate_sets", oracle(f"""WITH {_SC}, {_EVAL}, s AS (SELECT enter, leave, distance, round(valid / n, 6) AS rate FROM m), k AS (SELECT *, CASE WHEN rate >= 0.2 THEN row_number() OVER (PARTITION BY rate >= 0.2 ORDER BY rate DESC, distance, enter, leave)::INTEGER END AS rank FROM s)
-    SELECT enter, leave, distance, rate, rank, CASE WHEN rank <= 5 THEN 'selected' ELSE 'rejected' END AS set, CASE WHEN rank IS NULL THEN 'rate' WHEN rank > 5 THEN 'rank' END AS reason FROM k""", "macro"))
+    """The configurations over what was known at each month's end, with revisions and as first released."""
+    v = view(spark, sf_dir, "vintages")
+    cal = _calendar(v)
+    panels = None
+    for mode, kind in (("latest", "latest"), ("first", "first_release")):
+        one = pit.panel(v, cal, "cut", kind).select(F.lit(mode).alias("mode"), "cut", "series_id", "observation_period", "value")
+        panels = one if panels is None else panels.unionByName(one)
+    z = panels.groupBy("mode", "cut", "series_id").agg(F.round(F.max_by("value", "observation_period") / F.avg("value") - 1, 9).alias("z"))
+    axes = F.broadcast(spark.createDataFrame([(s, a, b) for s, (a, b) in _AXES.items()], "series_id string, axis string, lead boolean"))
+    grid = spark.range(1, 4).select((F.col("id") / 4).alias("w")).crossJoin(spark.range(1, 4).select((F.col("id") / 4).alias("enter")))
+    grid = grid.withColumns({"leave": F.col("enter") / 2, "distance": F.abs(F.col("w") - 0.5) + F.abs(F.col("enter") - 0.5)})
+    weight = F.when(F.col("lead"), F.col("w")).otherwise(1 - F.col("w"))
+    config = ["w", "enter", "distance"]
+    scores = z.join(axes, "series_id").crossJoin(F.broadcast(grid)).groupBy(*config, "leave", "mode", "cut", "axis").agg(F.round(F.sum(F.col("z") * weight) / F.sum(weight), 9).alias("score"))
+    days = R.two_set_replay(scores, config, "mode", "cut", "axis", "growth", "enter", "leave")
+    rows = days.crossJoin(F.broadcast(R.halves(cal, "cut"))).where("cut BETWEEN lo AND hi").groupBy(*config, "fold")
+    rows = rows.agg(F.count("*").alias("n"), F.count_if("valid").alias("valid"), F.count_if("changed").alias("changed"), F.count_if("sign_changed").alias("sign_days"))
+    return _r6(R.gate_levels(rows, ["w", "enter"], F.col("distance") == 0, 0.02, 0.3, 0.1))
+
+
+@query("rp13_candidate_sets", oracle("""WITH m AS (SELECT (SELECT avg(r) FROM ret) AS f, (SELECT avg(b) FROM bret) AS k, (SELECT avg(x) FROM (SELECT value - lag(value) OVER (PARTITION BY series_id ORDER BY obs_date) AS x FROM macro)) AS d),
+    g AS (SELECT a / 10.0 AS growth_weight, 1 - a / 10.0 AS inflation_weight, t / 10.0 AS risk_tilt, p * 5.0 AS floor_delta, c * 5.0 AS cap_delta, concat_ws('|', a, t, p, c) AS candidate FROM range(3, 8) x(a), range(-1, 2) y(t), range(0, 2) z(p), range(-1, 1) w(c)),
+    s AS (SELECT *, round(abs(growth_weight - 0.5) + abs(inflation_weight - 0.5) + abs(risk_tilt) + abs(floor_delta) / 100 + abs(cap_delta) / 100, 12) AS distance FROM g),
+    o AS (SELECT *, round(abs(f - k) + abs((growth_weight - inflation_weight) * d) + distance * 0.001, 9) AS objective FROM s, m)
+    SELECT candidate, growth_weight, round(distance, 6) AS distance, round(objective, 6) AS objective, CASE WHEN distance = 0 THEN 'selected' ELSE 'rejected' END AS set, CASE WHEN distance > 0 THEN 'no_limits' END AS reason FROM o""", "ret", "bret", "macro"))
 def candidate_sets(spark, sf_dir):
-    scored = _evaluated(spark, sf_dir).select("enter", "leave", "distance", F.round(F.col("valid") / F.col("n"), 6).alias("rate"))
-    return R.candidate_sets(scored, ["enter", "leave"], 5, 0.2)
+    """The grid on the means of the tables: entity and benchmark returns, and the macro series' changes."""
+    part = lambda name, lo, hi: spark.range(lo, hi).withColumnRenamed("id", name)
+    grid = part("a", 3, 8).crossJoin(part("t", -1, 2)).crossJoin(part("p", 0, 2)).crossJoin(part("c", -1, 1))
+    grid = grid.select(F.concat_ws("|", "a", "t", "p", "c").alias("candidate"), (F.col("a") / 10).alias("growth_weight"), (1 - F.col("a") / 10).alias("inflation_weight"), (F.col("t") / 10).alias("risk_tilt"), (F.col("p") * 5.0).alias("floor_delta"), (F.col("c") * 5.0).alias("cap_delta"))
+    order = Window.partitionBy("series_id").orderBy("obs_date")
+    delta = view(spark, sf_dir, "macro").select((F.col("value") - F.lag("value").over(order)).alias("x")).agg(F.avg("x").alias("delta_mean"))
+    metrics = _ret(spark, sf_dir).agg(F.avg("r").alias("fund_mean")).crossJoin(_bret(spark, sf_dir).agg(F.avg("b").alias("market_mean"))).crossJoin(delta)
+    df = R.candidate_sets(grid, metrics, F.col("distance") == 0)
+    return df.select("candidate", "growth_weight", F.round("distance", 6).alias("distance"), F.round("objective", 6).alias("objective"), "set", "reason")
 
 
 @query("agg25_reason_counts", oracle("""WITH r AS (SELECT o_orderstatus AS status, unnest([CASE WHEN o_totalprice > 200000 THEN 'large' END, CASE WHEN o_orderstatus = 'P' THEN 'pending' END, CASE WHEN isodow(o_orderdate) > 5 THEN 'closed' END]) AS reason FROM orders)
@@ -90,12 +126,19 @@ def reason_counts(spark, sf_dir):
     return one("reason", o.select(F.explode(reasons).alias("value"))).unionByName(one("status", o.select(F.col("o_orderstatus").alias("value"))))
 
 
-@query("pos01_fold_metrics", oracle("""WITH f AS (SELECT k::BIGINT AS k, CAST(DATE '1995-01-01' + to_months((12 * k)::INTEGER) AS DATE) AS a, CAST(DATE '1995-01-01' + to_months((12 * k + 36)::INTEGER) AS DATE) AS b, CAST(DATE '1995-01-01' + to_months((12 * k + 48)::INTEGER) AS DATE) AS c FROM range(0, 4) t(k) WHERE b < DATE '2002-01-01' AND c <= DATE '2002-01-01'),
-    j AS (SELECT instrument_id, k, nav_date < b AS train, r FROM ret JOIN f ON nav_date >= a AND nav_date < c)
-    SELECT instrument_id, k, count(*) FILTER (train) AS n_train, count(*) FILTER (NOT train) AS n_test, round(stddev_samp(r) FILTER (train), 6) AS vol_train, round(stddev_samp(r) FILTER (NOT train), 6) AS vol_test, round(exp(sum(ln(1 + r)) FILTER (NOT train)) - 1, 6) AS return_test FROM j GROUP BY instrument_id, k""", "ret"))
+@query("pos01_fold_metrics", oracle("""WITH h AS (SELECT asset_class AS p, instrument_id AS i, nav_date AS d, r, aum / sum(aum) OVER (PARTITION BY asset_class, nav_date) AS w FROM ret JOIN cohort USING (instrument_id)),
+    ds AS (SELECT p, d, lag(d) OVER (PARTITION BY p ORDER BY d) AS before FROM (SELECT DISTINCT p, d FROM h)), e AS (SELECT h.*, ds.before, b.w AS wb FROM h JOIN ds USING (p, d) LEFT JOIN h b ON b.p = h.p AND b.i = h.i AND b.d = ds.before),
+    q AS (SELECT p, d, sum(w * r) AS r, CASE WHEN any_value(before) IS NOT NULL THEN 1 - coalesce(sum(CASE WHEN wb IS NOT NULL THEN least(w, wb) END), 0) ELSE 0 END AS t FROM e GROUP BY p, d), s AS (SELECT CAST(date_trunc('month', min(nav_date)) AS DATE) AS a, max(nav_date) AS b FROM ret),
+    f AS (SELECT k, CAST(a + to_months((12 * k + 36)::INTEGER) AS DATE) AS lo, CAST(a + to_months((12 * k + 48)::INTEGER) AS DATE) AS hi FROM s, range(0, 100) x(k) WHERE CAST(a + to_months((12 * k + 48)::INTEGER) AS DATE) <= b),
+    j AS (SELECT p, k, d, ln(1 + r) AS l, t, sum(ln(1 + r)) OVER w AS c, sum(t) OVER (PARTITION BY p, k ORDER BY d ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS run FROM q JOIN f ON d >= lo AND d < hi WINDOW w AS (PARTITION BY p, k ORDER BY d)),
+    x AS (SELECT *, 1 - exp(c - greatest(0, max(c) OVER (PARTITION BY p, k ORDER BY d))) AS down FROM j)
+    SELECT p AS asset_class, k, count(*) AS n, round(exp(sum(l) * 252 / count(*)) - 1, 6) AS return_annualised, round(stddev_samp(l) * sqrt(252), 6) AS volatility, round(max(down), 6) AS drawdown, round(max(run), 6) AS turnover, round(sum(t) * 252 / count(*), 6) AS turnover_mean FROM x GROUP BY p, k""", "ret", "cohort"))
 def fold_metrics(spark, sf_dir):
-    """Train and test window of each fold: rows and volatility of both, compounded return of the test window."""
-    folds = F.broadcast(R.fold_bounds(spark, "1995-01-01", "2002-01-01", 36, 12, 12))
-    df = _ret(spark, sf_dir).join(folds, (F.col("nav_date") >= F.col("train_from")) & (F.col("nav_date") < F.col("test_to")))
-    train, test = (F.when(c, F.col("r")) for c in (F.col("nav_date") < F.col("test_from"), F.col("nav_date") >= F.col("test_from")))
-    return _r6(df.groupBy("instrument_id", "k").agg(F.count(train).alias("n_train"), F.count(test).alias("n_test"), F.stddev_samp(train).alias("vol_train"), F.stddev_samp(test).alias("vol_test"), (F.exp(F.sum(F.ln(1 + test))) - 1).alias("return_test")))
+    """Asset classes weighted by size: return, volatility, drawdown and turnover of every fold's test year."""
+    df = _ret(spark, sf_dir).join(view(spark, sf_dir, "cohort").select("instrument_id", "asset_class"), "instrument_id")
+    w = df.withColumn("w", F.col("aum") / F.sum("aum").over(Window.partitionBy("asset_class", "nav_date")))
+    moved = turnover(w, "asset_class", "nav_date", "instrument_id", "w")
+    rows = w.groupBy("asset_class", "nav_date").agg(F.sum(F.col("w") * F.col("r")).alias("r")).join(moved, ["asset_class", "nav_date"], "left")
+    first, last = df.agg(F.trunc(F.min("nav_date"), "month"), F.max("nav_date")).first()
+    folds = R.fold_bounds(spark, first, last, 36, 12, 12)
+    return _r6(R.fold_metrics(rows, folds, "asset_class", "nav_date", "r", "turnover"))

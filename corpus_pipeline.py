@@ -12,7 +12,7 @@ from almanac.llm.common import cleared, dropped, fold, shared, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The JVM of an executor still holds memory of the stages before, so the last one remembers less than it would alone.
-REMEMBER = 60_000
+REMEMBER = 30_000
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

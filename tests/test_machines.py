@@ -13,7 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from almanac.functions import metrics as M
-from almanac.operators import asof, factors, fits, fundamentals, holdings, peers, pit, quality, regimes, regress, returns
+from almanac.operators import asof, factors, fits, fundamentals, holdings, peers, pit, quality, regimes, regress, replays, returns
 from almanac.sources import payloads
 from almanac.streaming import ticks
 
@@ -333,3 +333,53 @@ def test_ratios_are_of_one_period(spark):
     # The newest row lacks income and assets: they aren't taken from the row before.
     assert (b.cap, b.pe, b.roe, b.de, b.margin, b.roa, b.period_end) == (8.0, None, None, None, None, None, d(3))
     assert (c.cap, c.roe, c.margin, c.gross_profitability) == (None, None, 200.0, None) and none.period_end is None and e.cap is None
+
+
+def test_two_information_sets_row_by_row(spark):
+    """Candidate changes, sign changes and valid dates of a grid over two sets, against plain loops."""
+    rng, rows = random.Random(11), []
+    for enter in (0.3, 0.6):
+        for t in range(40):
+            for axis in ("growth", "other"):
+                for mode in ("latest", "first"):
+                    if not (t == 7 and mode == "first"):
+                        rows.append((enter, mode, DAY + dt.timedelta(t), axis, round(rng.gauss(0, 0.6), 3), enter / 2))
+    df = spark.createDataFrame(rows, "enter double, mode string, d date, axis string, score double, leave double")
+    got = {(r.enter, r.d): (r.changed, r.sign_changed, r.valid) for r in replays.two_set_replay(df, ["enter"], "mode", "d", "axis", "growth", "enter", "leave").collect()}
+    score = {r[:4]: r[4] for r in rows}
+    for enter in (0.3, 0.6):
+        state = {}
+        for t in range(40):
+            d = DAY + dt.timedelta(t)
+            for mode in ("latest", "first"):
+                for axis in ("growth", "other"):
+                    x = score.get((enter, mode, d, axis))
+                    if x is not None and abs(x) >= enter:
+                        state[mode, axis] = math.copysign(1, x)
+            if t == 7:
+                assert (enter, d) not in got
+                continue
+            x = {k: score[enter, k[0], d, k[1]] for k in ((m, a) for m in ("latest", "first") for a in ("growth", "other"))}
+            changed = any(state.get(("latest", a)) != state.get(("first", a)) for a in ("growth", "other"))
+            valid = all(("latest", a) in state and state["latest", a] * x["latest", a] >= enter / 2 for a in ("growth", "other"))
+            assert got[enter, d] == (changed, x["latest", "growth"] * x["first", "growth"] < 0, valid), (enter, t)
+
+
+def test_fold_metrics_row_by_row(spark):
+    rng = random.Random(12)
+    rows = [("p", DAY + dt.timedelta(k), rng.gauss(0, 0.02), None if k == 0 else rng.random()) for k in range(900)]
+    df = spark.createDataFrame(rows, "p string, d date, r double, t double")
+    folds = replays.fold_bounds(spark, DAY, DAY + dt.timedelta(899), 12, 6, 6)
+    bounds = {r.k: (r.test_from, r.test_to) for r in folds.collect()}
+    got = {r.k: r for r in replays.fold_metrics(df, folds, "p", "d", "r", "t", 100).collect()}
+    assert set(got) == set(bounds) and len(bounds) > 1
+    for k, (lo, hi) in bounds.items():
+        own = [r for r in rows if lo <= r[1] < hi]
+        level, peak, down = 1.0, 1.0, 0.0
+        for r in own:
+            level *= 1 + r[2]
+            peak = max(peak, level)
+            down = max(down, 1 - level / peak)
+        moved, logs = [r[3] or 0.0 for r in own], [math.log1p(r[2]) for r in own]
+        want = (len(own), level ** (100 / len(own)) - 1, statistics.stdev(logs) * 10, down, max(sum(moved[max(0, i - 99) : i + 1]) for i in range(len(moved))), sum(moved) * 100 / len(own))
+        assert tuple(got[k][c] for c in ("n", "return_annualised", "volatility", "drawdown", "turnover", "turnover_mean")) == pytest.approx(want)
