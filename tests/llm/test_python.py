@@ -206,6 +206,27 @@ def test_topk_leaves_out_blocks_of_clusters():
     assert part.scored < 0.2 * part.met
 
 
+def test_topk_sends_queries_only_where_they_can_reach(spark, monkeypatch):
+    """Vectors that stand in clusters by their ids: less than half of all pairs of query and part are sent."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 16)) * 8
+    vectors = np.repeat(centres, 50, axis=0) + rng.normal(size=(2000, 16)) * 0.2
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    monkeypatch.setattr(topk, "PART", 100)
+    sent, reached = [], topk._reached
+    monkeypatch.setattr(topk, "_reached", lambda *a: sent.append(reached(*a)) or sent[-1])
+    clean = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in enumerate(vectors.tolist())]
+    want = sorted(brute_top(clean, lambda q: q % 20 == 0, 5))
+    for pieces in (8_000_000, 200):
+        monkeypatch.setattr(topk, "SENT", pieces)
+        sent.clear()
+        got = topk.top_k(df, df.where("vec_id % 20 = 0"), 5).collect()
+        assert sorted(map(tuple, got)) == want
+        # Homes first, then what else can be reached, in one piece of the bounds or several.
+        n = len(sent) // 2
+        assert (n == 1) == (pieces > 200) and 100 + sum(x.count() for x in sent[n:]) < 0.5 * 100 * 20
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_against_duckdb(spark, name):
     c = duckdb.connect()
