@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from almanac.operators import asof, holdings, peers, regimes, rolling, selection, slices
+from almanac.operators import asof, fits, holdings, peers, regimes, rolling, selection, slices
 
 DAY = dt.date(2000, 1, 1)
 
@@ -226,3 +226,28 @@ def test_one_month_of_very_many_entities(spark):
     df = spark.range(n).select("id", F.lit(DAY).alias("m"), value.alias("x"))
     r = peers.rank_shares(df, ["m"], ["x"]).agg(F.sum("x").alias("s"), F.min("x").alias("low"), F.max("x").alias("high"), F.count_if(F.col("x") == (n / 2 + 1) / 2 / n - 0.5).alias("ties")).first()
     assert (r.high, r.ties) == (0.5, n // 2) and r.low == (n / 2 + 1) / 2 / n - 0.5 and r.s == pytest.approx(0.5, abs=1e-6)
+
+
+def garch_returns(rng, n, alpha=0.1, beta=0.85):
+    h, out = 1.0, []
+    for _ in range(n):
+        out.append(math.sqrt(h) * rng.standard_normal() / 100)
+        h = 0.05 + alpha * (out[-1] * 100) ** 2 + beta * h
+    return np.array(out)
+
+
+def test_many_fits_at_once_are_those_of_one(spark):
+    rng = np.random.default_rng(3)
+    own = [garch_returns(rng, n) for n in (100, 150, 400, 1200)] + [rng.standard_t(4, n) / 100 for n in (99, 300, 1500)]
+    own += [np.zeros(200), np.full(150, np.nan), rng.normal(size=5) / 100, rng.normal(size=300), np.append(rng.normal(size=150) / 100, [np.inf, np.nan]), np.array([])]
+    for one, many in ((fits.garch, fits.garch_many), (fits.tail, fits.tail_many)):
+        for r, got in zip(own, many(own), strict=True):
+            want = one(r)
+            for a, b in zip(want, got, strict=True):
+                assert a == b if a is None or isinstance(a, str) else b == pytest.approx(a, rel=1e-4, abs=1e-6), (one, len(r))
+    assert fits.garch_many([]) == [] and fits.tail_many([]) == []
+    rows = [(f"e{k}", DAY + dt.timedelta(t), float(x) if np.isfinite(x) else None) for k, r in enumerate(own) for t, x in enumerate(r)]
+    df = spark.createDataFrame(rows, "e string, d date, r double").repartition(3)
+    got = {r.e: r for r in fits.entity_fits(df, "e", "d", "r").collect()}
+    assert len(got) == sum(len(r) > 0 for r in own)
+    assert got["e2"].vol == pytest.approx(fits.garch(own[2])[0], rel=1e-4) and got["e6"].cvar_99 == pytest.approx(fits.tail(own[6])[1], rel=1e-4)
