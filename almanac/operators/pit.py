@@ -54,6 +54,14 @@ def store_checks(vintages: DataFrame, key: list[str] = KEY) -> DataFrame:
     return each.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("duplicate_keys"), F.sum("early").alias("available_early"))
 
 
+def coverage(vintages: DataFrame, cut: str) -> DataFrame:
+    """(series_id, rows, spans of observation and vintage dates, selected_later): per series of a store, and how many
+    observations later than the cut's day a read as of the cut selects, which a sound store has none of."""
+    spans = vintages.groupBy("series_id").agg(F.count("*").alias("rows"), *(f(c).alias(f"{n}_{end}") for n, c in (("observation", "observation_period"), ("vintage", "vintage_date")) for end, f in (("min", F.min), ("max", F.max))))
+    later = as_of(vintages, cut).groupBy("series_id").agg(F.count_if(F.col("observation_period") > F.lit(cut).cast("date")).alias("_later"))
+    return spans.join(later, "series_id", "left").withColumn("selected_later", F.coalesce("_later", F.lit(0))).drop("_later")
+
+
 def merged(batches: list[DataFrame], key: list[str]) -> DataFrame:
     """Union of vintage batches; the last batch wins per key."""
     every = None

@@ -68,6 +68,51 @@ def grid_metrics(replay: DataFrame, date: str) -> DataFrame:
     )
 
 
+def market_replay(scores: DataFrame, grid: DataFrame, date: str, first: str, second: str, closed: Column) -> DataFrame:
+    """(config, date, candidate, published, status, reasons, confidence, scaled scores) of every configuration and calendar day.
+
+    The calendar runs from the first date of scores to the last, and ``closed`` says of its days which have no session; their
+    scores, if any, don't count. Configurations (config, first_scale, second_scale, first_enter, second_enter,
+    min_confidence): scores are scaled, an axis latches the sign of one that reaches its entry and keeps it over days without
+    one, and holds while the score stays at half the entry or more on its side. Confidence is s / (1 + s) of the smaller
+    scaled score. All reasons against a day are listed; one without any is valid, and publishes its candidate. Status:
+    closed, stale (a score is missing), valid or abstain.
+    """
+    span = scores.agg(F.min(date).alias("a"), F.max(date).alias("b")).select(F.explode(F.sequence("a", "b")).alias(date))
+    # Days of a calendar by a few configurations.
+    df = span.join(scores, date, "left").withColumn("_closed", closed).crossJoin(F.broadcast(grid))
+    order = Window.partitionBy("config").orderBy(date)
+    for c, name in ((first, "first"), (second, "second")):
+        df = df.withColumn(f"{name}_score", F.when(~F.col("_closed"), F.col(c) * F.col(f"{name}_scale")))
+        df = df.withColumn(f"_{name}", held(F.when(F.abs(f"{name}_score") >= F.col(f"{name}_enter"), F.signum(f"{name}_score").cast("int")), order))
+    smaller = F.when(F.col("first_score").isNotNull() & F.col("second_score").isNotNull(), F.least(F.abs("first_score"), F.abs("second_score")))
+    df = df.withColumn("confidence", smaller / (1 + smaller)).withColumn("candidate", F.when(F.col("_first").isNotNull() & F.col("_second").isNotNull(), F.concat_ws("/", "_first", "_second")))
+    open_day, off = ~F.col("_closed"), lambda name: F.col(f"_{name}") * F.col(f"{name}_score") < F.col(f"{name}_enter") / 2
+    reasons = {
+        "closed": F.col("_closed"), "first_missing": open_day & F.col("first_score").isNull(), "second_missing": open_day & F.col("second_score").isNull(),
+        "not_latched": F.col("candidate").isNull(), "deadband": off("first") | off("second"), "low_confidence": F.col("confidence") < F.col("min_confidence"),
+    }
+    df = df.withColumn("reasons", F.array_compact(F.array(*(F.when(ok, name) for name, ok in reasons.items()))))
+    status = F.when(F.col("_closed"), "closed").when(F.arrays_overlap("reasons", F.array(F.lit("first_missing"), F.lit("second_missing"))), "stale").when(F.size("reasons") == 0, "valid").otherwise("abstain")
+    return df.select("config", date, "candidate", F.when(F.size("reasons") == 0, F.col("candidate")).alias("published"), status.alias("status"), "reasons", "confidence", "first_score", "second_score")
+
+
+def market_quality(replay: DataFrame, date: str) -> DataFrame:
+    """Per configuration of ``market_replay``: days, counts of statuses, reasons, candidates and published ones (as k:n, joined by
+    commas), run lengths of candidates and of published days among the valid ones, and deciles and medians of confidence and
+    scores. Groups are a configuration's days."""
+    counted = lambda df, c: df.where(F.col(c).isNotNull()).groupBy("config", c).agg(F.count("*").alias("n")).groupBy("config").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", c, "n"))), ",").alias(f"{c}_counts"))
+    lengths = lambda df, c: runs(df, ["config"], date, c).where(F.col(c).isNotNull()).groupBy("config").agg(F.median("n").alias(f"{c}_run_median"), F.max("n").alias(f"{c}_run_max"))
+    spread = lambda c: F.percentile(c, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias(f"_{c}")
+    names = ("confidence", "first_score", "second_score")
+    df = replay.groupBy("config").agg(F.count("*").alias("days"), F.count_if(F.col("status") == "valid").alias("valid_days"), *(spread(c) for c in names))
+    df = df.select("config", "days", "valid_days", *(F.col(f"_{c}")[k].alias(f"{c}_{p}") for c in names for k, p in enumerate(("p10", "p50", "p90"))))
+    reasons = replay.select("config", F.explode("reasons").alias("reason"))
+    for part in (counted(replay, "status"), counted(reasons, "reason"), counted(replay, "candidate"), counted(replay, "published"), lengths(replay, "candidate"), lengths(replay.where("status = 'valid'"), "published")):
+        df = df.join(part, "config", "left")
+    return df
+
+
 def two_set_replay(scores: DataFrame, config: list[str], mode: str, date: str, axis: str, first_axis: str, enter: str, leave: str) -> DataFrame:
     """(config, date, changed, sign_changed, valid): every configuration of a grid over two information sets in one pass.
 

@@ -176,6 +176,18 @@ def leak_probe(spark, sf_dir):
     return summed(v, "before").crossJoin(summed(v.unionByName(later), "after")).crossJoin(pit.store_checks(store))
 
 
+_EARLY = "early AS (SELECT series_id, observation_period, vintage_date, CASE WHEN revision_number = 0 AND month(observation_period) % 5 = 0 THEN available_at - INTERVAL 70 DAY ELSE available_at END AS available_at, value, revision_number FROM vintages)"
+
+
+@query("pit03_coverage", oracle(f"""WITH {_EARLY}, r AS (SELECT *, row_number() OVER (PARTITION BY series_id, observation_period ORDER BY available_at DESC, revision_number DESC) AS n FROM early WHERE available_at <= TIMESTAMP '{CUT}'), f AS (SELECT series_id, count(*) FILTER (observation_period > DATE '{CUT}') AS selected_later FROM r WHERE n = 1 GROUP BY series_id)
+    SELECT series_id, count(*) AS rows, min(observation_period) AS observation_min, max(observation_period) AS observation_max, min(vintage_date) AS vintage_min, max(vintage_date) AS vintage_max, coalesce(any_value(selected_later), 0) AS selected_later FROM early LEFT JOIN f USING (series_id) GROUP BY series_id""", "vintages"))
+def coverage(spark, sf_dir):
+    """A store in which some first releases come before their period begins."""
+    first = (F.col("revision_number") == 0) & (F.month("observation_period") % 5 == 0)
+    early = view(spark, sf_dir, "vintages").withColumn("available_at", F.when(first, F.col("available_at") - F.expr("INTERVAL 70 DAY")).otherwise(F.col("available_at")))
+    return pit.coverage(early, CUT)
+
+
 @query("pit04_freshness", oracle("""SELECT series_id, observation_period, round(CASE WHEN age <= 45 THEN 1.0 WHEN age >= 90 THEN 0.0 ELSE (90 - age) / 45.0 END, 6) AS freshness, round(exp(-ln(2) * age / 60), 6) AS decay, round(least(1, revision_number / 6.0), 6) AS maturity
     FROM (SELECT *, DATE '1998-06-30' - observation_period AS age FROM (SELECT *, row_number() OVER (PARTITION BY series_id, observation_period ORDER BY available_at DESC, revision_number DESC) AS n FROM vintages WHERE available_at <= TIMESTAMP '1998-06-30') WHERE n = 1)""", "vintages"))
 def freshness(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from almanac.functions.metrics import normal_cdf
 from almanac.lens import oracle, view
-from almanac.operators import asof, pit, regimes as S
+from almanac.operators import asof, pit, replays, regimes as S
 from almanac.plans.series import _r6
 from almanac.registry import query
 
@@ -296,16 +296,14 @@ def parity(spark, sf_dir):
     return _r6(df.select("d", kind.alias("kind"), "gap"))
 
 
-_FOLDS = "folds AS (SELECT * FROM (VALUES ('full', DATE '1995-01-01', DATE '2002-01-01'), ('early', DATE '1995-01-01', DATE '1997-12-31'), ('late', DATE '1998-01-01', DATE '2002-01-01')) t(fold, lo, hi))"
+_HALVES = "span AS (SELECT min(d) AS a, max(d) AS b, min(d) + CAST(floor((max(d) - min(d)) / 2) AS INTEGER) AS m FROM st), folds AS (SELECT 'full' AS fold, a AS lo, b AS hi FROM span UNION ALL SELECT 'early', a, m FROM span UNION ALL SELECT 'late', m + 1, b FROM span)"
 
 
-def _fold_table(spark):
-    return spark.createDataFrame([("full", "1995-01-01", "2002-01-01"), ("early", "1995-01-01", "1997-12-31"), ("late", "1998-01-01", "2002-01-01")], "fold string, lo string, hi string").selectExpr("fold", "date(lo) lo", "date(hi) hi")
-
-
-@query("rp06_fold_metrics", oracle(f"WITH {_STATE}, {_FOLDS} SELECT fold, axis, count(*) AS n, round(count(state) / count(*), 6) AS valid_rate FROM st JOIN folds ON d BETWEEN lo AND hi GROUP BY ALL", "macro"))
+@query("rp06_fold_metrics", oracle(f"WITH {_STATE}, {_HALVES} SELECT fold, axis, count(*) AS n, round(count(state) / count(*), 6) AS valid_rate FROM st JOIN folds ON d BETWEEN lo AND hi GROUP BY ALL", "macro"))
 def fold_metrics(spark, sf_dir):
-    df = _states(spark, sf_dir).crossJoin(F.broadcast(_fold_table(spark))).where("d BETWEEN lo AND hi")
+    """The whole period of the states and its halves."""
+    st = _states(spark, sf_dir)
+    df = st.crossJoin(F.broadcast(replays.halves(st, "d"))).where("d BETWEEN lo AND hi")
     return _r6(df.groupBy("fold", "axis").agg(F.count("*").alias("n"), (F.count("state") / F.count("*")).alias("valid_rate")))
 
 
@@ -346,13 +344,17 @@ def calendars(spark, sf_dir):
     return d.select("d", (F.col("d") == F.last_day("d")).alias("month_end"), F.expr("cast(d AS timestamp_ntz) + INTERVAL 86399 SECOND").alias("cut"))
 
 
-@query("pos01_pos02_fold_stability", oracle("""WITH f AS (SELECT k, CAST(DATE '1995-01-01' + to_months((12 * k)::INTEGER) AS DATE) AS lo FROM range(0, 4) t(k)), m AS (SELECT instrument_id, k, round(avg(r), 9) AS mean FROM ret JOIN f ON nav_date >= CAST(lo + INTERVAL 36 MONTH AS DATE) AND nav_date < CAST(lo + INTERVAL 48 MONTH AS DATE) GROUP BY ALL), d AS (SELECT instrument_id, median(mean) AS med FROM m GROUP BY ALL)
+@query("pos01_pos02_fold_stability", oracle("""WITH s AS (SELECT CAST(date_trunc('month', min(nav_date)) AS DATE) AS a, max(nav_date) AS b FROM ret), f AS (SELECT k, CAST(a + to_months((12 * k + 36)::INTEGER) AS DATE) AS lo, CAST(a + to_months((12 * k + 48)::INTEGER) AS DATE) AS hi FROM s, range(0, 100) x(k) WHERE CAST(a + to_months((12 * k + 48)::INTEGER) AS DATE) <= b),
+    m AS (SELECT instrument_id, k, round(avg(r), 9) AS mean FROM ret JOIN f ON nav_date >= lo AND nav_date < hi GROUP BY ALL), d AS (SELECT instrument_id, median(mean) AS med FROM m GROUP BY instrument_id)
     SELECT instrument_id, count(*) AS folds, round(max(abs(mean - med)), 6) AS stability FROM m JOIN d USING (instrument_id) GROUP BY instrument_id""", "ret"))
 def fold_stability(spark, sf_dir):
+    """Mean returns of the test years of all folds between the first and the last date."""
     from almanac.plans.series import _ret
 
-    folds = spark.range(4).selectExpr("id k", "add_months(DATE '1995-01-01', cast(12 * id + 36 AS int)) lo", "add_months(DATE '1995-01-01', cast(12 * id + 48 AS int)) hi")
-    m = _ret(spark, sf_dir).join(F.broadcast(folds), (F.col("nav_date") >= F.col("lo")) & (F.col("nav_date") < F.col("hi"))).groupBy("instrument_id", "k").agg(F.round(F.avg("r"), 9).alias("mean"))
+    r = _ret(spark, sf_dir)
+    first, last = r.agg(F.trunc(F.min("nav_date"), "month"), F.max("nav_date")).first()
+    folds = F.broadcast(replays.fold_bounds(spark, first, last, 36, 12, 12))
+    m = r.join(folds, (F.col("nav_date") >= F.col("test_from")) & (F.col("nav_date") < F.col("test_to"))).groupBy("instrument_id", "k").agg(F.round(F.avg("r"), 9).alias("mean"))
     med = m.groupBy("instrument_id").agg(F.median("mean").alias("med"))
     return _r6(m.join(med, "instrument_id").groupBy("instrument_id").agg(F.count("*").alias("folds"), F.max(F.abs(F.col("mean") - F.col("med"))).alias("stability")))
 

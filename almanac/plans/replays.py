@@ -59,6 +59,34 @@ def market_grid(spark, sf_dir):
     return _r6(R.grid_metrics(R.grid_replay(pair, grid, "d", "x", "y"), "d"))
 
 
+_LISTED = "(SELECT config, string_agg({0} || ':' || n, ',' ORDER BY {0} || ':' || n) AS {0}_counts FROM (SELECT config, {0}, count(*) AS n FROM {1} WHERE {0} IS NOT NULL GROUP BY ALL) GROUP BY config)"
+_RUNS = "(SELECT config, median(n) AS {0}_run_median, max(n) AS {0}_run_max FROM (SELECT config, {0}, count(*) AS n FROM (SELECT config, {0}, row_number() OVER (PARTITION BY config ORDER BY d) - row_number() OVER (PARTITION BY config, {0} ORDER BY d) AS g FROM {1}) GROUP BY config, {0}, g) WHERE {0} IS NOT NULL GROUP BY config)"
+_SPREAD = ", ".join(f"round(quantile_cont({c}, {q}), 6) AS {c}_{p}" for c in ("confidence", "first_score", "second_score") for p, q in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9)))
+
+
+@query("rp09_market_quality", oracle(f"""WITH {_SC}, x AS (SELECT d, round(score, 9) AS x FROM sc WHERE axis = '1-URGENT' AND day(d) <> 13), y AS (SELECT d, round(score, 9) AS y FROM sc WHERE axis = '2-HIGH' AND day(d) <> 14),
+    span AS (SELECT unnest(generate_series(CAST(min(d) AS TIMESTAMP), CAST(max(d) AS TIMESTAMP), INTERVAL 1 DAY))::DATE AS d FROM (SELECT d FROM x UNION ALL SELECT d FROM y)),
+    grid AS (SELECT a || ':' || b || ':' || c AS config, 1 + a / 2.0 AS scale, b / 4.0 AS enter, c * 0.4 AS least FROM range(0, 2) t(a), range(2, 5) u(b), range(0, 2) v(c)),
+    s AS (SELECT config, d, isodow(d) > 5 AS closed, enter, least, CASE WHEN isodow(d) <= 5 THEN x * scale END AS first_score, CASE WHEN isodow(d) <= 5 THEN y * scale END AS second_score FROM span LEFT JOIN x USING (d) LEFT JOIN y USING (d), grid),
+    l AS (SELECT *, last_value(CASE WHEN abs(first_score) >= enter THEN sign(first_score)::INTEGER END IGNORE NULLS) OVER w AS f, last_value(CASE WHEN abs(second_score) >= enter THEN sign(second_score)::INTEGER END IGNORE NULLS) OVER w AS g FROM s WINDOW w AS (PARTITION BY config ORDER BY d)),
+    k AS (SELECT *, CASE WHEN f IS NOT NULL AND g IS NOT NULL THEN f || '/' || g END AS candidate, CASE WHEN first_score IS NOT NULL AND second_score IS NOT NULL THEN least(abs(first_score), abs(second_score)) END AS m FROM l),
+    q AS (SELECT *, m / (1 + m) AS confidence, list_filter([CASE WHEN closed THEN 'closed' END, CASE WHEN NOT closed AND first_score IS NULL THEN 'first_missing' END, CASE WHEN NOT closed AND second_score IS NULL THEN 'second_missing' END, CASE WHEN candidate IS NULL THEN 'not_latched' END,
+        CASE WHEN f * first_score < enter / 2 OR g * second_score < enter / 2 THEN 'deadband' END, CASE WHEN m / (1 + m) < least THEN 'low_confidence' END], lambda r: r IS NOT NULL) AS reasons FROM k),
+    r AS (SELECT *, CASE WHEN closed THEN 'closed' WHEN first_score IS NULL OR second_score IS NULL THEN 'stale' WHEN len(reasons) = 0 THEN 'valid' ELSE 'abstain' END AS status, CASE WHEN len(reasons) = 0 THEN candidate END AS published FROM q),
+    why AS (SELECT config, unnest(reasons) AS reason FROM r), shown AS (SELECT * FROM r WHERE status = 'valid')
+    SELECT * FROM (SELECT config, count(*) AS days, count(*) FILTER (status = 'valid') AS valid_days, {_SPREAD} FROM r GROUP BY config) LEFT JOIN {_LISTED.format("status", "r")} USING (config) LEFT JOIN {_LISTED.format("reason", "why")} USING (config)
+        LEFT JOIN {_LISTED.format("candidate", "r")} USING (config) LEFT JOIN {_LISTED.format("published", "r")} USING (config) LEFT JOIN {_RUNS.format("candidate", "r")} USING (config) LEFT JOIN {_RUNS.format("published", "shown")} USING (config)""", "macro"))
+def market_quality(spark, sf_dir):
+    """Score scales, entries and least confidences over a calendar with closed days, and days on which a score is missing."""
+    sc = _scores(spark, sf_dir)
+    one = lambda axis, name, gone: sc.where((F.col("axis") == axis) & (F.dayofmonth("d") != gone)).select("d", F.round("score", 9).alias(name))
+    grid = spark.range(0, 2).withColumnRenamed("id", "a").crossJoin(spark.range(2, 5).withColumnRenamed("id", "b")).crossJoin(spark.range(0, 2).withColumnRenamed("id", "c"))
+    scale, enter = 1 + F.col("a") / 2, F.col("b") / 4
+    grid = grid.select(F.concat_ws(":", "a", "b", "c").alias("config"), scale.alias("first_scale"), scale.alias("second_scale"), enter.alias("first_enter"), enter.alias("second_enter"), (F.col("c") * 0.4).alias("min_confidence"))
+    both = one("1-URGENT", "x", 13).join(one("2-HIGH", "y", 14), "d", "full_outer")
+    return _r6(R.market_quality(R.market_replay(both, grid, "d", "x", "y", F.weekday("d") >= 5), "d"))
+
+
 #: Series of each axis, the first with the configuration's weight and the second with the rest.
 _AXES = {"1-URGENT": ("growth", True), "2-HIGH": ("growth", False), "3-MEDIUM": ("inflation", True), "5-LOW": ("inflation", False), "4-NOT SPECIFIED": ("credit", True)}
 _AXIS = "(VALUES " + ", ".join(f"('{s}', '{a}', {str(b).lower()})" for s, (a, b) in _AXES.items()) + ") x(series_id, axis, lead)"
