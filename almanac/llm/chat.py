@@ -75,7 +75,8 @@ def format_conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: st
     """(conv_id, turn, role, text, formatted, loss) per turn, rendered and read back: role and text are the parser's.
 
     Null texts and roles count as empty. loss marks the turns of the assistant. A conversation's formatted text is that of
-    its turns in the order of turn (nulls first; ties by role, then text). Repeated rows are turns of their own.
+    its turns in the order of turn (nulls first; ties by role, then text). Repeated rows are turns of their own. A very long
+    text is rendered and parsed whole, in time that follows its length.
     """
 
     def run(batches):

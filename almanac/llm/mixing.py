@@ -54,7 +54,7 @@ def with_weights(docs: DataFrame, trees: Trees, text_col: str = "text", out: str
 
 
 def measured(docs: DataFrame, trees: Trees | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(id, source, size, key) per row of docs; without trees all weigh the same."""
+    """(id, source, size, key) per row of docs; without trees all weigh the same. Very long texts are counted whole."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
     rows = with_weights(rows, trees) if trees else rows.withColumn("weight", F.lit(1.0))
     return rows.select("id", "source", size_of(F.col("text")).alias("size"), sampling_key(F.col("id"), F.col("weight")).alias("key"))

@@ -1,9 +1,9 @@
-"""SimHash near-duplicates, linked exactly by a forest of vantage-point trees.
+"""SimHash near-duplicates, linked exactly in the shards of four trees, one of which is a vantage-point tree with reach.
 
 A fingerprint is 64 majority bits over the XXH64 hashes of a text's word shingles. Of two fingerprints that differ in at
 most four bits, either the first of the four 16-bit words differs in at most one bit or another word is equal: else the
 words would differ in 2 + 1 + 1 + 1 bits. So each word position has its own vantage-point tree over the 65,536 word values,
-with reach one for the first word and none for the others: a node splits at a Hamming radius around its vantage point, and
+with reach one for the first word and none for the others, which makes theirs buckets of equal words: a node splits at a Hamming radius around its vantage point, and
 a value that the triangle bound cannot assign to one side, within half the reach of the radius, goes to both. Any two
 values within reach share a leaf. A leaf of a tree is a shard of the fingerprints, where whole fingerprints are compared
 exactly. The trees depend on no data; only their depth follows the count of fingerprints.
@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the smallest id among the rows reachable over links of at most four differing bits. Null and empty
     texts have fingerprint zero and link like any other. Rows without an id get the component of the others they link
     to; a component in which no row has an id has a null component_id. Repeated rows stay repeated. No rows give none.
-    Other columns of docs are not read.
+    Other columns of docs are not read. Very long texts are hashed whole, by parts of 32,768 shingles.
     """
     fps = checkpointed(fingerprints(docs, id_col, text_col, width))
     reps = checkpointed(fps.groupBy("fp").agg(F.min("id").alias("rep")))
