@@ -63,3 +63,22 @@ def test_every_month_end_and_entity(spark):
     scanned = load()["src01_series_scan"].run(spark, DATA)
     assert scanned.count() == nav.where("year(nav_date) BETWEEN 1996 AND 1999").count() > 0
     assert scanned.select("instrument_id").distinct().count() == nav.select("instrument_id").distinct().count() > 1
+
+
+#: Rows, and sums of number columns, of the queries that have no SQL beside them, as they stand over the smallest tables.
+STORED = {
+    "dq01_repaired_series": (5334, {"nav": 547171.3365}),
+    "fac02_fac03_fac04_factor_fit": (3, {"loading": 0.3374, "k": 3, "r2": 0.3915, "out_of_sample": -0.0112}),
+    "fac05_loading_drift": (5, {"drift": 0.7157}),
+    "fit01_fit02_udf01_entity_fits": (10, {"vol": 0.9025, "shape": -11.045, "cvar_99": -0.0994, "cvar_999": -0.0995}),
+}
+
+
+def test_values_of_queries_without_sql(spark):
+    """A change of what they give shows here."""
+    assert set(STORED) == {name for name, q in load().items() if not q.sql}
+    for name, (n, sums) in STORED.items():
+        rows = load()[name].run(spark, DATA).collect()
+        assert len(rows) == n, name
+        for c, want in sums.items():
+            assert abs(sum(float(r[c]) for r in rows if r[c] is not None) - want) <= 2e-3 * max(1, abs(want)), (name, c)
