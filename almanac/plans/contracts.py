@@ -160,7 +160,7 @@ def _old_new(spark, sf_dir):
 @query("snk01_upsert", oracle(f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL {_NEW}"))
 def upsert(spark, sf_dir):
     """Merged into a table by bucket of the key, twice: a bucket without new rows isn't read again."""
-    path, bucket = scratch(spark, "orders"), (F.col("o_orderkey") % 16).cast("int").alias("bucket")
+    path, bucket = scratch(spark, "orders"), (F.col("o_orderkey") % 8).cast("int").alias("bucket")
     old, new = (df.select("*", bucket) for df in _old_new(spark, sf_dir))
     for batch in (old, new, new):
         sinks.merge_into(path, batch, ["bucket", "o_orderkey"], "bucket", update=True)

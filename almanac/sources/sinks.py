@@ -68,6 +68,8 @@ def merge_into(path: str, new: DataFrame, key: list[str], by: str, update: bool,
             keys = one.select(key)
             keys = F.broadcast(keys) if keys.count() <= FEW else keys
             one = one.join(old.select(key).join(keys, key, "left_semi"), key, "left_anti")
+    # Few files a partition; one of very many rows is split.
+    one = one.hint("rebalance", by)
     if update:
         replace_partitions(one, path, by)
     else:
