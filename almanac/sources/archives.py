@@ -19,7 +19,8 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-BLOCK = 1 << 20
+#: Bytes that are parsed at once, and lines up to which an archive is filled.
+BLOCK, LINES = 1 << 20, 250_000
 
 
 def _opened(path: str) -> tuple[pa.fs.FileSystem, str]:
@@ -91,44 +92,46 @@ def archived(spark, path: str, member: str, columns: list[str], mode: str = "DRO
 
 
 def archive(tables: dict[str, DataFrame], key: str, n: int, path: str) -> int:
-    """Write tables of strings into n zip archives at path, rows dealt by a hash of ``key``: a member per table in each.
+    """Write tables of strings into zip archives at path, rows dealt by a hash of ``key``: a member per table in each.
 
-    A task writes an archive, a row at a time as they come by member; path must be one that tasks can write to. Gives the
-    number of archives written; those that no row falls to are left out."""
+    There are n archives, or as many more as keep them near LINES lines, so that what a task writes, and later reads, doesn't
+    grow with the tables. A task writes an archive, its rows as they come by member; path must be one that tasks can write
+    to. Gives the number of archives written; those that no row falls to are left out."""
+    from pyspark import TaskContext
     from pyspark.sql import functions as F
 
-    lines = None
-    for k, (name, df) in enumerate(tables.items()):
+    heads, lines = [(name, f"{'\t'.join(df.columns)}\n".encode()) for name, df in tables.items()], None
+    for k, df in enumerate(tables.values()):
         fields = [F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), "[\t\r\n]", " ") for c in df.columns]
-        own = df.select(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(n)).cast("int").alias("a"), F.lit(k).alias("m"), F.lit(name).alias("name"), F.lit("\t".join(df.columns)).alias("head"), F.concat_ws("\t", *fields).alias("line"))
+        own = df.select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.lit(k).alias("m"), F.concat_ws("\t", *fields).alias("line"))
         lines = own if lines is None else lines.unionByName(own)
+    n = max(n, -(-lines.count() // LINES))
 
     def write(batches):
         fs, root = _opened(path)
-        fs.create_dir(root)
-        at, out, sink, member = (None, None), None, None, None
-
-        def closed():
-            for x in (member, out, sink):
-                if x is not None:
-                    x.close()
-
-        count = 0
+        at, out, sink, member = None, None, None, None
         for batch in batches:
-            for a, m, name, head, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if a != at[0]:
-                    closed()
-                    sink = fs.open_output_stream(f"{root}/part-{a:05d}.zip")
-                    out, member, count = zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED), None, count + 1
-                if (a, m) != at:
+            numbers, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            cuts = [0, *(k for k in range(1, len(numbers)) if numbers[k] != numbers[k - 1]), len(numbers)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a == b:
+                    continue
+                if out is None:
+                    fs.create_dir(root)
+                    sink = fs.open_output_stream(f"{root}/part-{TaskContext.get().partitionId():05d}.zip")
+                    out = zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED)
+                if numbers[a] != at:
                     if member is not None:
                         member.close()
-                    member = out.open(name, "w")
-                    member.write(f"{head}\n".encode())
-                    at = (a, m)
-                member.write(f"{line}\n".encode())
-        closed()
-        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int32())], ["n"])
-
-    written = lines.repartition(n, "a").sortWithinPartitions("a", "m").mapInArrow(write, "n int")
+                    at = numbers[a]
+                    name, head = heads[at]
+                    member = out.open(name, "w", force_zip64=True)
+                    member.write(head)
+                member.write("".join(f"{x}\n" for x in texts[a:b]).encode())
+        for x in (member, out, sink):
+            if x is not None:
+                x.close()
+        yield pa.RecordBatch.from_arrays([pa.array([int(out is not None)], pa.int32())], ["n"])
+
+    written = lines.repartition(n, "h").select("m", "line").sortWithinPartitions("m").mapInArrow(write, "n int")
     return written.agg(F.sum("n")).first()[0]

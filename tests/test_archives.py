@@ -43,3 +43,16 @@ def test_written_archives_are_read_back(spark, tmp_path):
     assert n == len(list((tmp_path / "z").iterdir())) == 4
     assert sorted((r.k, r.v, r.w) for r in archives.archived(spark, str(tmp_path / "z"), "A.tsv", ["k", "v", "w"]).collect()) == sorted((str(k), f"x {k}", None) for k in range(100))
     assert sorted((r.k, r.n) for r in archives.archived(spark, str(tmp_path / "z"), "B.tsv", ["k", "n"]).collect()) == sorted((str(k % 7), str(k)) for k in range(50))
+
+
+def test_archives_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "LINES", 500)
+    a = spark.range(9_000).selectExpr("cast(id AS string) AS k", "cast(id * 3 AS string) AS v")
+    b = spark.range(1_000).selectExpr("cast(id AS string) AS k", "'x' AS w")
+    where = tmp_path / "z"
+    assert archives.archive({"A.tsv": a, "B.tsv": b}, "k", 4, str(where)) == len(list(where.iterdir())) == 20
+    found = archives.archived(spark, str(where), "A.tsv", ["k", "v"])
+    sizes = [len(part) for part in found.rdd.glom().collect()]
+    assert len(sizes) == 20 and sum(sizes) == 9_000 and max(sizes) < 2 * 450
+    assert {(r.k, r.v) for r in found.collect()} == {(str(k), str(3 * k)) for k in range(9_000)}
+    assert {(r.k, r.w) for r in archives.archived(spark, str(where), "B.tsv", ["k", "w"]).collect()} == {(str(k), "x") for k in range(1_000)}
