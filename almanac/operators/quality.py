@@ -2,48 +2,124 @@
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LOW, DEAD_SHARE, STEP = 0.2, 0.5, 5.0
+#: Rows that a task repairs at once.
+CELLS = 200_000
 
 
-def _repair(values: list[float | None], low: float = LOW) -> list[float | None]:
-    """Values in order with transient dips replaced, each from values already repaired before it."""
-    out = list(values)
-    known = lambda k: out[k] is not None and out[k] > 0
-    for i, v in enumerate(out):
-        if v is None or v <= 0:
+def _suspects(x: np.ndarray, low: float) -> np.ndarray:
+    """Places whose level is low against the median of the positive ones within two rows, all looked at together."""
+    wide = np.concatenate([np.full(2, np.nan), np.where(x > 0, x, np.nan), np.full(2, np.nan)])
+    around = np.sort(np.stack([wide[k : k + len(x)] for k in (0, 1, 3, 4)]), axis=0)
+    n, every = (~np.isnan(around)).sum(axis=0), np.arange(len(x))
+    lower, upper = around[np.maximum(n - 1, 0) // 2, every], around[n // 2, every]
+    return np.flatnonzero((x > 0) & (n > 0) & (x < np.where(n % 2 == 1, upper, (lower + upper) / 2) * low))
+
+
+def _repair(x: np.ndarray, starts: np.ndarray, ends: np.ndarray, low: float = LOW) -> np.ndarray:
+    """Levels of entities one after another, each from a start to an end, with transient dips replaced, each from levels
+    already repaired before it; NaN is no level.
+
+    A dip can only be where the levels as they came make one, or within two rows after a repair: no other row is walked.
+    After each entity stand two NaN at least.
+    """
+    todo = _suspects(x, low).tolist()  # in order, so a heap
+    if not todo:
+        return x
+    out, last = x.tolist(), -1
+    while todo:
+        i = heapq.heappop(todo)
+        if i == last:
             continue
-        around = [out[k] for k in range(max(0, i - 2), min(len(out), i + 3)) if k != i and known(k)]
-        if not around or v >= (ref := float(np.median(around))) * low:
+        last, v = i, out[i]
+        around = sorted(out[k] for k in (i - 2, i - 1, i + 1, i + 2) if k >= 0 and out[k] > 0)
+        n = len(around)
+        if not v > 0 or not n or v >= (ref := (around[(n - 1) // 2] + around[n // 2]) / 2 if n % 2 == 0 else around[n // 2]) * low:
             continue
-        sides = [next((out[k] for k in ks if out[k] is not None and out[k] >= ref * low), None) for ks in (range(i - 1, -1, -1), range(i + 1, len(out)))]
-        good = [x for x in sides if x is not None]
+        at = np.searchsorted(starts, i, "right") - 1
+        sides = [next((out[k] for k in ks if out[k] >= ref * low), None) for ks in (range(i - 1, starts[at] - 1, -1), range(i + 1, ends[at]))]
+        good = [g for g in sides if g is not None]
         out[i] = math.exp(sum(map(math.log, good)) / len(good)) if good else ref
-    return out
+        for k in (i + 2, i + 1):
+            heapq.heappush(todo, k)
+    return np.array(out)
+
+
+def _left_alone(p: np.ndarray) -> bool:
+    """Whether ``series_flags`` calls a series of these positive levels dead or stepped; NaN is the largest, as in Spark."""
+    n, top = len(p), p.max(initial=0.0)
+    if not n:
+        return False
+    if (~np.isnan(p) if np.isnan(top) else p < top * LOW).sum() >= DEAD_SHARE * n:
+        return True
+    if n < 6:
+        return False
+    third = n // 3
+    middle = lambda v: v[(third - 1) // 2] * 0.5 + v[third // 2] * 0.5
+    with np.errstate(all="ignore"):
+        head, tail = middle(np.sort(p[:third])), middle(np.sort(p[n - third :]))
+        return not (head / tail < STEP and tail / head < STEP)
 
 
 def repaired(df: DataFrame, key: str, date: str, level: str) -> DataFrame:
     """df (key, date, level) with the level repaired and repaired flagged; dead and stepped series are left as they are.
 
-    A repair uses repaired neighbours, so each entity is walked in order, in grouped pandas; flags are plain aggregations.
+    A repair uses repaired neighbours, so an entity is walked in order, but only where a dip may be. A task streams its
+    entities in the order of their keys, and looks at those of some CELLS rows at once.
     """
-    flags = series_flags(df, key, date, level)
-
-    def fix(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(date)
-        values = [None if pd.isna(v) else float(v) for v in pdf[level]]
-        new = values if bool(pdf["dead"].iloc[0]) or bool(pdf["step"].iloc[0]) else _repair(values)
-        return pd.DataFrame({key: pdf[key], date: pdf[date], level: new, "repaired": [a != b for a, b in zip(values, new, strict=True)]})
+    names = [key, date, level, "repaired"]
+
+    def fixed(rows: pa.Table) -> pa.RecordBatch:
+        keys, dates, levels = (c.combine_chunks() for c in rows.columns)
+        n, raw = len(keys), levels.to_numpy(zero_copy_only=False).astype(float)
+        first = np.flatnonzero(np.concatenate([[True], pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)]))
+        last, order = np.append(first[1:], n), np.arange(len(first)) * 2
+        place = np.arange(n) + np.repeat(order, last - first)
+        x = np.full(n + 2 * len(first), np.nan)
+        x[place] = raw
+        given, undated = levels.is_valid().to_numpy(zero_copy_only=False), dates.is_null().to_numpy(zero_copy_only=False)
+        stays = np.zeros(len(x), dtype=bool)
+        for a, b, k in zip(first, last, order, strict=True):
+            part = np.arange(a, b)
+            if undated[b - 1]:  # as series_flags orders them
+                part = np.concatenate([part[undated[a:b]], part[~undated[a:b]]])
+            own = raw[part][given[part]]
+            stays[a + k : b + k] = _left_alone(own[(own > 0) | np.isnan(own)])
+        new = _repair(np.where(stays, np.nan, x), first + order, last + order)
+        new = np.where(stays, x, new)[place]
+        return pa.RecordBatch.from_arrays([keys, dates, pa.array(new, pa.float64(), from_pandas=True), pa.array((new != raw) & ~np.isnan(raw))], names)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < CELLS or not batch.num_rows:
+                continue
+            whole = pa.Table.from_batches(held)
+            own = whole.column(0).combine_chunks()
+            ends = np.flatnonzero(pc.not_equal(own[1:], own[:-1]).to_numpy(zero_copy_only=False))
+            if len(ends):
+                yield fixed(whole.slice(0, ends[-1] + 1))
+                held = whole.slice(ends[-1] + 1).to_batches()
+                size = sum(b.num_rows for b in held)
+        if size:
+            yield fixed(pa.Table.from_batches(held))
 
     kinds = dict(df.dtypes)
-    return df.join(flags, key).groupBy(key).applyInPandas(fix, f"{key} {kinds[key]}, {date} {kinds[date]}, {level} double, repaired boolean")
+    rows = df.where(F.col(key).isNotNull()).select(key, date, F.col(level).cast("double").alias(level)).repartition(key).sortWithinPartitions(key, F.asc_nulls_last(date))
+    return rows.mapInArrow(run, f"{key} {kinds[key]}, {date} {kinds[date]}, {level} double, repaired boolean")
 
 
 def series_flags(df: DataFrame, key: str, date: str, level: str, dead_share: float = DEAD_SHARE, step: float = STEP) -> DataFrame:

@@ -27,3 +27,49 @@ def test_reported_flows_are_read_by_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(contracts, "archived", lambda *a: counted.append(archived(*a)) or counted[-1])
     n = contracts.reported_flows(spark, DATA).count()
     assert n > 500 and [df.rdd.getNumPartitions() for df in counted] == [-(-2 * n // 100)] * 2
+
+
+def plain_repair(values, low=0.2):
+    out = list(values)
+    for i, v in enumerate(out):
+        around = [out[k] for k in range(max(0, i - 2), min(len(out), i + 3)) if k != i and out[k] is not None and out[k] > 0]
+        if v is None or v <= 0 or not around or v >= (ref := float(np.median(around))) * low:
+            continue
+        sides = [next((out[k] for k in ks if out[k] is not None and out[k] >= ref * low), None) for ks in (range(i - 1, -1, -1), range(i + 1, len(out)))]
+        good = [x for x in sides if x is not None]
+        out[i] = math.exp(sum(map(math.log, good)) / len(good)) if good else ref
+    return out
+
+
+def test_repairs_of_many_series_at_once(spark, monkeypatch):
+    monkeypatch.setattr(quality, "CELLS", 700)
+    rng, series = random.Random(3), {}
+    for k in range(120):
+        level = lambda: rng.choice([None, 0.0, -1.0, 0.4, 3.0, 9.0, *[100 + rng.random()] * (2 + k % 30)])
+        series[f"s{k}"] = [level() for _ in range(rng.randrange(1, 90))]
+    series["dead"], series["step"] = [100.0] + [1.0] * 20, [10.0] * 9 + [90.0] * 9
+    day = dt.date(2000, 1, 1)
+    df = spark.createDataFrame([(k, day + dt.timedelta(t), v) for k, own in series.items() for t, v in enumerate(own)], "k string, d date, x double")
+    alone = {r.k for r in quality.series_flags(df, "k", "d", "x").where("dead OR step").collect()}
+    got = {(r.k, r.d): (r.x, r.repaired) for r in quality.repaired(df, "k", "d", "x").collect()}
+    assert {"dead", "step"} <= alone < set(series) and len(got) == sum(map(len, series.values()))
+    fixed = 0
+    for k, own in series.items():
+        for t, (a, b) in enumerate(zip(own, own if k in alone else plain_repair(own), strict=True)):
+            fixed += a != b
+            assert got[k, day + dt.timedelta(t)] == (b, a != b), (k, t)
+    assert fixed > 100
+
+
+def test_only_dips_are_walked():
+    n, m = 400, 500
+    x = np.concatenate([np.append(100 + np.random.default_rng(k).random(m), [np.nan] * 2) for k in range(n)])
+    x[50::97] /= 100
+    starts = np.arange(n) * (m + 2)
+    began = time.perf_counter()
+    got = quality._repair(x, starts, starts + m)
+    fast, began = time.perf_counter() - began, time.perf_counter()
+    for k in range(0, n, 10):
+        want = plain_repair([None if np.isnan(v) else float(v) for v in x[starts[k] : starts[k] + m]])
+        np.testing.assert_array_equal(got[starts[k] : starts[k] + m], np.array(want, dtype=float))
+    assert fast < (time.perf_counter() - began) * 10 / 5
