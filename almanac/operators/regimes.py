@@ -61,13 +61,14 @@ def fixed_band(x: Column, enter: float, leave: float, order: WindowSpec) -> Colu
 
 def debounce(df: DataFrame, by: list[str], date: str, raw: str, k: int, start: bool = False) -> DataFrame:
     """df with state (raw once it has lasted k rows, else as before), flip and dwell, rows since the last flip."""
+    # Runs are counted from the places where they begin, so that all of it needs one sort.
     order = Window.partitionBy(*by).orderBy(date)
-    df = df.withColumn("_i", F.sum((~F.lag(raw).over(order).eqNullSafe(F.col(raw))).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    streak = F.row_number().over(Window.partitionBy(*by, "_i").orderBy(date))
-    df = df.withColumn("state", F.coalesce(held(F.when(streak >= k, F.col(raw)), order), F.lit(start)))
+    df = df.withColumn("_at", F.row_number().over(order)).withColumn("_new", ~F.lag(raw).over(order).eqNullSafe(F.col(raw)) | (F.col("_at") == 1))
+    streak = F.col("_at") - held(F.when(F.col("_new"), F.col("_at")), order) + 1
+    df = df.withColumn("_streak", streak).withColumn("state", F.coalesce(held(F.when(F.col("_streak") >= k, F.col(raw)), order), F.lit(start)))
     df = df.withColumn("flip", F.col("state") != F.coalesce(F.lag("state").over(order), F.lit(start)))
-    df = df.withColumn("_j", F.sum(F.col("flip").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return df.withColumn("dwell", F.row_number().over(Window.partitionBy(*by, "_j").orderBy(date))).drop("_i", "_j")
+    dwell = F.col("_at") - F.coalesce(held(F.when(F.col("flip"), F.col("_at")), order), F.lit(1)) + 1
+    return df.withColumn("dwell", dwell).drop("_at", "_new", "_streak")
 
 
 def latched_sign(df: DataFrame, by: list[str], date: str, score: str, enter: float, leave: float, confident: str | None = None) -> DataFrame:

@@ -73,3 +73,8 @@ def test_only_dips_are_walked():
         want = plain_repair([None if np.isnan(v) else float(v) for v in x[starts[k] : starts[k] + m]])
         np.testing.assert_array_equal(got[starts[k] : starts[k] + m], np.array(want, dtype=float))
     assert fast < (time.perf_counter() - began) * 10 / 5
+
+
+def test_debounce_sorts_once(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k", "id AS d", "id % 7 < 3 AS raw")
+    assert len(re.findall(r"(?<!Range)\bSort \[", plan(regimes.debounce(df, ["k"], "d", "raw", 2)).split("Initial Plan")[0])) == 1
