@@ -18,7 +18,12 @@ def one_a_key(new: DataFrame, key: list[str], order: list[str] | None = None, la
     rest = [c for c in new.columns if c not in key]
     if not rest:
         return new.distinct()
-    pick, row = (F.max if last else F.min), F.struct(*(order or []), F.struct(*rest).alias("_row"))
+    pick = F.max if last else F.min
+    if len(rest) == 1 and not order:
+        # Of a bare number the aggregate needs no sort, as that of a struct does; a null is the least.
+        one = pick(rest[0]) if last else F.when(~F.bool_or(F.col(rest[0]).isNull()), pick(rest[0]))
+        return new.groupBy(*key).agg(one.alias(rest[0])).select(*new.columns)
+    row = F.struct(*(order or []), F.struct(*rest).alias("_row"))
     return new.groupBy(*key).agg(pick(row).alias("_one")).select(*key, "_one._row.*").select(*new.columns)
 
 

@@ -87,3 +87,13 @@ def test_xml_files_are_of_bounded_rows(spark, monkeypatch):
     contracts.xml_holdings(spark, DATA)
     rows = [r.n for r in spark.read.text(where[0]).where("value LIKE '%<infoTable>%'").groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert sum(rows) == spark.read.parquet(f"{DATA}/part.parquet").count() > 60 and max(rows) <= 30
+
+
+def test_one_value_a_key_needs_no_sort(spark):
+    rows = [(1, 5.0), (1, 3.0), (2, None), (2, 7.0), (3, None), (4, float("nan")), (4, 1.0)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    for last, want in ((False, {1: 3.0, 2: None, 3: None, 4: 1.0}), (True, {1: 5.0, 2: 7.0, 3: None})):
+        one = sinks.one_a_key(df, ["k"], last=last)
+        assert "SortAggregate" not in plan(one)
+        found = {r.k: r.v for r in one.collect()}
+        assert len(found) == 4 and all(found[k] == v for k, v in want.items()) and (not last or math.isnan(found[4]))
