@@ -12,6 +12,7 @@ from almanac.operators import returns as R
 from almanac.plans.series import RF, _r6, _ret
 from almanac.operators.selection import quantiles
 from almanac.registry import query
+from almanac.work import checkpointed
 
 
 def _bret(spark, sf_dir):
@@ -264,6 +265,8 @@ _SCORE = "CASE WHEN {0} IS NOT NULL THEN greatest(0, least(100, ({0} - {1}) / ({
 def composite(spark, sf_dir):
     m = _ret(spark, sf_dir).groupBy("instrument_id").agg(F.round(M.trailing_return(252), 9).alias("a"), F.round(M.volatility(252), 9).alias("b"))
     m = m.withColumn("b", F.when(F.col("instrument_id").cast("int") % 7 > 0, F.col("b"))).join(view(spark, sf_dir, "cohort"), "instrument_id")
+    # A row per instrument, kept: the medians take more than one pass over it.
+    m = checkpointed(m.select("instrument_id", "asset_class", "a", "b"))
     scored = m.select("asset_class", F.when(F.col("b").isNotNull(), M.normalised(F.col("b"), 0.0, 0.3)["score"]).alias("score"))
     medians = quantiles(scored, ["asset_class"], "score", {"peer": 0.5}).drop("n")
     m = m.join(medians, "asset_class").withColumn("x", M.normalised(F.col("a"), -0.2, 0.4)).withColumn("y", M.normalised(F.col("b"), 0.0, 0.3, F.col("peer")))

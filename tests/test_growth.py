@@ -97,3 +97,7 @@ def test_one_value_a_key_needs_no_sort(spark):
         assert "SortAggregate" not in plan(one)
         found = {r.k: r.v for r in one.collect()}
         assert len(found) == 4 and all(found[k] == v for k, v in want.items()) and (not last or math.isnan(found[4]))
+
+
+def test_composite_metrics_are_made_once(spark):
+    assert "lineitem" not in plan(joins.composite(spark, DATA))
