@@ -101,3 +101,39 @@ def test_one_value_a_key_needs_no_sort(spark):
 
 def test_composite_metrics_are_made_once(spark):
     assert "lineitem" not in plan(joins.composite(spark, DATA))
+
+
+class Packs(dict):
+    """Map state that counts its calls."""
+
+    def iterator(self):
+        self.calls = getattr(self, "calls", 0) + 1
+        return iter(list(self.items()))
+
+    def updateValue(self, key, value):
+        self.calls = getattr(self, "calls", 0) + 1
+        self[key] = value
+
+    def exists(self):
+        return bool(self)
+
+    def containsKey(self, key):
+        return key in self
+
+    def removeKey(self, key):
+        del self[key]
+
+
+def test_state_is_read_and_written_once_a_batch():
+    packs, timers = Packs(), []
+    routing = sessions.Routing(1000)
+    routing.init(SimpleNamespace(getMapState=lambda *a: packs, registerTimer=timers.append))
+    row = lambda at, action, session=None, price=None: SimpleNamespace(at=at, action=action, session=session, ts=at, price=price, size=1)
+    rows = [row(5, "subscribe", f"s{k}") for k in range(5000)] + [row(7, "unsubscribe", f"s{k}") for k in range(0, 5000, 2)] + [row(t, "tick", price=float(t)) for t in (4, 5, 6, 7, 1005)]
+    told = [r for r in routing.handleInputRows(("A",), rows, None)]
+    heard = {t: sorted(s for r in told if r.ts == t for s in r.sessions) for t in (4, 5, 6, 7, 1005)}
+    every, odd = sorted(f"s{k}" for k in range(5000)), sorted(f"s{k}" for k in range(1, 5000, 2))
+    assert heard == {4: [], 5: every, 6: every, 7: odd, 1005: []}
+    assert packs.calls <= 100 and timers == [1005] and max(len(r.sessions) for r in told) <= 1000
+    gone = [s for r in routing.handleExpiredTimer(("A",), None, SimpleNamespace(getExpiryTimeInMs=lambda: 1005)) for s in r.sessions]
+    assert sorted(gone) == odd and not packs
