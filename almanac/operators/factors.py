@@ -14,11 +14,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.operators.peers import rank_shares
+from almanac.work import checkpointed
 
 
 def panel(characteristics: DataFrame, returns: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
     """Complete rows of both sides by key (entity, month), each characteristic ranked within its month to [-1/2, 1/2]."""
-    return rank_shares(characteristics.join(returns, key).dropna(), [key[1]], cols)
+    return ranked(characteristics.join(returns, key), key[1], cols)
+
+
+def ranked(df: DataFrame, month: str, cols: list[str]) -> DataFrame:
+    """The panel of rows that hold returns and characteristics side by side. They are kept, as the ranks take more than one
+    pass over them."""
+    return rank_shares(checkpointed(df.dropna()), [month], cols)
 
 
 def month_sums(df: DataFrame, month: str, cols: list[str], r: str, *by: str) -> DataFrame:

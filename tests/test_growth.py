@@ -137,3 +137,7 @@ def test_state_is_read_and_written_once_a_batch():
     assert packs.calls <= 100 and timers == [1005] and max(len(r.sessions) for r in told) <= 1000
     gone = [s for r in routing.handleExpiredTimer(("A",), None, SimpleNamespace(getExpiryTimeInMs=lambda: 1005)) for s in r.sessions]
     assert sorted(gone) == odd and not packs
+
+
+def test_the_panel_is_made_once(spark):
+    assert "lineitem" not in plan(contracts._panel(spark, DATA))
