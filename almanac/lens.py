@@ -62,11 +62,13 @@ def _reads(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A domain view, or a test table, as a DataFrame."""
+def view(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> DataFrame:
+    """A domain view, or a test table, as a DataFrame. Frames that are given stand for the tables and views of their names."""
+    if name in given:
+        return given[name]
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.sql(VIEWS[name], **{n: view(spark, sf_dir, n) for n in _reads(VIEWS[name])})
+    return spark.sql(VIEWS[name], **{n: view(spark, sf_dir, n, **given) for n in _reads(VIEWS[name])})
 
 
 def _needs(name: str, found: list[str]) -> None:

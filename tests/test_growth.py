@@ -12,6 +12,7 @@ from types import SimpleNamespace
 import numpy as np
 from pyspark.sql import functions as F
 
+from almanac import lens
 from almanac.operators import quality, regimes
 from almanac.plans import contracts, joins
 from almanac.sources import archives, sinks
@@ -29,6 +30,22 @@ def test_reported_flows_are_read_by_many_tasks(spark, monkeypatch):
     assert n > 500 and [df.rdd.getNumPartitions() for df in counted] == [-(-2 * n // 100)] * 2
 
 
+def test_reported_flows_are_made_once_and_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(archives, "LINES", 100)
+    monkeypatch.setattr(contracts, "GROUPED", 400)
+    seen, viewed, archive = [], [], contracts.archive
+    monkeypatch.setattr(contracts, "archive", lambda tables, *a: seen.extend(tables.values()) or archive(tables, *a))
+    monkeypatch.setattr(contracts, "view", lambda *a, **k: viewed.append(lens.view(*a, **k)) or viewed[-1])
+    got = contracts.reported_flows(spark, DATA)
+    # The sums need one shuffle, into tasks of GROUPED rows; the members read what was kept; a task joins no more than an archive's lines.
+    lines, flows = viewed
+    assert plan(flows).count("Exchange") == 1 and flows.rdd.getNumPartitions() == -(-lines.count() // 400)
+    assert len(seen) == 2 and not any("Aggregate" in plan(df) for df in seen)
+    want = [(r.series_id, r.month_end, r.sales, r.net_assets) for r in lens.view(spark, DATA, "flows").collect()]
+    assert got.rdd.getNumPartitions() == -(-2 * len(want) // 100) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted((r.series_id, r.report_date, r.sales, r.net_assets) for r in got.collect()) == sorted(want)
+
+
 def plain_repair(values, low=0.2):
     out = list(values)
     for i, v in enumerate(out):
