@@ -51,7 +51,7 @@ def _repair(x: np.ndarray, starts: np.ndarray, ends: np.ndarray, low: float = LO
         sides = [next((out[k] for k in ks if out[k] >= ref * low), None) for ks in (range(i - 1, starts[at] - 1, -1), range(i + 1, ends[at]))]
         good = [g for g in sides if g is not None]
         out[i] = math.exp(sum(map(math.log, good)) / len(good)) if good else ref
-        for k in (i + 2, i + 1):
+        for k in range(i + 1, min(i + 3, ends[at])):
             heapq.heappush(todo, k)
     return np.array(out)
 

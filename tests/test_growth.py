@@ -78,6 +78,21 @@ def test_repairs_of_many_series_at_once(spark, monkeypatch):
     assert fixed > 100
 
 
+def test_dips_in_the_last_rows_of_what_is_repaired_at_once(spark, monkeypatch):
+    tails = [[1.0], [1.0, 100.0], [1.0, 1.0], [1.0, None], [1.0, 2.0, 100.0]]
+    series = {f"s{k}": [100.0 + k] * (12 + k) + tails[k % 5] for k in range(20)}
+    # Whichever series is the last of its rows, a dip stands at its end.
+    for own in series.values():
+        x = np.array([*own, None, None], dtype=float)
+        np.testing.assert_array_equal(quality._repair(x, np.array([0]), np.array([len(own)]))[:-2], np.array(plain_repair(own), dtype=float))
+    monkeypatch.setattr(quality, "CELLS", 40)
+    day = dt.date(2000, 1, 1)
+    df = spark.createDataFrame([(k, day + dt.timedelta(t), v) for k, own in series.items() for t, v in enumerate(own)], "k string, d date, x double")
+    got = {(r.k, r.d): (r.x, r.repaired) for r in quality.repaired(df, "k", "d", "x").collect()}
+    want = {(k, day + dt.timedelta(t)): (b, a != b) for k, own in series.items() for t, (a, b) in enumerate(zip(own, plain_repair(own), strict=True))}
+    assert got == want and sum(r for _, r in want.values()) >= 20
+
+
 def test_only_dips_are_walked():
     n, m = 400, 500
     x = np.concatenate([np.append(100 + np.random.default_rng(k).random(m), [np.nan] * 2) for k in range(n)])
